@@ -161,3 +161,129 @@ SELECT * EXCLUDE (feed_rank, seq, o1, o2, o3, o4, o5, o6, o7) FROM both_feeds
 QUALIFY row_number() OVER (PARTITION BY doi ORDER BY feed_rank DESC, seq DESC,
   o1 DESC NULLS LAST, o2 DESC NULLS LAST, o3 DESC NULLS LAST, o4 DESC NULLS LAST,
   o5 DESC NULLS LAST, o6 DESC NULLS LAST, o7 DESC NULLS LAST) = 1"""
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ", ".join(c.strip() for c in ctes) + " "
+
+
+_COUNTS = """n_s AS (SELECT k, CAST(count(*) AS INTEGER) AS n FROM subj GROUP BY k),
+n_a AS (SELECT k, CAST(count(*) AS INTEGER) AS n FROM auth GROUP BY k)"""
+
+_RECORD_SCALARS = """r.seq, r.doi, r.title, r.abstract, r.document_type, r.source_type,
+  r.publication_date, r.source_title, r.publisher, r.author_keywords, r.funding_details,
+  r.ref_count, r.open_access, r.affiliation, r.language, r.cited_by, r.status_state,
+  r.delivered_date"""
+
+
+def flatten_nested() -> str:
+    return (_with(_NESTED_CTE, _COUNTS) +
+            f"""SELECT {_RECORD_SCALARS}, coalesce(ns.n, 0) AS n_subjects, coalesce(na.n, 0) AS n_authors
+            FROM nested r LEFT JOIN n_s ns ON ns.k = r.seq LEFT JOIN n_a na ON na.k = r.seq""")
+
+
+def flatten_scraped() -> str:
+    return (_with(_NESTED_CTE, _SCRAPED_CTE, _COUNTS) +
+            f"""SELECT {_RECORD_SCALARS}, coalesce(na.n, 0) AS n_authors
+            FROM scraped r LEFT JOIN n_a na ON na.k = r.seq""")
+
+
+def align_schema() -> str:
+    return (_with(_NESTED_CTE, _SCRAPED_CTE) +
+            f"""SELECT 1 AS feed_rank, {_RECORD_SCALARS} FROM nested r
+            UNION ALL SELECT 2 AS feed_rank, {_RECORD_SCALARS} FROM scraped r""")
+
+
+def author_fields() -> str:
+    return (_with(_NESTED_CTE) +
+            """SELECT r.seq, a.author_given_name, a.author_surname, a.author_url, a.author_affiliation
+            FROM nested r LEFT JOIN auth a ON a.k = r.seq""")
+
+
+def explode_subjects() -> str:
+    return (_with(_NESTED_CTE) +
+            f"""SELECT r.seq, s.subject_code, s.subject_name, s.subject_abbrev,
+            {_SUBJECT_JSON} AS subject_area
+            FROM nested r LEFT JOIN subj s ON s.k = r.seq""")
+
+
+def explode_authors() -> str:
+    return (_with(_NESTED_CTE) +
+            """SELECT r.seq, r.doi, CASE WHEN a.k IS NULL THEN NULL ELSE CAST(to_json({
+              'preferred-name': {'ce:given-name': a.author_given_name, 'ce:surname': a.author_surname},
+              'author-url': a.author_url, 'affiliation': a.author_affiliation}) AS VARCHAR) END
+              AS author_details
+            FROM nested r LEFT JOIN auth a ON a.k = r.seq""")
+
+
+def key_not_null() -> str:
+    return _with(_NESTED_CTE, _SCRAPED_CTE) + "SELECT seq, doi FROM scraped WHERE doi IS NOT NULL"
+
+
+def type_agreement() -> str:
+    return (_with(_NESTED_CTE, _SCRAPED_CTE) +
+            """SELECT seq, document_type, source_type FROM scraped
+            WHERE (document_type = 'Conference Paper' AND source_type = 'Conference Proceeding')
+               OR (document_type <> 'Conference Paper' AND source_type <> 'Conference Proceeding')""")
+
+
+def sink_coerce() -> str:
+    return (_with(_NESTED_CTE, _SCRAPED_CTE) +
+            """SELECT seq, strftime(publication_date, '%Y-%m-%d') AS publication_date,
+            CAST(open_access AS BOOLEAN) AS open_access, author_keywords, affiliation
+            FROM scraped""")
+
+
+def parse_records() -> str:
+    return """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+              FROM events"""
+
+
+# Text renderings of order values, some deliberately malformed.
+_DATE_TEXT = """CASE WHEN o_orderkey % 10 = 0 THEN 'bad-' || CAST(o_orderkey AS VARCHAR)
+                     WHEN o_orderkey % 10 = 5 THEN strftime(o_orderdate, '%Y-13-%d')
+                     ELSE strftime(o_orderdate, '%Y-%m-%d') END"""
+_INT_TEXT = """CASE WHEN o_orderkey % 10 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR)
+                    WHEN o_orderkey % 10 = 5 THEN CAST(o_custkey AS VARCHAR) || '.0'
+                    WHEN o_orderkey % 10 = 3 THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
+                    ELSE CAST(o_custkey AS VARCHAR) END"""
+
+
+def safe_date() -> str:
+    return f"SELECT o_orderkey, {_DATE_TEXT} AS text, TRY_CAST({_DATE_TEXT} AS DATE) AS value FROM orders"
+
+
+def safe_int() -> str:
+    return (f"SELECT o_orderkey, {_INT_TEXT} AS text, "
+            f"TRY_CAST(TRY_CAST(trim({_INT_TEXT}) AS DOUBLE) AS INTEGER) AS value FROM orders")
+
+
+def concat_date_parts() -> str:
+    return """SELECT o_orderkey, concat_ws('-',
+                CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(year(o_orderdate) AS VARCHAR) END,
+                CASE WHEN o_orderkey % 50 = 0 OR o_orderstatus = 'P' THEN NULL
+                     ELSE CAST(month(o_orderdate) AS VARCHAR) END,
+                CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(day(o_orderdate) AS VARCHAR) END)
+              AS delivered_date FROM orders"""
+
+
+def flag_normalize() -> str:
+    return """SELECT o_orderkey, coalesce(CASE o_orderstatus WHEN 'O' THEN true WHEN 'F' THEN false END,
+              false) AS open_access FROM orders"""
+
+
+def json_keywords() -> str:
+    return """SELECT conv_id, turn, coalesce(CASE WHEN role = 'system' THEN NULL ELSE
+              CAST(to_json(list_transform(string_split(text, chr(10)), lambda x: {'$': x})) AS VARCHAR) END,
+              '[]') AS author_keywords FROM conversations"""
+
+
+def json_affiliation() -> str:
+    return """SELECT conv_id, turn, CASE WHEN role = 'system' THEN NULL ELSE
+              CAST(to_json({'role': role, 'turn': turn}) AS VARCHAR) END AS affiliation
+              FROM conversations"""
+
+
+def upsert_latest() -> str:
+    return """SELECT * FROM events
+              QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
