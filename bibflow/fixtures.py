@@ -187,3 +187,78 @@ def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = F.coalesce(d.authors, F.array())
     record = _append_raw(head, "author", _one_or_many(authors))
     return d.select(d.o_orderkey.alias("seq"), record.alias("record"))
+
+
+# ---------------------------------------------------------------- file trees
+# Scratch trees are written under the shared folder (``spark.checkpoint.dir``)
+# by Spark writers, then read back through :mod:`bibflow.sources.files`.
+
+ORDER_RECORD_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+                       "o_orderdate STRING, o_orderpriority STRING")
+CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+# Years whose directory also gets one zero-byte ``empty.json`` (fixed values).
+EMPTY_FILE_YEARS = (1999, 2000)
+# Turns of one conversation per file: bounds every group built here.
+TURNS_PER_FILE = 64
+YEAR_DIR = "year={year}"
+
+
+def write_order_year_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """``orders`` as a year tree ``base/year=<y>/...``.
+
+    Odd years: NDJSON ``*.json`` files; even years: pretty-printed
+    concatenated objects in ``*.txt`` files (so a ``*.json`` filter sees
+    only odd years).  ``EMPTY_FILE_YEARS`` get a zero-byte ``empty.json``.
+    """
+    from bibflow.sources import fs
+
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", _iso(F.col("o_orderdate")).alias("o_orderdate"),
+        "o_orderpriority", F.year("o_orderdate").alias("year"))
+    fields = [c for c in o.columns if c != "year"]
+    (o.filter(F.col("year") % 2 == 1)
+      .write.mode("overwrite").partitionBy("year").json(base))
+    (o.filter(F.col("year") % 2 == 0)
+      .select(F.to_json(F.struct(*fields), {"pretty": "true"}).alias("value"), "year")
+      .write.mode("append").partitionBy("year").text(base))
+    for y in EMPTY_FILE_YEARS:
+        fs.touch(spark, f"{base}/{YEAR_DIR.format(year=y)}/empty.json")
+    return base
+
+
+def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout: str,
+                             corrupt: str | None = None) -> str:
+    """``conversations`` as JSON files, one file per conversation part.
+
+    ``layout``: ``concat`` (objects one after another, odd turns
+    pretty-printed), ``array`` (one JSON array) or ``ndjson``.
+    ``corrupt``: ``record`` makes every record of each tenth conversation
+    undecodable but balanced; ``truncate`` cuts each tenth conversation's
+    file inside its last record.  Parts hold at most ``TURNS_PER_FILE``
+    turns, so no group built here is unbounded.
+    """
+    fields = F.struct("conv_id", "turn", "role", "text")
+    tenth = F.col("conv_id") % 10 == 0
+    c = table(spark, sf_dir, "conversations").withColumn("obj", F.to_json(fields))
+    if layout == "concat":
+        c = c.withColumn("obj", F.when(F.col("turn") % 2 == 1, F.to_json(fields, {"pretty": "true"}))
+                                 .otherwise(F.col("obj")))
+    if corrupt == "record":
+        # '{"broken" "conv_id":...}' is balanced but not valid JSON.
+        c = c.withColumn("obj", F.when(tenth, F.concat(F.lit('{"broken" '), F.expr("substring(obj, 2)")))
+                                 .otherwise(F.col("obj")))
+    parts = (c.select("conv_id", F.floor(F.col("turn") / TURNS_PER_FILE).alias("part"),
+                      F.struct("turn", "obj").alias("item"))
+              .groupBy("conv_id", "part")
+              .agg(F.sort_array(F.collect_list("item")).alias("items"))
+              .withColumn("objs", F.transform("items", lambda x: x.getField("obj"))))
+    if layout == "array":
+        parts = parts.withColumn("value", F.concat(F.lit("["), F.array_join("objs", ",\n"), F.lit("]")))
+    else:
+        parts = parts.withColumn("value", F.array_join("objs", "\n"))
+    if corrupt == "truncate":
+        keep_len = (F.length("value") - F.ceil(F.length(F.element_at("objs", -1)) / 2)).cast("int")
+        parts = parts.withColumn("value", F.when(tenth, F.col("value").substr(F.lit(1), keep_len))
+                                           .otherwise(F.col("value")))
+    (parts.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(base))
+    return base

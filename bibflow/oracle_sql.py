@@ -287,3 +287,89 @@ def json_affiliation() -> str:
 def upsert_latest() -> str:
     return """SELECT * FROM events
               QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+
+_CONVERSATIONS = "SELECT conv_id, turn, role, text FROM conversations"
+
+
+def split_concat_json() -> str:
+    return _CONVERSATIONS
+
+
+def json_array_docs() -> str:
+    return _CONVERSATIONS
+
+
+def ndjson_docs() -> str:
+    return _CONVERSATIONS
+
+
+def quarantine_records() -> str:
+    return """SELECT CASE WHEN conv_id % 10 = 0 THEN 'malformed' ELSE 'ok' END AS status,
+              count(*) AS n FROM conversations GROUP BY 1"""
+
+
+def quarantine_files() -> str:
+    return """WITH parts AS (
+                SELECT conv_id % 10 = 0 AS cut, count(*) AS n FROM conversations
+                GROUP BY conv_id, floor(turn / 64))
+              SELECT CASE WHEN cut THEN 'truncated' ELSE 'ok' END AS status,
+                     count(*) AS n_files,
+                     CAST(sum(CASE WHEN cut THEN n - 1 ELSE n END) AS BIGINT) AS n_records,
+                     CAST(sum(CASE WHEN cut THEN 1 ELSE 0 END) AS BIGINT) AS n_errors
+              FROM parts GROUP BY 1"""
+
+
+_ORDER_ROWS = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey,
+                 o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+                 FROM orders"""
+
+
+def year_scan() -> str:
+    return _ORDER_ROWS
+
+
+def year_range_scan() -> str:
+    # Years 1996-2000, ``*.json`` names only: the odd years were written as JSON.
+    return f"SELECT * FROM ({_ORDER_ROWS}) WHERE year BETWEEN 1996 AND 2000 AND year % 2 = 1"
+
+
+def single_year() -> str:
+    return f"SELECT * FROM ({_ORDER_ROWS}) WHERE year = 1997"
+
+
+def year_audit() -> str:
+    return """WITH y AS (SELECT CAST(range AS INTEGER) AS year FROM range(1993, 2005)),
+              d AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+              SELECT y.year, CASE WHEN d.year IS NULL THEN 'missing'
+                                  WHEN y.year % 2 = 1 OR y.year IN (1999, 2000) THEN 'ok'
+                                  ELSE 'empty' END AS status
+              FROM y LEFT JOIN d ON d.year = y.year"""
+
+
+def file_audit() -> str:
+    return """SELECT year, count(*) AS n_records, CAST(0 AS BIGINT) AS n_errors,
+                     CAST(CASE WHEN year IN (1999, 2000) THEN 1 ELSE 0 END AS BIGINT) AS n_empty_files
+              FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders) GROUP BY year"""
+
+
+def chunk_assign() -> str:
+    return """SELECT event_id, row_number() OVER (ORDER BY event_id) AS position,
+                     CAST((row_number() OVER (ORDER BY event_id) - 1) // 1000 AS BIGINT) AS chunk_id
+              FROM events"""
+
+
+def ingest_metrics() -> str:
+    return """WITH c AS (SELECT event_type, (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS chunk_id
+                         FROM events)
+              SELECT CAST(chunk_id AS BIGINT) AS chunk_id, count(*) AS chunk_size,
+                     count(*) FILTER (WHERE event_type = 'error') AS n_flagged,
+                     CAST(chunk_id * 1000 + count(*) AS BIGINT) AS running_total
+              FROM c GROUP BY chunk_id"""
+
+
+def record_size_profile() -> str:
+    return """SELECT source, count(*) AS n_records,
+                     avg(strlen(CAST(to_json(d) AS VARCHAR))) AS avg_bytes,
+                     max(strlen(CAST(to_json(d) AS VARCHAR))) AS max_bytes
+              FROM documents d GROUP BY source"""
