@@ -55,22 +55,29 @@ def pick_max_elements(df: DataFrame, subjects: str = "subject_areas", authors: s
               .drop(subjects, authors))
 
 
-def upsert_records(records: DataFrame, order: Sequence[str | Column],
-                   key: str = "doi") -> DataFrame:
-    """Typed record-level relation -> keyed table rows (one per DOI).
+ORDER_COL = "__order"
+
+
+def keyed_rows(records: DataFrame, order: Sequence[str | Column], key: str = "doi") -> DataFrame:
+    """Typed record-level relation -> one table row per key, plus ``__order``.
 
     ``order`` is the arrival order of records (feed rank, position, ...);
     within one record the surviving author/subject is the greatest, which
-    makes the whole order total.
+    makes the whole order total.  The row is picked before anything is
+    rendered, so JSON text is built for survivors only.
     """
-    picked = pick_max_elements(records)
+    picked = pick_max_elements(records).withColumn(
+        ORDER_COL, F.struct(*_cols(order), F.col("subject"), F.col("author")))
     payload = [c for c in RECORD_LEVEL_NAMES if c not in ("subject_areas", "authors")]
-    latest = latest_per_key(
-        picked, key,
-        order=[*_cols(order), F.col("subject"), F.col("author")],
-        columns=[*payload, "subject", "author"],
-    )
-    return to_table_rows(latest)
+    latest = latest_per_key(picked, key, order=[F.col(ORDER_COL)],
+                            columns=[*payload, "subject", "author", ORDER_COL])
+    return to_table_rows(latest, keep=[ORDER_COL])
+
+
+def upsert_records(records: DataFrame, order: Sequence[str | Column],
+                   key: str = "doi") -> DataFrame:
+    """Typed record-level relation -> keyed table rows (one per DOI)."""
+    return keyed_rows(records, order, key).drop(ORDER_COL)
 
 
 def with_feed_rank(df: DataFrame, rank: int, name: str = "feed_rank") -> DataFrame:
