@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,20 @@ def parse(c: str | Column, schema: T.DataType | str) -> Column:
     return F.from_json(col_of(c), schema, {"mode": "PERMISSIVE"})
 
 
+def parse_once(df, text_col: str, schema: T.DataType | str, out: str = "rec",
+               keep=()) -> "DataFrame":
+    """Parse a JSON text column once, as a column later filters cannot undo.
+
+    Catalyst pushes a filter below the projection that defines ``out`` and
+    substitutes the definition, so a filter on three fields of ``out``
+    would parse every record three more times.  Emitting the parsed struct
+    from a one-row generator (``inline(array(struct(...)))``) stops that:
+    predicates on generator output stay above it, and each record is parsed
+    exactly once.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(parse(text_col, schema).alias(out)))))
+
+
 def as_array(raw: str | Column, array_type: T.ArrayType | str) -> Column:
     """Raw JSON text holding one object *or* a list of objects -> array.
 

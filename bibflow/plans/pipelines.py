@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 from bibflow import schemas
-from bibflow.functions.json import parse
+from bibflow.functions.json import parse_once
 from bibflow.operators.flatten import (
     cross_explode,
     filter_records,
@@ -25,14 +25,12 @@ from bibflow.operators.upsert import merge_feeds, upsert_records
 
 def nested_relation(df: DataFrame, text_col: str = "record", keep: Sequence[str] = ()) -> DataFrame:
     """Nested JSON text -> typed record-level relation (S13 + P01..P13)."""
-    parsed = df.select(*keep, parse(text_col, schemas.NESTED_RECORD).alias("rec"))
-    return flatten_nested(parsed, "rec", keep=keep)
+    return flatten_nested(parse_once(df, text_col, schemas.NESTED_RECORD, "rec", keep), "rec", keep=keep)
 
 
 def scraped_relation(df: DataFrame, text_col: str = "record", keep: Sequence[str] = ()) -> DataFrame:
     """Scraped JSON text -> the same typed record-level relation."""
-    parsed = df.select(*keep, parse(text_col, schemas.SCRAPED_RECORD).alias("rec"))
-    return flatten_scraped(parsed, "rec", keep=keep)
+    return flatten_scraped(parse_once(df, text_col, schemas.SCRAPED_RECORD, "rec", keep), "rec", keep=keep)
 
 
 def exploded_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
