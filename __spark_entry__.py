@@ -20,6 +20,8 @@ from bibflow.operators import flatten as FL
 from bibflow.operators.upsert import latest_per_key, with_feed_rank
 from bibflow.operators import chunks as CH
 from bibflow.operators import reports as R
+from bibflow.operators.upsert import ORDER_COL
+from bibflow.plans import jobs as J
 from bibflow.plans import pipelines as P
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import scratch_path
@@ -303,6 +305,12 @@ def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.record_size_profile(docs, "source").drop("chunk_size")
 
 
+def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O01 from files: year tree -> reader -> pipeline (order: year, file, position)."""
+    base = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "nested-tree"))
+    return J.tree_pipeline(spark, base, "nested", dir_format=fixtures.YEAR_DIR).drop(ORDER_COL)
+
+
 # --------------------------------------------------------------- streaming
 
 def q_nested_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,6 +370,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_metrics": q_ingest_metrics,
         "record_size_profile": q_record_size_profile,
         "nested_stream": q_nested_stream,
+        "nested_files_pipeline": q_nested_files_pipeline,
     }
 
 
@@ -402,4 +411,5 @@ def oracle_sql() -> dict[str, str]:
         "ingest_metrics": O.ingest_metrics(),
         "record_size_profile": O.record_size_profile(),
         "nested_stream": O.nested_pipeline(),
+        "nested_files_pipeline": O.nested_pipeline(),
     }

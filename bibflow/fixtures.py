@@ -150,7 +150,8 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     response = _append_raw(head, "authors", F.concat(F.lit('{"author":'), _one_or_many(authors),
                                                       F.lit("}")))
     record = F.concat(F.lit(f'{{"{NESTED_ROOT}":'), response, F.lit("}"))
-    return d.select(d.o_orderkey.alias("seq"), record.alias("record"))
+    return d.select(d.o_orderkey.alias("seq"), record.alias("record"),
+                    F.year(d.o_orderdate).alias("year"))
 
 
 def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,6 +227,14 @@ def write_order_year_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
     return base
 
 
+def write_nested_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The nested feed as a year tree (``year=<publication year>``), one
+    record per line."""
+    (nested_records(spark, sf_dir).select("record", "year")
+        .write.mode("overwrite").partitionBy("year").text(base))
+    return base
+
+
 def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout: str,
                              corrupt: str | None = None) -> str:
     """``conversations`` as JSON files, one file per conversation part.

@@ -78,3 +78,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``bibflow`` importable in Python workers (for ``mapInPandas``).
+
+    The package is zipped once per SparkContext into the shared folder and
+    added with ``addPyFile``, which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles")
+    if "://" in target:
+        # A remote shared folder cannot be written by ``make_archive``; the
+        # archive is built next to the driver and ``addPyFile`` ships it.
+        target = tempfile.mkdtemp(prefix="bibflow-zip-")
+    os.makedirs(target, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(target, "bibflow"), "zip",
+                                  os.path.dirname(pkg_dir), "bibflow")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)

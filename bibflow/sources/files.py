@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from bibflow.session import ship_package
 from bibflow.sources import fs
 from bibflow.sources.json_text import split_records
 
@@ -105,6 +106,7 @@ def _split_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def split_files(texts: DataFrame) -> DataFrame:
     """``(file_path, year, value)`` -> one row per record or error."""
+    ship_package(texts.sparkSession)
     return texts.select("file_path", "year", "value").mapInPandas(_split_partition, SPLIT_SCHEMA)
 
 
