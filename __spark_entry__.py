@@ -316,14 +316,14 @@ def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_nested_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O01 as Structured Streaming: files -> micro-batches -> keyed table.
 
-    The records are written as 8 files and consumed two files per trigger;
+    The records are written as 8 files and consumed four files per trigger;
     the resulting table must equal the batch pipeline's.
     """
     src = scratch_path(spark, "nested-src")
     fixtures.nested_records(spark, sf_dir).select("record").repartition(8).write.text(src)
     table = KeyedTable(spark, scratch_path(spark, "nested-table"), RECORD_SCHEMA, n_buckets=16)
     query = start_ingest(spark, src, table, scratch_path(spark, "nested-ckpt"), feed="nested",
-                         max_files_per_trigger=2)
+                         max_files_per_trigger=4)
     query.awaitTermination()
     return table.read()
 

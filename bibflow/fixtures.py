@@ -199,7 +199,9 @@ ORDER_RECORD_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRIN
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 # Years whose directory also gets one zero-byte ``empty.json`` (fixed values).
 EMPTY_FILE_YEARS = (1999, 2000)
-# Turns of one conversation per file: bounds every group built here.
+# A file holds turns of up to CONVS_PER_FILE consecutive conversations and at
+# most TURNS_PER_FILE turns of each: every group built here is bounded.
+CONVS_PER_FILE = 10
 TURNS_PER_FILE = 64
 YEAR_DIR = "year={year}"
 
@@ -237,28 +239,29 @@ def write_nested_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
 
 def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout: str,
                              corrupt: str | None = None) -> str:
-    """``conversations`` as JSON files, one file per conversation part.
+    """``conversations`` as JSON files.
 
+    File key: ``(conv_id div CONVS_PER_FILE, turn div TURNS_PER_FILE)``.
     ``layout``: ``concat`` (objects one after another, odd turns
     pretty-printed), ``array`` (one JSON array) or ``ndjson``.
     ``corrupt``: ``record`` makes every record of each tenth conversation
-    undecodable but balanced; ``truncate`` cuts each tenth conversation's
-    file inside its last record.  Parts hold at most ``TURNS_PER_FILE``
-    turns, so no group built here is unbounded.
+    undecodable but balanced; ``truncate`` cuts each tenth file (file group
+    divisible by 10) inside its last record.
     """
     fields = F.struct("conv_id", "turn", "role", "text")
-    tenth = F.col("conv_id") % 10 == 0
     c = table(spark, sf_dir, "conversations").withColumn("obj", F.to_json(fields))
     if layout == "concat":
         c = c.withColumn("obj", F.when(F.col("turn") % 2 == 1, F.to_json(fields, {"pretty": "true"}))
                                  .otherwise(F.col("obj")))
     if corrupt == "record":
         # '{"broken" "conv_id":...}' is balanced but not valid JSON.
-        c = c.withColumn("obj", F.when(tenth, F.concat(F.lit('{"broken" '), F.expr("substring(obj, 2)")))
+        c = c.withColumn("obj", F.when(F.col("conv_id") % 10 == 0,
+                                       F.concat(F.lit('{"broken" '), F.expr("substring(obj, 2)")))
                                  .otherwise(F.col("obj")))
-    parts = (c.select("conv_id", F.floor(F.col("turn") / TURNS_PER_FILE).alias("part"),
-                      F.struct("turn", "obj").alias("item"))
-              .groupBy("conv_id", "part")
+    group = F.floor(F.col("conv_id") / CONVS_PER_FILE)
+    parts = (c.select(group.alias("file_group"), F.floor(F.col("turn") / TURNS_PER_FILE).alias("part"),
+                      F.struct("conv_id", "turn", "obj").alias("item"))
+              .groupBy("file_group", "part")
               .agg(F.sort_array(F.collect_list("item")).alias("items"))
               .withColumn("objs", F.transform("items", lambda x: x.getField("obj"))))
     if layout == "array":
@@ -267,7 +270,8 @@ def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout
         parts = parts.withColumn("value", F.array_join("objs", "\n"))
     if corrupt == "truncate":
         keep_len = (F.length("value") - F.ceil(F.length(F.element_at("objs", -1)) / 2)).cast("int")
-        parts = parts.withColumn("value", F.when(tenth, F.col("value").substr(F.lit(1), keep_len))
+        parts = parts.withColumn("value", F.when(F.col("file_group") % 10 == 0,
+                                                 F.col("value").substr(F.lit(1), keep_len))
                                            .otherwise(F.col("value")))
     (parts.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(base))
     return base

@@ -311,8 +311,8 @@ def quarantine_records() -> str:
 
 def quarantine_files() -> str:
     return """WITH parts AS (
-                SELECT conv_id % 10 = 0 AS cut, count(*) AS n FROM conversations
-                GROUP BY conv_id, floor(turn / 64))
+                SELECT floor(conv_id / 10) % 10 = 0 AS cut, count(*) AS n FROM conversations
+                GROUP BY floor(conv_id / 10), floor(turn / 64))
               SELECT CASE WHEN cut THEN 'truncated' ELSE 'ok' END AS status,
                      count(*) AS n_files,
                      CAST(sum(CASE WHEN cut THEN n - 1 ELSE n END) AS BIGINT) AS n_records,

@@ -55,7 +55,7 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1
         keep = ["batch_id", "file_path", "rec_pos"]
         rel = filter_records(relation(records, "record", keep=keep))
         order = [F.lit(feed_rank), F.col("batch_id"), F.col("file_path"), F.col("rec_pos")]
-        table.upsert(keyed_rows(rel, order))
+        table.upsert(keyed_rows(rel, order), unique=True)
 
     return run
 
