@@ -371,5 +371,5 @@ def ingest_metrics() -> str:
 def record_size_profile() -> str:
     return """SELECT source, count(*) AS n_records,
                      avg(strlen(CAST(to_json(d) AS VARCHAR))) AS avg_bytes,
-                     max(strlen(CAST(to_json(d) AS VARCHAR))) AS max_bytes
+                     CAST(max(strlen(CAST(to_json(d) AS VARCHAR))) AS INTEGER) AS max_bytes
               FROM documents d GROUP BY source"""

@@ -13,6 +13,7 @@ def test_query_matches_oracle(spark, sf_dir, name):
     res = compare(spark, sf_dir, [name])[name]
     if name in E.oracle_sql():
         assert res["ok"] is True, res
+        assert "type_mismatch" not in res, res
     else:
         assert "error" not in res, res
 
