@@ -29,14 +29,26 @@ def _buckets(df: DataFrame, order_col: str, n_buckets: int, rel_error: float) ->
     bounds = sorted(set(df.approxQuantile(order_col, probs, rel_error))) if probs else []
     splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
     return (Bucketizer(splits=splits, inputCol=order_col, outputCol=_BUCKET, handleInvalid="keep")
-            .transform(df.withColumn(order_col, F.col(order_col)))
+            .transform(df)
             .withColumn(_BUCKET, F.col(_BUCKET).cast("int")))
 
 
-def assign_chunks(df: DataFrame, order_col: str, chunk_size: int = 1000, n_buckets: int = 64,
-                  rel_error: float = 0.001, position_col: str = "position",
+ROWS_PER_BUCKET = 1_000_000
+
+
+def assign_chunks(df: DataFrame, order_col: str, chunk_size: int = 1000, n_buckets: int | None = None,
+                  rel_error: float | None = None, position_col: str = "position",
                   chunk_col: str = "chunk_id") -> DataFrame:
-    """Add the 1-based global position and the chunk id (0-based)."""
+    """Add the 1-based global position and the chunk id (0-based).
+
+    By default the bucket count follows the data: about ``ROWS_PER_BUCKET``
+    rows per bucket (one count job), and the quantile error is kept well
+    below one bucket's share so the buckets stay balanced.
+    """
+    if n_buckets is None:
+        n_buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
+    if rel_error is None:
+        rel_error = min(0.001, 0.1 / n_buckets)
     bucketed = _buckets(df.withColumn("__order_num", F.col(order_col).cast("double")),
                         "__order_num", n_buckets, rel_error)
     counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
