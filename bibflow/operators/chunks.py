@@ -27,6 +27,8 @@ _BUCKET = "__bucket"
 def _buckets(df: DataFrame, order_col: str, n_buckets: int, rel_error: float) -> DataFrame:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(df.approxQuantile(order_col, probs, rel_error))) if probs else []
+    if not bounds:
+        return df.withColumn(_BUCKET, F.lit(0))
     splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
     return (Bucketizer(splits=splits, inputCol=order_col, outputCol=_BUCKET, handleInvalid="keep")
             .transform(df)
