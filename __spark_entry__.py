@@ -220,8 +220,10 @@ def q_split_concat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_array_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files holding one JSON array each."""
-    return _conversation_rows(_conversation_split(spark, sf_dir, "array"))
+    """Files holding one JSON array each, read by the JVM JSON reader."""
+    base = fixtures.write_conversation_files(spark, sf_dir, scratch_path(spark, "conv-array"), "array")
+    docs = SF.read_json_documents(spark, f"{base}/*", fixtures.CONVERSATION_SCHEMA)
+    return docs.filter(F.col("error").isNull()).select("conv_id", "turn", "role", "text")
 
 
 def q_ndjson_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

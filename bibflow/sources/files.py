@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from bibflow.session import ship_package
@@ -156,6 +157,33 @@ def read_ndjson_records(spark: SparkSession, pattern: str, name_glob: str | None
          .otherwise(F.lit("malformed")).alias("error"))
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
+def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType | str,
+                        name_glob: str | None = None) -> DataFrame:
+    """Files that each hold one JSON array or one object (S08), JVM only.
+
+    Spark's JSON reader in ``multiLine`` mode yields one row per array
+    element (or the object).  A file that does not parse is one row with the
+    file's text in ``_corrupt_record``: the whole file is set aside, so use
+    :func:`read_file_records` when records before a defect must be kept.
+    Returns the schema's columns plus ``file_path``, ``year`` and ``error``.
+    """
+    st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    with_corrupt = T.StructType([*st.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+    reader = (spark.read.schema(with_corrupt).option("multiLine", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COL))
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    df = reader.json(pattern)
+    return df.select(
+        *[F.col(f.name) for f in st.fields],
+        F.col("_metadata.file_path").alias("file_path"),
+        year_of(F.col("_metadata.file_path")).alias("year"),
+        F.when(F.col(CORRUPT_COL).isNotNull(), F.lit("malformed_file")).alias("error"))
+
+
 def good(split: DataFrame) -> DataFrame:
     return split.filter(F.col("error").isNull()).drop("error")
 

@@ -69,3 +69,22 @@ def test_ndjson_lines_quarantine(spark):
     split = SF.read_ndjson_records(spark, f"{base}/*")
     assert sorted(r.id for r in SF.parse_records(split, "id INT", keep=()).collect()) == [1, 3]
     assert SF.quarantine(split).count() == 1
+
+
+def test_json_documents_native_reader(spark):
+    base = tempfile.mkdtemp(prefix="bibflow-docs-")
+    for name, text in [("a.json", '[{"id":1},{"id":2}]'), ("b.json", '{"id":3}'), ("c.json", '[{"id":4},')]:
+        with open(os.path.join(base, name), "w") as f:
+            f.write(text)
+    docs = SF.read_json_documents(spark, f"{base}/*", "id INT")
+    assert sorted(r.id for r in docs.filter("error IS NULL").collect()) == [1, 2, 3]
+    bad = docs.filter("error IS NOT NULL").collect()
+    assert len(bad) == 1 and bad[0].file_path.endswith("c.json")
+
+
+def test_split_files_array_layout(spark):
+    base = tempfile.mkdtemp(prefix="bibflow-arr-")
+    with open(os.path.join(base, "a.json"), "w") as f:
+        f.write('[{"id":1},\n {"id":2}, "x"]')
+    split = SF.split_files(SF.read_texts(spark, f"{base}/*"))
+    assert sorted((r.rec_pos, r.error) for r in split.collect()) == [(0, None), (1, None), (2, "not_object")]
