@@ -44,11 +44,13 @@ def assign_chunks(df: DataFrame, order_col: str, chunk_size: int = 1000, n_bucke
     """Add the 1-based global position and the chunk id (0-based).
 
     By default the bucket count follows the data: about ``ROWS_PER_BUCKET``
-    rows per bucket (one count job), and the quantile error is kept well
-    below one bucket's share so the buckets stay balanced.
+    rows per bucket (one count job), at least the default parallelism so the
+    numbering never runs in a single task, and the quantile error is kept
+    well below one bucket's share so the buckets stay balanced.
     """
     if n_buckets is None:
-        n_buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
+        floor = df.sparkSession.sparkContext.defaultParallelism
+        n_buckets = max(floor, -(-df.count() // ROWS_PER_BUCKET))
     if rel_error is None:
         rel_error = min(0.001, 0.1 / n_buckets)
     bucketed = _buckets(df.withColumn("__order_num", F.col(order_col).cast("double")),
