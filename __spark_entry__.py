@@ -53,6 +53,12 @@ def q_merge_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                              fixtures.scraped_records(spark, sf_dir), order=["seq"])
 
 
+def q_merge_feeds_fill_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K04 with ``fill_nulls``: a later feed's NULL does not erase a value."""
+    return P.merged_pipeline(fixtures.nested_records(spark, sf_dir),
+                             fixtures.scraped_records(spark, sf_dir), order=["seq"], fill_nulls=True)
+
+
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.nested_relation(fixtures.nested_records(spark, sf_dir), keep=["seq"])
 
@@ -341,6 +347,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cross_explode": q_cross_explode,
         "scraped_pipeline": q_scraped_pipeline,
         "merge_feeds": q_merge_feeds,
+        "merge_feeds_fill_nulls": q_merge_feeds_fill_nulls,
         "flatten_nested": q_flatten_nested,
         "flatten_scraped": q_flatten_scraped,
         "align_schema": q_align_schema,
@@ -382,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "cross_explode": O.cross_explode(),
         "scraped_pipeline": O.scraped_pipeline(),
         "merge_feeds": O.merge_feeds(),
+        "merge_feeds_fill_nulls": O.merge_feeds_fill_nulls(),
         "flatten_nested": O.flatten_nested(),
         "flatten_scraped": O.flatten_scraped(),
         "align_schema": O.align_schema(),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bibflow.operators.flatten import RECORD_LEVEL_NAMES, to_table_rows
+from bibflow.schemas import RECORD_NAMES
 
 _ROW = "__row"
 
@@ -25,19 +26,30 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column],
-                   columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None,
+                   fill_nulls: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order``.
 
     ``order`` must be a total order within a key (add tie-breakers until it
     is), otherwise the survivor is arbitrary.  NULLs order first, so a row
     with a NULL order field loses to any row that has a value there.
+
+    ``fill_nulls`` names column groups that are *not* replaced by a NULL: for
+    each such column the value comes from the latest row where it is not
+    NULL (``max_by`` with the order set to NULL where the value is NULL, so
+    it stays a map-side combinable aggregate).  Other columns follow the
+    latest row as a whole.
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = [c for c in (columns or df.columns) if c not in keys]
-    agg = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*_cols(order)))
-    return (df.groupBy(*keys)
-              .agg(agg.alias(_ROW))
-              .select(*[F.col(k) for k in keys], *[F.col(_ROW).getField(c).alias(c) for c in payload]))
+    order_struct = F.struct(*_cols(order))
+    filled = [c for c in payload if fill_nulls and c in fill_nulls]
+    whole = [c for c in payload if c not in filled]
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in whole]), order_struct).alias(_ROW)]
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c) for c in filled]
+    out = df.groupBy(*keys).agg(*aggs)
+    return out.select(*[F.col(k) for k in keys],
+                      *[F.col(_ROW).getField(c).alias(c) if c in whole else F.col(c) for c in payload])
 
 
 def pick_max_elements(df: DataFrame, subjects: str = "subject_areas", authors: str = "authors",
@@ -58,7 +70,8 @@ def pick_max_elements(df: DataFrame, subjects: str = "subject_areas", authors: s
 ORDER_COL = "__order"
 
 
-def keyed_rows(records: DataFrame, order: Sequence[str | Column], key: str = "doi") -> DataFrame:
+def keyed_rows(records: DataFrame, order: Sequence[str | Column], key: str = "doi",
+               fill_nulls: bool = False) -> DataFrame:
     """Typed record-level relation -> one table row per key, plus ``__order``.
 
     ``order`` is the arrival order of records (feed rank, position, ...);
@@ -68,6 +81,14 @@ def keyed_rows(records: DataFrame, order: Sequence[str | Column], key: str = "do
     """
     picked = pick_max_elements(records).withColumn(
         ORDER_COL, F.struct(*_cols(order), F.col("subject"), F.col("author")))
+    if fill_nulls:
+        # Per table column: the latest non-NULL value.  Columns are compared
+        # in table form, so e.g. a record without subjects does not blank the
+        # subject columns another record filled.
+        rendered = to_table_rows(picked, keep=[ORDER_COL])
+        cols = [c for c in RECORD_NAMES if c != key]
+        return latest_per_key(rendered, key, [F.col(ORDER_COL)], columns=[*cols, ORDER_COL],
+                              fill_nulls=cols)
     payload = [c for c in RECORD_LEVEL_NAMES if c not in ("subject_areas", "authors")]
     latest = latest_per_key(picked, key, order=[F.col(ORDER_COL)],
                             columns=[*payload, "subject", "author", ORDER_COL])
@@ -75,9 +96,14 @@ def keyed_rows(records: DataFrame, order: Sequence[str | Column], key: str = "do
 
 
 def upsert_records(records: DataFrame, order: Sequence[str | Column],
-                   key: str = "doi") -> DataFrame:
-    """Typed record-level relation -> keyed table rows (one per DOI)."""
-    return keyed_rows(records, order, key).drop(ORDER_COL)
+                   key: str = "doi", fill_nulls: bool = False) -> DataFrame:
+    """Typed record-level relation -> keyed table rows (one per DOI).
+
+    ``fill_nulls=True``: a later record does not overwrite a value with NULL
+    (each column keeps its latest non-NULL value; subject and author stay
+    whole structs).
+    """
+    return keyed_rows(records, order, key, fill_nulls).drop(ORDER_COL)
 
 
 def with_feed_rank(df: DataFrame, rank: int, name: str = "feed_rank") -> DataFrame:
@@ -85,7 +111,7 @@ def with_feed_rank(df: DataFrame, rank: int, name: str = "feed_rank") -> DataFra
 
 
 def merge_feeds(feeds: Sequence[DataFrame], order: Sequence[str | Column] = (),
-                key: str = "doi", rank_col: str = "feed_rank") -> DataFrame:
+                key: str = "doi", rank_col: str = "feed_rank", fill_nulls: bool = False) -> DataFrame:
     """Several record-level feeds into one keyed table.
 
     Feeds are ranked by position (later wins on a shared key, as a later
@@ -95,4 +121,4 @@ def merge_feeds(feeds: Sequence[DataFrame], order: Sequence[str | Column] = (),
     union = ranked[0]
     for other in ranked[1:]:
         union = union.unionByName(other, allowMissingColumns=True)
-    return upsert_records(union, order=[F.col(rank_col), *_cols(order)], key=key)
+    return upsert_records(union, order=[F.col(rank_col), *_cols(order)], key=key, fill_nulls=fill_nulls)

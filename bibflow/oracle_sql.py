@@ -373,3 +373,29 @@ def record_size_profile() -> str:
                      avg(strlen(CAST(to_json(d) AS VARCHAR))) AS avg_bytes,
                      CAST(max(strlen(CAST(to_json(d) AS VARCHAR))) AS INTEGER) AS max_bytes
               FROM documents d GROUP BY source"""
+
+
+def merge_feeds_fill_nulls() -> str:
+    """K04 with per-column NULL filling: each column's latest non-NULL value."""
+    from bibflow.schemas import RECORD_NAMES
+
+    nested_cols = _TABLE_COLS.replace("{subject_json}", _SUBJECT_JSON)
+    scraped_cols = _TABLE_COLS.replace("{subject_json}", "'{}'")
+    filled = ",\n  ".join(
+        f"first({c} ORDER BY feed_rank DESC, seq DESC) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+        for c in RECORD_NAMES if c != "doi")
+    return f"""WITH {_NESTED_CTE}, {_SCRAPED_CTE} {_NULL_SUBJECT},
+  both_feeds AS (
+    SELECT 1 AS feed_rank, r.seq AS seq, {nested_cols}, {_ORDER_KEYS}
+    {_exploded('nested', 'subj')}
+    UNION ALL
+    SELECT 2 AS feed_rank, r.seq AS seq, {scraped_cols}, {_ORDER_KEYS}
+    {_exploded('scraped', 'nosubj')}),
+  per_record AS (
+    SELECT * FROM both_feeds
+    QUALIFY row_number() OVER (PARTITION BY feed_rank, seq ORDER BY
+      o1 DESC NULLS LAST, o2 DESC NULLS LAST, o3 DESC NULLS LAST, o4 DESC NULLS LAST,
+      o5 DESC NULLS LAST, o6 DESC NULLS LAST, o7 DESC NULLS LAST) = 1)
+SELECT doi,
+  {filled}
+FROM per_record GROUP BY doi"""

@@ -53,8 +53,9 @@ def scraped_pipeline(df: DataFrame, order: Sequence[str | Column] = ("seq",),
 
 
 def merged_pipeline(nested: DataFrame, scraped: DataFrame, order: Sequence[str] = ("seq",),
-                    text_col: str = "record") -> DataFrame:
-    """Both feeds into one keyed table; the scraped feed wins a shared DOI."""
+                    text_col: str = "record", fill_nulls: bool = False) -> DataFrame:
+    """Both feeds into one keyed table; the scraped feed wins a shared DOI
+    (per column with ``fill_nulls``: its NULLs keep the nested feed's values)."""
     feeds = [filter_records(nested_relation(nested, text_col, order)),
              filter_records(scraped_relation(scraped, text_col, order))]
-    return merge_feeds(feeds, order=list(order))
+    return merge_feeds(feeds, order=list(order), fill_nulls=fill_nulls)

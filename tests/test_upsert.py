@@ -43,3 +43,16 @@ def test_plan_has_partial_aggregation(spark, sf_dir):
     # max_by is split into a map-side partial and a final aggregate around the
     # shuffle, so a hot DOI is reduced before it is shuffled.
     assert plan.count("Aggregate") >= 2
+
+
+def test_fill_nulls_keeps_earlier_values(spark):
+    nested = ('{"abstracts-retrieval-response":{"coredata":{"prism:doi":"x","dc:title":"n","dc:publisher":"P",'
+              '"subtypeDescription":"Article","prism:aggregationType":"Journal"},'
+              '"subject-areas":{"subject-area":{"@code":"9"}}}}')
+    flat = '{"prism:doi":"x","dc:title":"s","subtypeDescription":"Article","prism:aggregationType":"Journal"}'
+    a = spark.createDataFrame([(1, nested)], "seq LONG, record STRING")
+    b = spark.createDataFrame([(1, flat)], "seq LONG, record STRING")
+    whole = P.merged_pipeline(a, b).first()
+    filled = P.merged_pipeline(a, b, fill_nulls=True).first()
+    assert whole["title"] == "s" and whole["publisher"] is None and whole["subject_code"] is None
+    assert filled["title"] == "s" and filled["publisher"] == "P" and filled["subject_code"] == "9"
