@@ -314,9 +314,9 @@ def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O01 from files: year tree -> reader -> pipeline (order: year, file, position)."""
+    """O01 from files: NDJSON year tree -> line reader -> pipeline (order: year, file, position)."""
     base = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "nested-tree"))
-    return J.tree_pipeline(spark, base, "nested", dir_format=fixtures.YEAR_DIR).drop(ORDER_COL)
+    return J.tree_pipeline(spark, base, "nested", dir_format=fixtures.YEAR_DIR, layout="lines").drop(ORDER_COL)
 
 
 # --------------------------------------------------------------- streaming
@@ -331,7 +331,7 @@ def q_nested_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.nested_records(spark, sf_dir).select("record").repartition(8).write.text(src)
     table = KeyedTable(spark, scratch_path(spark, "nested-table"), RECORD_SCHEMA, n_buckets=16)
     query = start_ingest(spark, src, table, scratch_path(spark, "nested-ckpt"), feed="nested",
-                         max_files_per_trigger=4)
+                         max_files_per_trigger=4, layout="lines")
     query.awaitTermination()
     return table.read()
 

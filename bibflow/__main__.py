@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     ing.add_argument("--table", required=True)
     ing.add_argument("--quarantine")
     ing.add_argument("--buckets", type=int, default=256)
+    ing.add_argument("--layout", choices=["whole", "lines"], default="whole",
+                     help="whole: any JSON layout per file; lines: NDJSON (splittable)")
     st = sub.add_parser("stream")
     st.add_argument("--source", required=True)
     st.add_argument("--feed", choices=["nested", "scraped"], default="nested")
@@ -42,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
     st.add_argument("--buckets", type=int, default=256)
     st.add_argument("--continuous", action="store_true", help="keep running instead of availableNow")
+    st.add_argument("--layout", choices=["whole", "lines"], default="lines")
     au = sub.add_parser("audit")
     au.add_argument("--base", required=True)
     au.add_argument("--years", default="2013-2023")
@@ -52,11 +55,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "ingest":
         from bibflow.plans.jobs import ingest_tree
         table = KeyedTable(spark, args.table, RECORD_SCHEMA, n_buckets=args.buckets)
-        out = {"nested": ingest_tree(spark, args.nested, table, "nested", quarantine_path=args.quarantine)}
+        out = {"nested": ingest_tree(spark, args.nested, table, "nested", quarantine_path=args.quarantine,
+                                     layout=args.layout)}
         if args.scraped:
             out["scraped"] = ingest_tree(spark, args.scraped, table, "scraped",
                                          years=_years(args.scraped_years), name_glob="*.json",
-                                         quarantine_path=args.quarantine)
+                                         quarantine_path=args.quarantine, layout=args.layout)
         print(json.dumps({k: vars(v) for k, v in out.items()}))
     elif args.cmd == "stream":
         from bibflow.streaming.ingest import start_ingest
@@ -64,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
         start_ingest(spark, args.source, table, args.checkpoint, feed=args.feed,
                      feed_rank=1 if args.feed == "nested" else 2,
                      max_files_per_trigger=args.max_files_per_trigger,
-                     available_now=not args.continuous).awaitTermination()
+                     available_now=not args.continuous, layout=args.layout).awaitTermination()
     elif args.cmd == "audit":
         from bibflow.operators.reports import year_audit
         yrs = _years(args.years)

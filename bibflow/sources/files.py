@@ -14,8 +14,10 @@ Two ways in, both fully distributed:
 * :func:`read_ndjson_records` - true NDJSON, read line by line; files are
   split across tasks like any text source, so very large files scale.
 
-Both return ``(file_path, year, rec_pos, record, error)`` rows; rows with an
-error are the quarantine (S10/S11), the rest go to ``from_json``.
+Both return ``(file_path, year, block, rec_pos, record, error)`` rows, where
+``(file_path, block, rec_pos)`` orders records as they appear in the file;
+rows with an error are the quarantine (S10/S11), the rest go to
+``from_json``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from bibflow.session import ship_package
 from bibflow.sources import fs
 from bibflow.sources.json_text import split_records
 
-SPLIT_SCHEMA = "file_path STRING, year INT, rec_pos INT, record STRING, error STRING"
+SPLIT_SCHEMA = "file_path STRING, year INT, block BIGINT, rec_pos BIGINT, record STRING, error STRING"
 
 # A year directory is named ``2019`` or ``year=2019`` (fixed pattern).
 YEAR_IN_PATH = r"/(?:year=)?(\d{4})/[^/]*$"
@@ -80,12 +82,14 @@ def read_texts(spark: SparkSession, pattern: str, name_glob: str | None = None)
 
 
 def _split_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols: dict[str, list] = {"file_path": [], "year": [], "rec_pos": [], "record": [], "error": []}
+    cols: dict[str, list] = {"file_path": [], "year": [], "block": [], "rec_pos": [], "record": [],
+                             "error": []}
 
     def flush() -> pd.DataFrame:
         out = pd.DataFrame(cols)
         out["year"] = out["year"].astype("Int32")
-        out["rec_pos"] = out["rec_pos"].astype("int32")
+        out["block"] = out["block"].astype("int64")
+        out["rec_pos"] = out["rec_pos"].astype("int64")
         for v in cols.values():
             v.clear()
         return out
@@ -96,6 +100,7 @@ def _split_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pos, rec, err in split_records(text):
                 cols["file_path"].append(path)
                 cols["year"].append(y)
+                cols["block"].append(0)
                 cols["rec_pos"].append(pos)
                 cols["record"].append(rec)
                 cols["error"].append(err)
@@ -126,12 +131,36 @@ def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | Non
     return split_files(texts)
 
 
-def read_ndjson_records(spark: SparkSession, pattern: str, name_glob: str | None = None) -> DataFrame:
-    """Line-delimited JSON, split across tasks (S09 for true NDJSON).
+def line_rows(df: DataFrame) -> DataFrame:
+    """Text lines (line-mode text source, batch or stream) with their file
+    position: ``(file_path, year, block, value)``."""
+    return df.select(F.col("_metadata.file_path").alias("file_path"),
+                     year_of(F.col("_metadata.file_path")).alias("year"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     "value")
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """``(file_path, year, block, value)`` lines -> split rows.
 
     Blank lines are skipped; a line that is not one JSON object is a
     ``malformed`` quarantine row, and reading continues with the next line.
+    Validation stays in the JVM (``from_json`` to a generic map).
+    ``rec_pos`` increases with the line order inside one split (``block``).
     """
+    rec = F.trim(F.col("value"))
+    out = lines.filter(rec != "").select(
+        "file_path", "year", "block",
+        F.monotonically_increasing_id().alias("rec_pos"),
+        rec.alias("record"))
+    is_object = F.col("record").startswith("{") & F.from_json(
+        "record", "MAP<STRING, STRING>", {"mode": "PERMISSIVE"}).isNotNull()
+    return out.withColumn("error", F.when(is_object, F.lit(None).cast("string"))
+                                    .otherwise(F.lit("malformed")))
+
+
+def read_ndjson_records(spark: SparkSession, pattern: str, name_glob: str | None = None) -> DataFrame:
+    """Line-delimited JSON, split across tasks (S09 for true NDJSON)."""
     reader = spark.read
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -141,20 +170,20 @@ def read_ndjson_records(spark: SparkSession, pattern: str, name_glob: str | None
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return spark.createDataFrame([], SPLIT_SCHEMA)
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        year_of(F.col("_metadata.file_path")).alias("year"),
-        F.trim(F.col("value")).alias("record"))
-    lines = lines.filter(F.col("record") != "")
-    # A valid record is a JSON object: checked in the JVM with the generic
-    # map schema (malformed text parses to NULL under PERMISSIVE).
-    as_map = F.from_json("record", "MAP<STRING, STRING>", {"mode": "PERMISSIVE"})
-    return lines.select(
-        "file_path", "year",
-        F.lit(None).cast("int").alias("rec_pos"),
-        "record",
-        F.when(F.col("record").startswith("{") & as_map.isNotNull(), F.lit(None).cast("string"))
-         .otherwise(F.lit("malformed")).alias("error"))
+    return split_lines(line_rows(lines))
+
+
+def read_tree_records(spark: SparkSession, base: str, years: Iterable[int] | None = None,
+                      name_glob: str = "*", dir_format: str = "{year}", layout: str = "whole",
+                      require_base: bool = True) -> DataFrame:
+    """A year tree in either layout: ``whole`` (any JSON layout per file,
+    via the splitter) or ``lines`` (NDJSON, splittable)."""
+    if layout == "whole":
+        return read_file_records(spark, base, years, name_glob, dir_format, require_base)
+    if require_base and not fs.exists(spark, base):
+        raise FileNotFoundError(f"base directory does not exist: {base}")
+    return read_ndjson_records(spark, year_paths(base, years, "*", dir_format),
+                               name_glob=None if name_glob == "*" else name_glob)
 
 
 CORRUPT_COL = "_corrupt_record"
@@ -210,7 +239,7 @@ def file_status(split: DataFrame) -> DataFrame:
     ).drop("truncated")
 
 
-def parse_records(split: DataFrame, schema, keep: Sequence[str] = ("file_path", "year", "rec_pos")
+def parse_records(split: DataFrame, schema, keep: Sequence[str] = ("file_path", "year", "block", "rec_pos")
                   ) -> DataFrame:
     """Kept records -> declared schema columns."""
     parsed = good(split).select(*keep, F.from_json("record", schema, {"mode": "PERMISSIVE"}).alias("r"))

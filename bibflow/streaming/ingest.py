@@ -8,8 +8,8 @@ or window: the only state is the keyed table itself.
 
 Exactly-once: a micro-batch that is replayed after a failure upserts the
 same rows with the same order keys, which leaves the table unchanged.  The
-arrival order used by the table is ``(batch_id, file_path, rec_pos)``, so a
-record in a later batch replaces one seen earlier.
+arrival order used by the table is ``(batch_id, file_path, block, rec_pos)``,
+so a record in a later batch replaces one seen earlier.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from bibflow.operators.flatten import filter_records
 from bibflow.operators.upsert import keyed_rows
 from bibflow.plans.pipelines import nested_relation, scraped_relation
 from bibflow.sinks.keyed_table import KeyedTable
-from bibflow.sources.files import good, split_files, year_of
+from bibflow.sources.files import good, line_rows, split_files, split_lines, year_of
 
 RELATIONS: dict[str, Callable[..., DataFrame]] = {
     "nested": nested_relation,
@@ -33,28 +33,36 @@ RELATIONS: dict[str, Callable[..., DataFrame]] = {
 
 
 def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
-                name_glob: str | None = None) -> DataFrame:
-    """Streaming ``(file_path, year, value)`` of whole files."""
+                name_glob: str | None = None, layout: str = "lines") -> DataFrame:
+    """Streaming text of new files.
+
+    ``layout="lines"``: NDJSON, one row per line with its position (splittable,
+    so large files spread over tasks); ``"whole"``: one row per file for
+    concatenated / pretty-printed / array files, split by the record splitter.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
+    if layout == "lines":
+        return line_rows(reader.text(source_dir))
     df = reader.text(source_dir, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("file_path"),
                      year_of(F.col("_metadata.file_path")).alias("year"), "value")
 
 
-def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1
+def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "lines"
                  ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch of files -> table."""
     relation = RELATIONS[feed]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        records = good(split_files(batch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        keep = ["batch_id", "file_path", "rec_pos"]
+        split = split_lines(batch) if layout == "lines" else split_files(batch)
+        records = good(split).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        keep = ["batch_id", "file_path", "block", "rec_pos"]
         rel = filter_records(relation(records, "record", keep=keep))
-        order = [F.lit(feed_rank), F.col("batch_id"), F.col("file_path"), F.col("rec_pos")]
+        order = [F.lit(feed_rank), *[F.col(c) for c in keep]]
         table.upsert(keyed_rows(rel, order), unique=True)
 
     return run
@@ -62,12 +70,12 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1
 
 def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkpoint: str,
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, layout: str = "lines") -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
     directory's current files are all processed."""
-    stream = file_stream(spark, source_dir, max_files_per_trigger)
+    stream = file_stream(spark, source_dir, max_files_per_trigger, layout=layout)
     writer = (stream.writeStream
-                    .foreachBatch(upsert_batch(table, feed, feed_rank))
+                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
