@@ -70,11 +70,16 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
 
 def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkpoint: str,
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
-                 available_now: bool = True, layout: str = "lines") -> StreamingQuery:
+                 available_now: bool = True, layout: str = "lines",
+                 query_name: str | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
-    directory's current files are all processed."""
+    directory's current files are all processed.  ``query_name`` labels the
+    progress events (see :mod:`bibflow.streaming.progress`)."""
     stream = file_stream(spark, source_dir, max_files_per_trigger, layout=layout)
-    writer = (stream.writeStream
+    writer = stream.writeStream
+    if query_name:
+        writer = writer.queryName(query_name)
+    writer = (writer
                     .foreachBatch(upsert_batch(table, feed, feed_rank, layout))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -28,3 +28,25 @@ def test_stream_equals_batch_and_resumes(spark, sf_dir):
     got = table.read()
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0
+
+
+def test_progress_listener_counts_input_rows(spark, sf_dir):
+    import time
+
+    from bibflow.streaming.progress import attach, detach
+
+    records = fixtures.nested_records(spark, sf_dir)
+    src = scratch_path(spark, "t-progress-src")
+    records.select("record").repartition(3).write.text(src)
+    table = KeyedTable(spark, scratch_path(spark, "t-progress-table"), RECORD_SCHEMA, n_buckets=4)
+    log = attach(spark, "t-progress")
+    try:
+        start_ingest(spark, src, table, scratch_path(spark, "t-progress-ckpt"), max_files_per_trigger=1,
+                     query_name="t-progress").awaitTermination()
+        deadline = time.time() + 30  # progress events arrive asynchronously
+        while log.total("t-progress") < records.count() and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        detach(spark, log)
+    assert log.total("t-progress") == records.count()
+    assert [b.running_total for b in log.batches][-1] == records.count()
