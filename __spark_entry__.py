@@ -12,22 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow import functions as BF
-
 from bibflow import fixtures
+from bibflow import functions as BF
 from bibflow import oracle_sql as O
-from bibflow.operators import flatten as FL
-from bibflow.operators.upsert import latest_per_key, with_feed_rank
 from bibflow.operators import chunks as CH
+from bibflow.operators import flatten as FL
 from bibflow.operators import reports as R
-from bibflow.operators.upsert import ORDER_COL
+from bibflow.operators.upsert import ORDER_COL, latest_per_key, with_feed_rank
 from bibflow.plans import jobs as J
 from bibflow.plans import pipelines as P
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import scratch_path
 from bibflow.sinks.keyed_table import KeyedTable
-from bibflow.streaming.ingest import start_ingest
 from bibflow.sources import files as SF
+from bibflow.streaming.ingest import start_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

@@ -155,7 +155,14 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat scraped record per order: ``(seq, record)``."""
+    """One flat scraped record per order: ``(seq, record)``.
+
+    Every order gets a record; some values are deliberately absent or bad:
+    NULL document type for every 11th order (dropped by the type filter), an
+    unparseable cover date for every 13th, citation counts written as
+    ``'<n>.0'`` for every 7th, no keywords for every 5th, no affiliation and
+    a NULL open-access flag for status ``P``.
+    """
     o = table(spark, sf_dir, "orders")
     lines = order_lines(spark, sf_dir).select("l_orderkey", "authors")
     d = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
