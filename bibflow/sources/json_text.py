@@ -25,8 +25,9 @@ import re
 from collections.abc import Iterator
 
 _DECODER = json.JSONDecoder()
-# String literals (with escapes) and brackets; everything else is skipped.
-_TOKENS = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]', re.S)
+# Complete string literals (with escapes), a quote that opens a string never
+# closed before the end of the text, and brackets; everything else is skipped.
+_TOKENS = re.compile(r'(?P<s>"(?:[^"\\]|\\.)*")|(?P<u>")|(?P<b>[{}\[\]])', re.S)
 _SEPARATORS = " \t\r\n,﻿"
 
 OK = None
@@ -46,6 +47,10 @@ def balanced_end(text: str, start: int) -> int:
     """Index after the bracket closing the one at ``start``; -1 if none."""
     depth = 0
     for m in _TOKENS.finditer(text, start):
+        if m.lastgroup == "s":
+            continue
+        if m.lastgroup == "u":
+            return -1  # an unclosed string runs to the end of the text
         tok = m.group()
         if tok in "{[":
             depth += 1
