@@ -51,6 +51,7 @@ def assign_chunks(df: DataFrame, order_col: str, chunk_size: int = 1000, n_bucke
     if n_buckets is None:
         floor = df.sparkSession.sparkContext.defaultParallelism
         n_buckets = max(floor, -(-df.count() // ROWS_PER_BUCKET))
+    n_buckets = max(2, n_buckets)  # a constant bucket would make the offset join a cross join
     if rel_error is None:
         rel_error = min(0.001, 0.1 / n_buckets)
     bucketed = _buckets(df.withColumn("__order_num", F.col(order_col).cast("double")),
