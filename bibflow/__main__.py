@@ -53,14 +53,14 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session()
     if args.cmd == "ingest":
-        from bibflow.plans.jobs import ingest_tree
+        from bibflow.plans.jobs import ingest_both, ingest_tree
         table = KeyedTable(spark, args.table, RECORD_SCHEMA, n_buckets=args.buckets)
-        out = {"nested": ingest_tree(spark, args.nested, table, "nested", quarantine_path=args.quarantine,
-                                     layout=args.layout)}
         if args.scraped:
-            out["scraped"] = ingest_tree(spark, args.scraped, table, "scraped",
-                                         years=_years(args.scraped_years), name_glob="*.json",
-                                         quarantine_path=args.quarantine, layout=args.layout)
+            out = ingest_both(spark, args.nested, args.scraped, table, _years(args.scraped_years),
+                              quarantine_path=args.quarantine, layout=args.layout)
+        else:
+            out = {"nested": ingest_tree(spark, args.nested, table, "nested",
+                                         quarantine_path=args.quarantine, layout=args.layout)}
         print(json.dumps({k: vars(v) for k, v in out.items()}))
     elif args.cmd == "stream":
         from bibflow.streaming.ingest import start_ingest

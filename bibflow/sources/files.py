@@ -36,6 +36,9 @@ from bibflow.sources.json_text import split_records
 
 SPLIT_SCHEMA = "file_path STRING, year INT, block BIGINT, rec_pos BIGINT, record STRING, error STRING"
 
+# Years the scraped feed is read from (fixed values: 2013 to 2023 inclusive).
+SCRAPED_YEARS = range(2013, 2024)
+
 # A year directory is named ``2019`` or ``year=2019`` (fixed pattern).
 YEAR_IN_PATH = r"/(?:year=)?(\d{4})/[^/]*$"
 
