@@ -90,7 +90,7 @@ def _one_or_many(arr: Column) -> Column:
 
 def _append_raw(obj_json: Column, key: str, value_json: Column) -> Column:
     """``{...}`` + key + raw JSON value -> ``{..., "key": value}``."""
-    body = F.regexp_replace(obj_json, r"\}$", "")
+    body = obj_json.substr(F.lit(1), F.length(obj_json) - 1)
     return F.concat(body, F.lit(f',"{key}":'), value_json, F.lit("}"))
 
 
