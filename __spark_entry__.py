@@ -308,7 +308,7 @@ def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serialized record size per source and the chunk size it allows."""
     docs = fixtures.table(spark, sf_dir, "documents")
-    return R.record_size_profile(docs, "source").drop("chunk_size")
+    return R.record_size_profile(docs, "source")
 
 
 def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

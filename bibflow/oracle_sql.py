@@ -369,10 +369,13 @@ def ingest_metrics() -> str:
 
 
 def record_size_profile() -> str:
-    return """SELECT source, count(*) AS n_records,
-                     avg(strlen(CAST(to_json(d) AS VARCHAR))) AS avg_bytes,
-                     CAST(max(strlen(CAST(to_json(d) AS VARCHAR))) AS INTEGER) AS max_bytes
-              FROM documents d GROUP BY source"""
+    return """SELECT source, n_records, avg_bytes, max_bytes,
+                     CAST(floor(0.75 * 24 * 1024 * 1024 * 1024 / avg_bytes) AS BIGINT) AS chunk_size,
+                     CAST(floor(128 * 1024 * 1024 / avg_bytes) AS BIGINT) AS records_per_file
+              FROM (SELECT source, count(*) AS n_records,
+                           avg(strlen(CAST(to_json(d) AS VARCHAR))) AS avg_bytes,
+                           CAST(max(strlen(CAST(to_json(d) AS VARCHAR))) AS INTEGER) AS max_bytes
+                    FROM documents d GROUP BY source)"""
 
 
 def merge_feeds_fill_nulls() -> str:
