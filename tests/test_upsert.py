@@ -56,3 +56,21 @@ def test_fill_nulls_keeps_earlier_values(spark):
     filled = P.merged_pipeline(a, b, fill_nulls=True).first()
     assert whole["title"] == "s" and whole["publisher"] is None and whole["subject_code"] is None
     assert filled["title"] == "s" and filled["publisher"] == "P" and filled["subject_code"] == "9"
+
+
+def test_hot_doi_holding_a_third_of_records(spark, sf_dir):
+    """One DOI shared by a third of all records: still one row, the latest."""
+    recs = fixtures.nested_records(spark, sf_dir)
+    hot = F.regexp_replace("record", r'"prism:doi":"[^"]*"', '"prism:doi":"10.9999/hot"')
+    skewed = recs.withColumn("record", F.when(F.col("seq") % 3 == 0, hot).otherwise(F.col("record")))
+    rel = filter_records(P.nested_relation(skewed, keep=["seq"]))
+    fast = upsert_records(rel, order=["seq"])
+    w = Window.partitionBy("doi").orderBy(F.col("seq").desc(), F.col("subject").desc(),
+                                          F.col("author").desc())
+    brute = to_table_rows(cross_explode(rel).withColumn("rn", F.row_number().over(w)).filter("rn = 1"))
+    assert fast.filter("doi = '10.9999/hot'").count() == 1
+    assert fast.count() == brute.count() and fast.exceptAll(brute).count() == 0
+    n_hot = rel.filter("doi = '10.9999/hot'").count()
+    assert n_hot > rel.count() / 4
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
