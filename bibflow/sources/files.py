@@ -209,11 +209,17 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     df = reader.json(pattern)
+    # A file that failed to parse has every data field NULL and its text in
+    # the corrupt column.  The flag reads a data field as well: Spark refuses
+    # a scan whose only required column is the corrupt one, which is what a
+    # ``count()`` over the good rows would otherwise prune this to.
+    first = F.col(st.fields[0].name)
+    bad = F.col(CORRUPT_COL).isNotNull() & first.isNull()
     return df.select(
         *[F.col(f.name) for f in st.fields],
         F.col("_metadata.file_path").alias("file_path"),
         year_of(F.col("_metadata.file_path")).alias("year"),
-        F.when(F.col(CORRUPT_COL).isNotNull(), F.lit("malformed_file")).alias("error"))
+        F.when(bad, F.lit("malformed_file")).alias("error"))
 
 
 def good(split: DataFrame) -> DataFrame:
