@@ -99,9 +99,8 @@ def upsert_records(records: DataFrame, order: Sequence[str | Column],
                    key: str = "doi", fill_nulls: bool = False) -> DataFrame:
     """Typed record-level relation -> keyed table rows (one per DOI).
 
-    ``fill_nulls=True``: a later record does not overwrite a value with NULL
-    (each column keeps its latest non-NULL value; subject and author stay
-    whole structs).
+    ``fill_nulls=True``: a later record does not overwrite a value with NULL;
+    each table column keeps its latest non-NULL value.
     """
     return keyed_rows(records, order, key, fill_nulls).drop(ORDER_COL)
 

@@ -40,3 +40,11 @@ def test_keyed_table_upsert_latest_wins_and_rerun_is_idempotent(spark):
     assert first == {"a": "a2", "b": "b1", "c": "c2"}
     table.upsert(batch2)
     assert {r.doi: r.title for r in table.read().collect()} == first
+
+
+def test_keyed_table_fill_nulls(spark):
+    table = KeyedTable(spark, scratch_path(spark, "t-keyed-fill"), RECORD_SCHEMA, n_buckets=4,
+                       fill_nulls=True)
+    table.upsert(_rows(spark, [("a", "a1", 1)]))
+    table.upsert(_rows(spark, [("a", None, 2), ("b", "b2", 2)]))
+    assert {r.doi: r.title for r in table.read().collect()} == {"a": "a1", "b": "b2"}
