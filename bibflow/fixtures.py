@@ -53,34 +53,45 @@ def _src_type(o: DataFrame) -> Column:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: sorted distinct subjects, sorted distinct authors, line count.
 
-    One shuffle of ``lineitem`` by order key.  ``collect_set`` deduplicates
-    map-side, so a hot order is reduced before the shuffle; each set is
-    bounded by the number of distinct codes / suppliers.  The subject lookup
-    has at most ``N_SUBJECT_CODES`` rows (grouped by key), which is the size
-    bound that makes broadcasting it safe.  The supplier join is left to the
-    planner (AQE broadcasts it only when its measured size is small).
+    One shuffle of ``lineitem`` by order key.  The aggregate collects only
+    small flat values (subject codes; supplier key, name, nation), deduplicated
+    map-side by ``collect_set``, so a hot order is reduced before the shuffle
+    and each set is bounded by the distinct codes / suppliers.  The nested
+    author structs are built afterwards with ``transform``.  Subject names come
+    from a lookup grouped to at most ``N_SUBJECT_CODES`` rows: that bound is
+    what makes turning it into a literal map safe.  The supplier join is left
+    to the planner (AQE broadcasts it only when its measured size is small).
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    subject_lookup = (table(spark, sf_dir, "part")
-                      .filter(F.col("p_partkey") < N_SUBJECT_CODES)
-                      .groupBy("p_partkey")
-                      .agg(F.min("p_brand").alias("abbrev"), F.min("p_name").alias("name")))
+    lookup = (table(spark, sf_dir, "part")
+              .filter(F.col("p_partkey") < N_SUBJECT_CODES)
+              .groupBy("p_partkey")
+              .agg(F.min("p_brand").alias("abbrev"), F.min("p_name").alias("name"))
+              .collect())  # at most N_SUBJECT_CODES rows
+
+    def named(field: str):
+        if not lookup:
+            return lambda code: F.lit(None).cast("string")
+        m = F.create_map(*[x for r in lookup for x in (F.lit(r.p_partkey), F.lit(r[field]))])
+        return lambda code: F.element_at(m, code)
+
+    abbrev, name = named("abbrev"), named("name")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    joined = (li.withColumn("code", F.col("l_partkey") % N_SUBJECT_CODES)
-                .join(F.broadcast(subject_lookup), F.col("code") == F.col("p_partkey"), "left")
-                .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
-    subject = F.struct(_text(F.col("code")).alias("@code"), F.col("abbrev").alias("@abbrev"),
-                       F.col("name").alias("$"))
-    author = F.struct(
-        F.struct(F.col("s_name").alias("ce:given-name"),
-                 _text(F.col("l_suppkey")).alias("ce:surname")).alias("preferred-name"),
-        F.concat(F.lit(AUTHOR_URL_PREFIX), _text(F.col("l_suppkey"))).alias("author-url"),
-        F.struct(_text(F.col("s_nationkey")).alias("@id")).alias("affiliation"),
-    )
-    return (joined.groupBy("l_orderkey")
-                  .agg(F.sort_array(F.collect_set(subject)).alias("subjects"),
-                       F.sort_array(F.collect_set(author)).alias("authors"),
-                       F.count(F.lit(1)).alias("n_lines")))
+    per_order = (li.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+                   .groupBy("l_orderkey")
+                   .agg(F.collect_set(F.col("l_partkey") % N_SUBJECT_CODES).alias("codes"),
+                        F.collect_set(F.struct("l_suppkey", "s_name", "s_nationkey")).alias("sups"),
+                        F.count(F.lit(1)).alias("n_lines")))
+    subjects = F.transform("codes", lambda c: F.struct(
+        _text(c).alias("@code"), abbrev(c).alias("@abbrev"), name(c).alias("$")))
+    authors = F.transform("sups", lambda s: F.struct(
+        F.struct(s["s_name"].alias("ce:given-name"),
+                 _text(s["l_suppkey"]).alias("ce:surname")).alias("preferred-name"),
+        F.concat(F.lit(AUTHOR_URL_PREFIX), _text(s["l_suppkey"])).alias("author-url"),
+        F.struct(_text(s["s_nationkey"]).alias("@id")).alias("affiliation"),
+    ))
+    return per_order.select("l_orderkey", F.sort_array(subjects).alias("subjects"),
+                            F.sort_array(authors).alias("authors"), "n_lines")
 
 
 def _one_or_many(arr: Column) -> Column:
