@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--buckets", type=int, default=256)
     st.add_argument("--continuous", action="store_true", help="keep running instead of availableNow")
     st.add_argument("--layout", choices=["whole", "lines"], default="lines")
+    st.add_argument("--quarantine")
     au = sub.add_parser("audit")
     au.add_argument("--base", required=True)
     au.add_argument("--years", default="2013-2023")
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
                      feed_rank=1 if args.feed == "nested" else 2,
                      max_files_per_trigger=args.max_files_per_trigger,
                      available_now=not args.continuous, layout=args.layout,
-                     query_name="bibflow-ingest").awaitTermination()
+                     query_name="bibflow-ingest", quarantine_path=args.quarantine).awaitTermination()
         for b in log.batches:
             print(json.dumps(vars(b)))
     elif args.cmd == "audit":

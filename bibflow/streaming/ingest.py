@@ -24,7 +24,7 @@ from bibflow.operators.flatten import filter_records
 from bibflow.operators.upsert import keyed_rows
 from bibflow.plans.pipelines import nested_relation, scraped_relation
 from bibflow.sinks.keyed_table import KeyedTable
-from bibflow.sources.files import good, line_rows, split_files, split_lines, year_of
+from bibflow.sources.files import good, line_rows, quarantine, split_files, split_lines, year_of
 
 RELATIONS: dict[str, Callable[..., DataFrame]] = {
     "nested": nested_relation,
@@ -52,18 +52,34 @@ def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
                      year_of(F.col("_metadata.file_path")).alias("year"), "value")
 
 
-def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "lines"
-                 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: one micro-batch of files -> table."""
+def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "lines",
+                 quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: one micro-batch of files -> table.
+
+    With ``quarantine_path`` the batch's malformed records are appended there
+    (tagged with ``batch_id``) instead of being left out silently.
+    """
     relation = RELATIONS[feed]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         split = split_lines(batch) if layout == "lines" else split_files(batch)
-        records = good(split).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        keep = ["batch_id", "file_path", "block", "rec_pos"]
-        rel = filter_records(relation(records, "record", keep=keep))
-        order = [F.lit(feed_rank), *[F.col(c) for c in keep]]
-        table.upsert(keyed_rows(rel, order), unique=True)
+        split = split.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if quarantine_path:
+            # Used twice (quarantine + records): computed once; a lost block
+            # is recomputed from the replayable file source.
+            split = split.persist()
+        try:
+            if quarantine_path:
+                # Keyed by batch id so a replayed batch replaces its own rows.
+                (quarantine(split).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("batch_id").parquet(quarantine_path))
+            keep = ["batch_id", "file_path", "block", "rec_pos"]
+            rel = filter_records(relation(good(split), "record", keep=keep))
+            order = [F.lit(feed_rank), *[F.col(c) for c in keep]]
+            table.upsert(keyed_rows(rel, order), unique=True)
+        finally:
+            if quarantine_path:
+                split.unpersist()
 
     return run
 
@@ -71,7 +87,7 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
 def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkpoint: str,
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
                  available_now: bool = True, layout: str = "lines",
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, quarantine_path: str | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
     directory's current files are all processed.  ``query_name`` labels the
     progress events (see :mod:`bibflow.streaming.progress`)."""
@@ -80,7 +96,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkp
     if query_name:
         writer = writer.queryName(query_name)
     writer = (writer
-                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout))
+                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

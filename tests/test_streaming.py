@@ -50,3 +50,16 @@ def test_progress_listener_counts_input_rows(spark, sf_dir):
         detach(spark, log)
     assert log.total("t-progress") == records.count()
     assert [b.running_total for b in log.batches][-1] == records.count()
+
+
+def test_stream_quarantines_bad_lines(spark, sf_dir):
+    src = scratch_path(spark, "t-q-src")
+    recs = fixtures.nested_records(spark, sf_dir)
+    bad = spark.createDataFrame([("{not json",), ('["an", "array"]',)], "record STRING")
+    recs.select("record").unionByName(bad).repartition(2).write.text(src)
+    table = KeyedTable(spark, scratch_path(spark, "t-q-table"), RECORD_SCHEMA, n_buckets=4)
+    qpath = scratch_path(spark, "t-q-quarantine")
+    start_ingest(spark, src, table, scratch_path(spark, "t-q-ckpt"), quarantine_path=qpath).awaitTermination()
+    q = spark.read.parquet(qpath)
+    assert sorted(r.record for r in q.collect()) == sorted(['["an", "array"]', "{not json"])
+    assert table.read().count() == P.nested_pipeline(recs).count()
