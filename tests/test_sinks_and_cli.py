@@ -29,3 +29,26 @@ def test_cli_ingest_both_feeds(spark, sf_dir, capsys):
     assert out["nested"]["records_kept"] == expected.count()
     got = spark.read.parquet(table).drop("__order", "bucket")
     assert got.exceptAll(expected).count() == 0
+
+
+def test_ingest_tree_quarantine_rerun_is_idempotent(spark):
+    import os
+    import tempfile
+
+    from bibflow.plans.jobs import ingest_tree
+    from bibflow.schemas import RECORD_SCHEMA
+    from bibflow.sinks.keyed_table import KeyedTable
+
+    base = tempfile.mkdtemp(prefix="bibflow-q-")
+    os.makedirs(os.path.join(base, "2015"))
+    rec = ('{"abstracts-retrieval-response":{"coredata":{"prism:doi":"d","subtypeDescription":"Article",'
+           '"prism:aggregationType":"Journal"}}}')
+    with open(os.path.join(base, "2015", "a.json"), "w") as f:
+        f.write(rec + '{"broken" "x"}' + rec.replace('"d"', '"e"'))
+    table = KeyedTable(spark, scratch_path(spark, "t-q-tbl"), RECORD_SCHEMA, n_buckets=2)
+    qpath = scratch_path(spark, "t-q-path")
+    for _ in range(2):
+        res = ingest_tree(spark, base, table, "nested", quarantine_path=qpath)
+    assert (res.records_read, res.records_kept, res.quarantined) == (2, 2, 1)
+    assert spark.read.parquet(qpath).count() == 1
+    assert sorted(r.doi for r in table.read().collect()) == ["d", "e"]
