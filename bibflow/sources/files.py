@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -45,7 +45,7 @@ YEAR_IN_PATH = r"/(?:year=)?(\d{4})/[^/]*$"
 _OUT_BATCH = 4096
 
 
-def year_of(path_col) -> "F.Column":
+def year_of(path_col: Column) -> Column:
     """Year directory of a file path; NULL when the directory is not a year."""
     y = F.regexp_extract(path_col, YEAR_IN_PATH, 1)
     return F.when(y == "", None).otherwise(y.cast("int"))

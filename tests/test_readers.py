@@ -91,3 +91,23 @@ def test_split_files_array_layout(spark):
         f.write('[{"id":1},\n {"id":2}, "x"]')
     split = SF.split_files(SF.read_texts(spark, f"{base}/*"))
     assert sorted((r.rec_pos, r.error) for r in split.collect()) == [(0, None), (1, None), (2, "not_object")]
+
+
+def test_all_years_ok(spark):
+    base = make_tree()
+    assert R.all_years_ok(R.year_audit(spark, base, 2014, 2016)).first().all_ok is True
+    assert R.all_years_ok(R.year_audit(spark, base, 2013, 2016)).first().all_ok is False
+
+
+def test_lines_layout_tree_with_year_and_name_filter(spark):
+    base = tempfile.mkdtemp(prefix="bibflow-lines-")
+    for rel, text in [("2014/a.json", '{"id":1}\n{"id":2}\n'), ("2014/b.txt", '{"id":3}\n'),
+                      ("2015/c.json", '{"id":4}\nnot json\n'), ("2016/d.json", '{"id":5}\n')]:
+        os.makedirs(os.path.dirname(os.path.join(base, rel)), exist_ok=True)
+        with open(os.path.join(base, rel), "w") as f:
+            f.write(text)
+    split = SF.read_tree_records(spark, base, years=[2014, 2015], name_glob="*.json", layout="lines")
+    assert sorted(r.id for r in SF.parse_records(split, "id INT").collect()) == [1, 2, 4]
+    assert [r.year for r in SF.quarantine(split).collect()] == [2015]
+    rows = SF.parse_records(split, "id INT").orderBy("file_path", "block", "rec_pos").collect()
+    assert [r.id for r in rows] == [1, 2, 4]
