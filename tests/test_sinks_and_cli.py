@@ -72,3 +72,25 @@ def test_document_layout_equals_whole_layout(spark, sf_dir):
     expected = P.nested_pipeline(recs)
     assert docs.count() == expected.count()
     assert docs.exceptAll(expected).count() == 0 and whole.exceptAll(docs).count() == 0
+
+
+def test_ingest_tree_document_layout_counters(spark, sf_dir):
+    import os
+    import tempfile
+
+    from bibflow.plans.jobs import ingest_tree
+    from bibflow.schemas import RECORD_SCHEMA
+    from bibflow.sinks.keyed_table import KeyedTable
+
+    base = tempfile.mkdtemp(prefix="bibflow-doc-")
+    os.makedirs(os.path.join(base, "2015"))
+    rec = ('{"abstracts-retrieval-response":{"coredata":{"prism:doi":"%s","subtypeDescription":"%s",'
+           '"prism:aggregationType":"Journal"}}}')
+    for name, text in [("a.json", "[%s,%s]" % (rec % ("d", "Article"), rec % ("e", "Conference Paper"))),
+                       ("b.json", rec % ("f", "Article")), ("c.json", "[{broken")]:
+        with open(os.path.join(base, "2015", name), "w") as f:
+            f.write(text)
+    table = KeyedTable(spark, scratch_path(spark, "t-doc-tbl"), RECORD_SCHEMA, n_buckets=2)
+    res = ingest_tree(spark, base, table, "nested", layout="document")
+    assert (res.records_read, res.records_kept, res.quarantined) == (3, 2, 1)
+    assert sorted(r.doi for r in table.read().collect()) == ["d", "f"]
