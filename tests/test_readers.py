@@ -111,3 +111,12 @@ def test_lines_layout_tree_with_year_and_name_filter(spark):
     assert [r.year for r in SF.quarantine(split).collect()] == [2015]
     rows = SF.parse_records(split, "id INT").orderBy("file_path", "block", "rec_pos").collect()
     assert [r.id for r in rows] == [1, 2, 4]
+
+
+def test_requested_years_partly_or_wholly_missing(spark):
+    base = make_tree()
+    split = SF.read_file_records(spark, base, years=[2010, 2014, 2030])
+    assert sorted(r.id for r in SF.parse_records(split, "id STRING").collect()) == ["1", "2", "3", "4"]
+    assert SF.read_file_records(spark, base, years=[1990, 1991]).count() == 0
+    assert SF.read_tree_records(spark, base, years=[1990], layout="lines").count() == 0
+    assert SF.year_paths(base, [2014, 2015]).endswith("/{2014,2015}/*")
