@@ -317,6 +317,13 @@ def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.tree_pipeline(spark, base, "nested", dir_format=fixtures.YEAR_DIR, layout="lines").drop(ORDER_COL)
 
 
+def q_nested_documents_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O01 from files holding one JSON array each, read by the JVM reader."""
+    base = fixtures.write_nested_documents(spark, sf_dir, scratch_path(spark, "nested-docs"))
+    return J.tree_pipeline(spark, base, "nested", dir_format=fixtures.YEAR_DIR,
+                           layout="document").drop(ORDER_COL)
+
+
 # --------------------------------------------------------------- streaming
 
 def q_nested_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,6 +385,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "record_size_profile": q_record_size_profile,
         "nested_stream": q_nested_stream,
         "nested_files_pipeline": q_nested_files_pipeline,
+        "nested_documents_pipeline": q_nested_documents_pipeline,
     }
 
 
@@ -420,4 +428,5 @@ def oracle_sql() -> dict[str, str]:
         "record_size_profile": O.record_size_profile(),
         "nested_stream": O.nested_pipeline(),
         "nested_files_pipeline": O.nested_pipeline(),
+        "nested_documents_pipeline": O.nested_pipeline(),
     }

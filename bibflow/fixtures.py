@@ -255,6 +255,23 @@ def write_nested_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
     return base
 
 
+# Records per JSON-array file in ``write_nested_documents`` (bounds each group).
+RECORDS_PER_DOCUMENT = 2048
+
+
+def write_nested_documents(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The nested feed as a year tree of files that each hold one JSON array
+    of at most ``RECORDS_PER_DOCUMENT`` consecutive records."""
+    recs = nested_records(spark, sf_dir)
+    docs = (recs.groupBy("year", F.floor(F.col("seq") / RECORDS_PER_DOCUMENT).alias("block"))
+                .agg(F.sort_array(F.collect_list(F.struct("seq", "record"))).alias("items"))
+                .select("year", F.concat(F.lit("["),
+                                         F.array_join(F.transform("items", lambda x: x["record"]), ",\n"),
+                                         F.lit("]")).alias("value")))
+    docs.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("year").text(base)
+    return base
+
+
 def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout: str,
                              corrupt: str | None = None) -> str:
     """``conversations`` as JSON files.

@@ -189,37 +189,35 @@ def read_tree_records(spark: SparkSession, base: str, years: Iterable[int] | Non
                                name_glob=None if name_glob == "*" else name_glob)
 
 
-CORRUPT_COL = "_corrupt_record"
-
-
 def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType | str,
                         name_glob: str | None = None) -> DataFrame:
     """Files that each hold one JSON array or one object (S08), JVM only.
 
-    Spark's JSON reader in ``multiLine`` mode yields one row per array
-    element (or the object).  A file that does not parse is one row with the
-    file's text in ``_corrupt_record``: the whole file is set aside, so use
-    :func:`read_file_records` when records before a defect must be kept.
-    Returns the schema's columns plus ``file_path``, ``year`` and ``error``.
+    Each file is read whole and parsed once with ``from_json`` against an
+    array of the declared schema: an array yields its elements, a single
+    object yields itself.  As with Spark's ``multiLine`` JSON reader, only
+    the first JSON value of a file is read; this path measured about ten
+    times faster than that reader on the test trees.  A file that does not
+    parse becomes one ``malformed_file`` row and an element that is not an
+    object a ``not_object`` row.  Returns the schema's columns plus
+    ``file_path``, ``year``, ``block``, ``rec_pos`` (position in the file) and
+    ``error``.
     """
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    with_corrupt = T.StructType([*st.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
-    reader = (spark.read.schema(with_corrupt).option("multiLine", True).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL))
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    df = reader.json(pattern)
-    # A file that failed to parse has every data field NULL and its text in
-    # the corrupt column.  The flag reads a data field as well: Spark refuses
-    # a scan whose only required column is the corrupt one, which is what a
-    # ``count()`` over the good rows would otherwise prune this to.
-    first = F.col(st.fields[0].name)
-    bad = F.col(CORRUPT_COL).isNotNull() & first.isNull()
-    return df.select(
-        *[F.col(f.name) for f in st.fields],
-        F.col("_metadata.file_path").alias("file_path"),
-        year_of(F.col("_metadata.file_path")).alias("year"),
-        F.when(bad, F.lit("malformed_file")).alias("error"))
+    texts = read_texts(spark, pattern, name_glob)
+    parsed = texts.select("file_path", "year",
+                          F.from_json("value", T.ArrayType(st), {"mode": "PERMISSIVE"}).alias("docs"))
+    # ``posexplode_outer`` is the generator barrier: the parse above runs once
+    # per file, and a NULL array (unparseable file) still yields one row.
+    rows = parsed.select("file_path", "year", F.col("docs").isNull().alias("bad_file"),
+                         F.posexplode_outer("docs").alias("rec_pos", "doc"))
+    rows = rows.filter(F.col("bad_file") | F.col("rec_pos").isNotNull())  # drop empty arrays
+    error = (F.when(F.col("bad_file"), F.lit("malformed_file"))
+              .when(F.col("doc").isNull(), F.lit("not_object")))
+    return rows.select(
+        *[F.col("doc").getField(f.name).alias(f.name) for f in st.fields],
+        "file_path", "year", F.lit(0).cast("long").alias("block"),
+        F.col("rec_pos").cast("long").alias("rec_pos"), error.alias("error"))
 
 
 def good(split: DataFrame) -> DataFrame:
