@@ -120,3 +120,14 @@ def test_requested_years_partly_or_wholly_missing(spark):
     assert SF.read_file_records(spark, base, years=[1990, 1991]).count() == 0
     assert SF.read_tree_records(spark, base, years=[1990], layout="lines").count() == 0
     assert SF.year_paths(base, [2014, 2015]).endswith("/{2014,2015}/*")
+
+
+def test_json_documents_empty_array_and_positions(spark):
+    base = tempfile.mkdtemp(prefix="bibflow-docs2-")
+    for name, text in [("a.json", '[{"id":1},{"id":2},{"id":3}]'), ("b.json", "[]"), ("c.json", "{bad")]:
+        with open(os.path.join(base, name), "w") as f:
+            f.write(text)
+    docs = SF.read_json_documents(spark, f"{base}/*", "id INT")
+    rows = sorted((os.path.basename(r.file_path), r.rec_pos, r.id, r.error) for r in docs.collect())
+    assert rows == [("a.json", 0, 1, None), ("a.json", 1, 2, None), ("a.json", 2, 3, None),
+                    ("c.json", None, None, "malformed_file")]
