@@ -66,16 +66,17 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({k: vars(v) for k, v in out.items()}))
     elif args.cmd == "stream":
         from bibflow.streaming.ingest import start_ingest
-        from bibflow.streaming.progress import attach
         table = KeyedTable(spark, args.table, RECORD_SCHEMA, n_buckets=args.buckets)
-        log = attach(spark, "bibflow-ingest")
-        start_ingest(spark, args.source, table, args.checkpoint, feed=args.feed,
-                     feed_rank=1 if args.feed == "nested" else 2,
-                     max_files_per_trigger=args.max_files_per_trigger,
-                     available_now=not args.continuous, layout=args.layout,
-                     query_name="bibflow-ingest", quarantine_path=args.quarantine).awaitTermination()
-        for b in log.batches:
-            print(json.dumps(vars(b)))
+        query = start_ingest(spark, args.source, table, args.checkpoint, feed=args.feed,
+                             feed_rank=1 if args.feed == "nested" else 2,
+                             max_files_per_trigger=args.max_files_per_trigger,
+                             available_now=not args.continuous, layout=args.layout,
+                             query_name="bibflow-ingest", quarantine_path=args.quarantine)
+        query.awaitTermination()
+        total = 0
+        for p in query.recentProgress:  # synchronous, unlike listener events
+            total += int(p.numInputRows)
+            print(json.dumps({"batch_id": p.batchId, "input_rows": p.numInputRows, "running_total": total}))
     elif args.cmd == "audit":
         from bibflow.operators.reports import year_audit
         yrs = _years(args.years)
