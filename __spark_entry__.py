@@ -27,6 +27,12 @@ from bibflow.sinks.keyed_table import KeyedTable
 from bibflow.sources import files as SF
 from bibflow.streaming.ingest import start_ingest
 
+# The training-data operators are an optional part of the installation.
+try:
+    from bibflow.llm import queries as llm
+except ModuleNotFoundError:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -386,7 +392,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nested_stream": q_nested_stream,
         "nested_files_pipeline": q_nested_files_pipeline,
         "nested_documents_pipeline": q_nested_documents_pipeline,
-    }
+    } | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
@@ -429,4 +435,4 @@ def oracle_sql() -> dict[str, str]:
         "nested_stream": O.nested_pipeline(),
         "nested_files_pipeline": O.nested_pipeline(),
         "nested_documents_pipeline": O.nested_pipeline(),
-    }
+    } | (llm.oracle_sql() if llm else {})
