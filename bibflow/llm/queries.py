@@ -5,9 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, mixing, quality_rules
+from bibflow.llm import exact_dedup, mixing, packing, quality_rules, token_counts
 from bibflow.llm.common import table
 
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
+    return out.toDF("doc_id", "n_bytes", "n_tokens", "over_limit")
+
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
@@ -23,6 +37,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document goes."""
+    out = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
+    return out.toDF("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older half of the ids as history, the rest as the batch looked up in it; every row is returned."""
     docs = table(spark, sf_dir, "documents")
@@ -33,8 +53,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_token_counts": op1_token_counts,
         "op2_quality_rules": op2_quality_rules,
         "op4_mixing": op4_mixing,
+        "op7_packing": op7_packing,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
