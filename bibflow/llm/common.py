@@ -79,7 +79,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:  # every node sees all neighbours; larger ones move to the minimum
             both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+            least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
             return (both.where("b > a").join(least, "a")
                     .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # edges point from larger a to smaller b; the rest of a's neighbours move to the minimum

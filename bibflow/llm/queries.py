@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, mixing, packing, quality_rules, token_counts
+from bibflow.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts
 from bibflow.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -30,6 +30,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.toDF("doc_id", "fingerprint", "component_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def queries() -> dict:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_quality_rules": op2_quality_rules,
+        "op3_simhash": op3_simhash,
         "op4_mixing": op4_mixing,
         "op7_packing": op7_packing,
         "op9_exact_dedup": op9_exact_dedup,
