@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, mixing, packing, quality_rules, simhash, token_counts
+from bibflow.llm import exact_dedup, line_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
 from bibflow.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -43,12 +43,27 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from every document and the digest of what is left."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("ld_lines").cast("long").alias("n_lines"), F.col("ld_removed").cast("long").alias("n_removed"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
     out = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
     return out.toDF("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    manifest = warc.write_archives(warc.classify(table(spark, sf_dir, "pages")))
+    chunks = warc.read_archives(manifest, data=False)
+    return chunks.where("last").select("page_id", "payload_bytes", F.col("sha1_so_far").alias("payload_digest"),
+                                       "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The older half of the ids as history, the rest as the batch looked up in it; every row is returned."""
     docs = table(spark, sf_dir, "documents")
@@ -57,16 +72,56 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+OP5_SQL = rf"""
+WITH lines AS (
+    SELECT doc_id, source, i, line, trim(line, E' \\t\\n\\x0b\\x0c\\r') AS t FROM (
+        SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+cand AS (SELECT * FROM lines WHERE len(regexp_extract_all(t, '[^ \t\n\x0b\x0c\r]+')) >= {line_dedup.MIN_LINE_WORDS}),
+spread AS (SELECT t, min(doc_id) AS first FROM cand GROUP BY t
+           HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {line_dedup.MIN_SITES}),
+marked AS (
+    SELECT l.doc_id, l.i, l.line, CASE WHEN s.t IS NULL THEN 0 WHEN l.doc_id <> s.first THEN 1
+        WHEN row_number() OVER (PARTITION BY l.doc_id, l.t ORDER BY l.i) > 1 THEN 1 ELSE 0 END AS gone
+    FROM lines l LEFT JOIN spread s ON l.t = s.t)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(gone) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone = 0), '')) AS text_sha256
+FROM marked GROUP BY doc_id
+"""
+
+OP8_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest, sha256(payload) AS s FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS top FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.MIN_REVISIT} AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
+
+OP9_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def queries() -> dict:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_quality_rules": op2_quality_rules,
         "op3_simhash": op3_simhash,
         "op4_mixing": op4_mixing,
+        "op5_line_dedup": op5_line_dedup,
         "op7_packing": op7_packing,
+        "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_line_dedup": OP5_SQL,
+        "op8_warc": OP8_SQL,
+        "op9_exact_dedup": OP9_SQL,
+    }
