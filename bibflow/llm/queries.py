@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, line_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
+from bibflow.llm import exact_dedup, html_wrappers, line_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
 from bibflow.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -72,6 +72,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_wrappers.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.toDF("page_id", "url", "text", "n_chars")
+
+
 OP5_SQL = rf"""
 WITH lines AS (
     SELECT doc_id, source, i, line, trim(line, E' \\t\\n\\x0b\\x0c\\r') AS t FROM (
@@ -116,6 +122,7 @@ def queries() -> dict:
         "op7_packing": op7_packing,
         "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
