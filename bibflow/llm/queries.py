@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, html_wrappers, line_dedup, mixing, packing, quality_rules, simhash, token_counts, warc
+from bibflow.llm import exact_dedup, html_wrappers, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, token_counts, warc
 from bibflow.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -50,6 +50,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to repeated strings and the digest of the rest."""
+    out = suffix_dedup.dedup_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
     out = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path())
@@ -119,6 +125,7 @@ def queries() -> dict:
         "op3_simhash": op3_simhash,
         "op4_mixing": op4_mixing,
         "op5_line_dedup": op5_line_dedup,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_packing": op7_packing,
         "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
