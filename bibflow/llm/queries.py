@@ -119,6 +119,8 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
         "op1_token_counts": op1_token_counts,
         "op2_quality_rules": op2_quality_rules,
@@ -130,6 +132,7 @@ def queries() -> dict:
         "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "pipeline": corpus_pipeline.run,
     }
 
 
