@@ -29,6 +29,7 @@ from bibflow.streaming.ingest import start_ingest
 
 # The training-data operators are an optional part of the installation.
 try:
+    import corpus_pipeline  # noqa: F401
     from bibflow.llm import queries as llm
 except ModuleNotFoundError:
     llm = None
