@@ -179,7 +179,10 @@ def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", so
     Texts are scanned twice (once for the sketches, once for the verdict)
     rather than shuffled.
     """
-    base = with_base(docs, text, "qr_")
-    skinny = base.select(F.col(lang).alias("lang"), F.col(source).alias("source"), *["qr_" + c for c in [*BASE, "n_lines"]])
-    limits = thresholds(skinny, "lang", "source", "qr_")
-    return judge(base, limits, lang, source, "qr_").where("qr_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The counter keeps the optimizer from moving the filter, and with it copies of the counting, below the projections.
+    base = with_base(docs, text, "qr_").withColumn("qr_row", F.monotonically_increasing_id())
+    counts = with_base(docs, text, "qr_").select(F.col(lang).alias("lang"), F.col(source).alias("source"),
+                                                 *["qr_" + c for c in [*BASE, "n_lines"]])
+    limits = thresholds(materialize(counts, "quality-base"), "lang", "source", "qr_")
+    return judge(base, limits, lang, source, "qr_").where("qr_kept AND qr_row >= 0").select(
+        *[F.col(f"`{c}`") for c in docs.columns])
