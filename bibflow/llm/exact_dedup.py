@@ -8,7 +8,7 @@ digest first, each sum is sent to its bucket, hashed to its slot and compared
 with the full digest there: members join that group, nonmembers are grouped on
 their own.  Only digests and ids are ever shuffled.
 
-Null text counts as empty.  The row with the largest id stays (null is smaller
+Null text counts as empty.  Ids are 64-bit; the least one stands for null inside.  The row with the largest id stays (null is smaller
 than any id); among rows with that same id the one read last stays, so each
 group keeps exactly one row.  An empty history or batch is fine.
 """
@@ -25,6 +25,7 @@ from bibflow.session import ship_package
 
 BUCKET_DIGESTS = 16_384
 KEYS_PER_GROUP = 4
+NO_ID = -2**63
 INDEX_SCHEMA = ("bucket int, m int, seeds array<int>, digests binary, winner_id array<bigint>, "
                 "winner_row array<bigint>, sizes array<bigint>")
 FOUND_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint, member boolean"
@@ -83,7 +84,7 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     digests = _matrix(pdf["digest"])
     seeds, slot = build_hash(digests)
     at = np.argsort(slot)
-    pick = lambda c: [None if pd.isna(x) else int(x) for x in pdf[c].iloc[at]]
+    pick = lambda c: pdf[c].iloc[at].tolist()
     return pd.DataFrame([{"bucket": int(pdf["bucket"].iloc[0]), "m": len(digests), "seeds": seeds.tolist(),
                           "digests": digests[at].tobytes(), "winner_id": pick("id"), "winner_row": pick("row"),
                           "sizes": pick("n")}])
@@ -92,27 +93,24 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 def _look_up(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
     """Groups of one bucket: the index's own, updated by the members of the batch, and nonmembers as new groups."""
     out: list[tuple] = []
-    top = lambda a, b: max(a, b, key=lambda x: (x[0] is not None, x))
-    new = [(d, None if pd.isna(i) else int(i), int(r), int(n)) for d, i, r, n in zip(
-        batch["digest"], batch["id"], batch["row"], batch["n"], strict=True)] if len(batch) else []
+    new = list(zip(batch["digest"], batch["id"], batch["row"], batch["n"], strict=True)) if len(batch) else []
     if len(index):
         row = index.iloc[0]
         held = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
-        groups = [[None if w is None or pd.isna(w) else int(w), int(r), int(n)] for w, r, n in zip(
-            row["winner_id"], row["winner_row"], row["sizes"], strict=True)]
+        groups = [list(x) for x in zip(row["winner_id"], row["winner_row"], row["sizes"], strict=True)]
         if new:
             digests = _matrix([x[0] for x in new])
             slots = find_slots(digests, np.asarray(row["seeds"], np.int32), int(row["m"]))
             member = (held[slots] == digests).all(axis=1)  # byte check
             for (_, i, r, n), s in ((new[k], slots[k]) for k in np.flatnonzero(member)):
                 g = groups[s]
-                g[0], g[1] = top((g[0], g[1]), (i, r))
+                g[0], g[1] = max((g[0], g[1]), (i, r))
                 g[2] += n
             new = [new[k] for k in np.flatnonzero(~member)]
         out += [(held[s].tobytes(), *g, True) for s, g in enumerate(groups)]
     out += [(*x, False) for x in new]
     return pd.DataFrame(out, columns=["digest", "keep_id", "keep_row", "group_size", "member"]).astype(
-        {"keep_id": "Int64", "keep_row": "Int64", "group_size": "Int64"})
+        {"keep_id": "int64", "keep_row": "int64", "group_size": "int64"})
 
 
 def _distinct(rows: DataFrame, buckets: int) -> DataFrame:
@@ -137,14 +135,14 @@ def look_up(index: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
 
 
 def dedup(docs: DataFrame, historical: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row of ``docs`` without its text, plus keep_id, group_size, kept, text_sha256.
+    """Every row of ``docs`` without its text, plus ed_keep_id, ed_group_size, ed_kept, ed_text_sha256.
 
     Rows where ``historical`` holds form the index; all others (null included)
     are the batch that is looked up in it.
     """
     others = [F.col(f"`{c}`").alias(f"c_{c}") for c in docs.columns if c != text]
     rows = materialize(docs.select(
-        *others, F.unhex(F.sha2(text_of(text), 256)).alias("digest"), F.col(f"`{doc_id}`").cast("bigint").alias("id"),
+        *others, F.unhex(F.sha2(text_of(text), 256)).alias("digest"), F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID)).alias("id"),
         F.monotonically_increasing_id().alias("row"), F.coalesce(historical, F.lit(False)).alias("old")), "digests")
     keys = rows.select("digest", "id", "row", "old")
     n = keys.where("old").count()
@@ -152,5 +150,6 @@ def dedup(docs: DataFrame, historical: Column, doc_id: str = "doc_id", text: str
     index = build_index(keys.where("old"), buckets)
     groups = look_up(index, keys.where("NOT old"), buckets)
     return rows.join(groups, "digest").select(
-        *[F.col(f"`c_{c}`").alias(c) for c in docs.columns if c != text], "keep_id", "group_size",
-        (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        *[F.col(f"`c_{c}`").alias(c) for c in docs.columns if c != text],
+        F.nullif(F.col("keep_id"), F.lit(NO_ID)).alias("ed_keep_id"), F.col("group_size").alias("ed_group_size"),
+        (F.col("row") == F.col("keep_row")).alias("ed_kept"), F.lower(F.hex("digest")).alias("ed_text_sha256"))

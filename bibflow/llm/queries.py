@@ -33,7 +33,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.toDF("doc_id", "fingerprint", "component_id")
+    return out.select("doc_id", F.col("sh_fingerprint").alias("fingerprint"), F.col("sh_component").alias("component_id"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     middle = docs.agg(F.expr("(min(doc_id) + max(doc_id)) / 2")).first()[0]
     out = exact_dedup.dedup(docs, F.col("doc_id") <= F.lit(middle))
-    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return out.select("doc_id", *[F.col("ed_" + c).alias(c) for c in ("keep_id", "group_size", "kept", "text_sha256")])
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

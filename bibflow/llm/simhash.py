@@ -211,8 +211,8 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                     radius: int = RADIUS) -> DataFrame:
-    """Every row of ``docs`` without its text, plus sh_fingerprint (hex), sh_component (smallest id reachable)
-    and sh_rows (how many rows of the component carry that id)."""
+    """Every row of ``docs`` without its text, plus sh_fingerprint (hex), sh_component (smallest id reachable) and
+    sh_root (a fingerprint that names the component where ids are null)."""
     others = [c for c in docs.columns if c != text]
     rows = materialize(with_fingerprint(docs, text, words), "fingerprints")
     prints = materialize(rows.select("sh_bits").distinct(), "distinct-fingerprints")
@@ -222,24 +222,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Ids are summed per fingerprint first, so a large group of copies is one row from each task.
     ids = rows.groupBy("sh_bits").agg(F.min(key).alias("m")).join(prints, "sh_bits")
     names = ids.groupBy("root").agg(F.min("m").alias("sh_component"))
-    members = materialize(ids.select("sh_bits", "root").join(names, "root").select(F.col("sh_bits").alias("f"), "sh_component"),
+    members = materialize(ids.select("sh_bits", "root").join(names, "root").select(F.col("sh_bits").alias("f"), "sh_component", F.col("root").alias("sh_root")),
                           "fingerprint-components")
     named = rows.join(members, F.col("sh_bits") == F.col("f"))
     return named.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(others)],
-                        F.lower(F.lpad(F.hex("sh_bits"), 16, "0")).alias("sh_fingerprint"), "sh_component")
+                        F.lower(F.lpad(F.hex("sh_bits"), 16, "0")).alias("sh_fingerprint"), "sh_component", "sh_root")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
              radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that name their component; of rows that share that id, one stays."""
-    found = near_duplicates(docs.select(F.col(f"`{doc_id}`").alias("sh_id"), F.col(f"`{text}`").alias("sh_text")),
+    """The rows of ``docs`` that name their component; of rows that share that id, one stays.
+
+    Rows are recognised by id and text hash; the decisions are shuffled, and
+    the texts once, at every size (the winners grow with the corpus).
+    """
+    t = text_of(text)
+    marks = [F.xxhash64(t).alias("sh_a"), F.xxhash64(F.lit(7), t).alias("sh_b")]
+    found = near_duplicates(docs.select(F.col(f"`{doc_id}`").alias("sh_id"), F.col(f"`{text}`").alias("sh_text"), *marks),
                             "sh_id", "sh_text", words, radius)
-    winners = materialize(found.where(F.col("sh_id").eqNullSafe(F.col("sh_component")))
-                          .groupBy("sh_id", "sh_component").agg(F.count("*").alias("sh_n"), F.count_distinct("sh_fingerprint").alias("sh_f")),
-                          "component-winners").select("sh_id", "sh_n")
-    kept = docs.join(winners, docs[doc_id].eqNullSafe(F.col("sh_id")))
+    named = found.where(F.col("sh_id").eqNullSafe(F.col("sh_component")))
+    winners = named.groupBy("sh_root").agg(F.min(F.struct("sh_a", "sh_b", "sh_id")).alias("w")).select("w.*")
+    same = named.groupBy("sh_a", "sh_b", "sh_id").agg(F.count("*").alias("sh_n"))
+    winners = materialize(winners.join(same.select(F.col("sh_a").alias("xa"), F.col("sh_b").alias("xb"), F.col("sh_id").alias("xi"), "sh_n"),
+                                       (F.col("sh_a") == F.col("xa")) & (F.col("sh_b") == F.col("xb")) & F.col("sh_id").eqNullSafe(F.col("xi")))
+                          .select(F.col("sh_a").alias("wa"), F.col("sh_b").alias("wb"), F.col("sh_id").alias("wi"), "sh_n"), "component-winners")
+    rows = docs.select("*", *marks)
+    kept = rows.join(winners.hint("shuffle_hash"), (F.col("sh_a") == F.col("wa")) & (F.col("sh_b") == F.col("wb"))
+                     & F.col(f"`{doc_id}`").eqNullSafe(F.col("wi")))
     single = kept.where("sh_n = 1")
-    again = kept.where("sh_n > 1").withColumn("sh_k", F.row_number().over(
-        Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))))
+    again = kept.where("sh_n > 1").withColumn("sh_k", F.row_number().over(Window.partitionBy("wa", "wb", "wi").orderBy("sh_a")))
     cols = [F.col(f"`{c}`") for c in docs.columns]
     return single.select(*cols).unionByName(again.where("sh_k = 1").select(*cols))
