@@ -20,10 +20,14 @@ separate documents; null ids are kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import json
+import os
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,58 +35,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from bibflow.llm.common import materialize
-from bibflow.llm.token_counts import Splitter, split_special
+from bibflow.llm.token_counts import byte_letters
 from bibflow.session import ship_package
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-MAX_MEMO = 400_000
+# Fixed value: how a byte-level file of this kind splits a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE_FIELDS = [("piece", IntegerType()), ("start", LongType()), ("length", LongType()), ("ids_crc32", LongType()),
                 ("task", IntegerType()), ("number", LongType())]
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit integers.
+    """Ids of whole texts, as little-endian 32-bit integers, of a byte-level BPE file of the tokenizers library.
 
-    Merges never cross pre-tokens, so each distinct pre-token goes to the
-    tokenizer once and its ids are kept in a bounded table.
+    Where the file's merges are in the order of their ids (checked here) the
+    same vocabulary is run by tiktoken, which gives the same ids several times
+    faster; texts with strings of special tokens, and files whose merges are in
+    another order, go to tokenizers itself.
     """
 
     def __init__(self, path: str) -> None:
+        if sys.byteorder != "little":
+            raise RuntimeError("ids are kept as little-endian 32-bit integers")
+        # One thread: a task has one core, and each thread of a pool would hold memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.splitter = Splitter()
-        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.memo: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        new = list({p for p in pieces if p not in self.memo})
-        if len(self.memo) + len(new) > MAX_MEMO:
-            self.memo.clear()
-            new = list(set(pieces))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[p] = b"".join(x.to_bytes(4, "little") for x in e.ids)
-        return [self.memo[p] for p in pieces]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [i for i, t in enumerate(texts) if not any(s in t for s in self.special)]
-        out: list[bytes] = [b""] * len(texts)
-        for i, t in enumerate(texts):
-            if any(s in t for s in self.special):  # rare: the tokenizer itself places special ids
-                out[i] = b"".join(x.to_bytes(4, "little") for x in self.tokenizer.encode(t, add_special_tokens=False).ids)
-        parts: dict[int, list[bytes]] = {}
-        for pieces, own in self.splitter.pieces([texts[i] for i in plain]):
-            ids = self._ids(pieces)
-            bounds = [0, *((own[1:] != own[:-1]).nonzero()[0] + 1).tolist(), len(own)]
-            for a, b in zip(bounds, bounds[1:]):
-                if b > a:
-                    parts.setdefault(int(own[a]), []).append(b"".join(ids[a:b]))
-        for k, i in enumerate(plain):
-            out[i] = b"".join(parts.get(k, ()))
-        return out
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        letters = byte_letters()
+        ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in self.special}
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) \
+            if merged == sorted(merged) else None
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -110,11 +104,11 @@ def pieces_of(docs: DataFrame, path: str, text: str = "text", capacity: int = CA
         task, numbers = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             row, out = [], [[] for _ in PIECE_FIELDS]
-            for i, ids in enumerate(encoder.encode([t or "" for t in batch.column("text").to_pylist()])):
-                ids += end
+            for i, text in enumerate(batch.column("text")):
+                ids = encoder.encode(text.as_py() or "") + end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     row.append(i)
-                    crc = zlib.crc32(ids[4 * start:4 * (start + length)])
+                    crc = zlib.crc32(memoryview(ids)[4 * start:4 * (start + length)])
                     for column, v in zip(out, (k, start, length, crc, task, numbers[length]), strict=True):
                         column.append(v)
                     numbers[length] += 1
@@ -150,11 +144,14 @@ class Plan:
         self.sequences += n
 
     def reduce(self) -> None:
-        """Martello-Toth: fix dominating sets until the longest piece left has none."""
+        """Martello-Toth: fix dominating sets, for each length from the longest on, until it has none."""
         sizes = sorted(k for k, v in self.left.items() if v)
-        skipped = []  # lengths without a dominating set
-        while sizes:
-            j = sizes[-1]
+        order = list(sizes)
+        while order:
+            j = order[-1]
+            if not self.left[j]:
+                order.pop()
+                continue
             room = self.capacity - j
             have = lambda s: self.left[s] - (s == j)  # noqa: E731  pieces beside this one
 
@@ -170,7 +167,7 @@ class Plan:
             if best is None:
                 chosen = [j]
             else:
-                small = [s for s in sizes[:3] for _ in range(min(have(s), 3))][:3]
+                small = [s for s in sizes[:4] for _ in range(min(have(s), 3))][:3]
                 times = lambda s: n // 2 if s == j else min(n, self.left[s])
                 if best == room or len(small) < 2 or small[0] + small[1] > room:
                     # One more piece fits at most, or it fills the sequence: true as well once pieces get fewer.
@@ -179,17 +176,32 @@ class Plan:
                     pair = self._best_pair(sizes, room, have)
                     if pair is not None and best >= pair[0] + pair[1]:
                         chosen, n = [j, best], times(best)
-                    elif pair is not None and pair[0] + pair[1] == room and best == max(pair):
-                        need = Counter([j, *pair])
-                        chosen, n = [j, *pair], min(self.left[s] // c for s, c in need.items())
+                    else:
+                        # {j, best, other}: a pair beside j has its larger piece at most best and its smaller at most other.
+                        need = Counter([j, best])
+                        fits = [s for s in sizes if s <= room - best and self.left[s] > need[s]]
+                        if fits and fits[-1] >= self._largest_second(sizes, room, have):
+                            need[fits[-1]] += 1
+                            chosen, n = [j, best, fits[-1]], min(self.left[s] // c for s, c in need.items())
             if chosen is None:
-                skipped.append((j, self.left.pop(j)))
-                sizes.pop()
+                order.pop()
                 continue
             self.fix(chosen, n)
             sizes = [s for s in sizes if self.left[s] > 0]
-        for s, n in skipped:
-            self.left[s] += n
+
+    @staticmethod
+    def _largest_second(sizes: list[int], room: int, have) -> int:
+        """The largest smaller piece of any two that fit into ``room`` together."""
+        out, above = 0, None
+        for s in reversed(sizes):
+            n = have(s)
+            if n < 1:
+                continue
+            partner = s if n > 1 else above
+            if partner is not None and s + partner <= room:
+                return s
+            above = s
+        return out
 
     @staticmethod
     def _best_pair(sizes: list[int], room: int, have) -> tuple[int, int] | None:

@@ -41,6 +41,8 @@ from bibflow.llm.common import clean_name
 from bibflow.session import ship_package
 
 LANE = 512
+#: Characters of a chunk that are always run for all entry states.
+HEAD = 24
 WINDOW = 1 << 20
 MAX_STATES = 300_000
 MAX_MEMO = 500_000
@@ -128,24 +130,51 @@ class Splitter:
         cls[cuts] = CUT
         base = np.ascontiguousarray(cls.reshape(lanes, LANE).T).astype(np.int16) * 12
         maps = np.tile(np.arange(12, dtype=np.int16), (lanes, 1))
-        for row in base:  # all chunks at once, one character at a time
+        for row in base[:HEAD]:  # all chunks at once, one character at a time
             maps = self.step[row[:, None] + maps].astype(np.int16)
+        marks = np.empty((LANE, lanes), np.uint8)
+        # After a few characters nearly every chunk is in one state whatever it was entered with.
+        done = (maps == maps[:, :1]).all(axis=1)
+        self._run(base, marks, HEAD, np.flatnonzero(done), maps, 1)
+        self._run(base, marks, HEAD, np.flatnonzero(~done), maps, 12)
         width = 1
         while width < lanes:  # prefix scan: maps[i] becomes the composition of the maps up to i
             maps[width:] = np.take_along_axis(maps[width:], maps[:-width].copy(), axis=1)
             width *= 2
         state = np.zeros(lanes, np.int16)
         state[1:] = maps[:-1, START]
-        marks = np.empty((LANE, lanes), np.uint8)
-        for k, row in enumerate(base):
-            at = row + state
-            marks[k] = self.mark[at]
+        for k in range(LANE):
+            if k == HEAD:  # chunks that had converged here are marked already
+                rest = np.flatnonzero(~done)
+                if not len(rest):
+                    break
+                state, base = state[rest], base[:, rest]
+            at = base[k] + state
+            if k < HEAD:
+                marks[k] = self.mark[at]
+            else:
+                marks[k, rest] = self.mark[at]
             state = self.step[at].astype(np.int16)
         marks = marks.T.ravel()
         begins = (marks & 1).astype(bool)
         begins[:-1] |= (marks[1:] & 2).astype(bool)
         return np.flatnonzero(begins[:n])
 
+    def _run(self, base: np.ndarray, marks: np.ndarray, first: int, lanes: np.ndarray, maps: np.ndarray, states: int) -> None:
+        """Complete the state maps of ``lanes``; with one state left, mark as well."""
+        if not len(lanes):
+            return
+        own, at = base[:, lanes], maps[lanes, :states]
+        out = np.empty((LANE - first, len(lanes)), np.uint8)
+        for k in range(first, LANE):
+            i = own[k][:, None] + at
+            if states == 1:
+                out[k - first] = self.mark[i[:, 0]]
+            at = self.step[i].astype(np.int16)
+        maps[lanes] = at
+        if states == 1:
+            marks[first:, lanes] = out
+
     def pieces(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
         """Blocks of (pre-tokens, index of the text each belongs to), in order."""
         todo, size = [], 0
