@@ -1,8 +1,8 @@
 """Line deduplication by distinct-site spread.
 
 A line (white space trimmed, at least ``MIN_LINE_WORDS`` words) that occurs on
-``MIN_SITES`` or more distinct sites is boilerplate.  Each line hash gets a
-HyperLogLog sketch of its sites, merged by aggregation; estimates clearly
+``MIN_SITES`` or more distinct sites is boilerplate.  Each line hash that occurs
+in so many documents gets a HyperLogLog sketch of its sites, merged by aggregation; estimates clearly
 beyond the threshold decide, lines whose estimate lies within ``MARGIN`` of it
 get an exact distinct count.  Boilerplate is removed from every document but
 stays once, in the document with the smallest id that has it, so no passage
@@ -25,8 +25,8 @@ from bibflow.llm.common import SPACE_RUN, clean_name, materialize, text_of
 
 MIN_SITES = 10
 MIN_LINE_WORDS = 3
-SKETCH_LG_K = 12
-MARGIN = max(1, math.ceil(MIN_SITES * 4 * 1.04 / math.sqrt(2**SKETCH_LG_K)))
+SKETCH_LG_K = 8
+MARGIN = max(1, math.ceil(MIN_SITES * 4 * 1.04 / math.sqrt(2**SKETCH_LG_K)))  # four standard errors
 _WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -47,7 +47,11 @@ def boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sit
     lines = materialize(docs.select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{site}`"), F.col(f"`{site}`").isNull()).alias("site"),
         F.explode(F.array_distinct(_keys(text_of(text)))).alias("k")).where("k IS NOT NULL").select("k.a", "k.b", "id", "site"), "lines")
-    spread = lines.groupBy("a", "b").agg(F.hll_sketch_agg("site", F.lit(SKETCH_LG_K)).alias("s"), F.min("id").alias("first"))
+    # Fewer occurrences than sites are too few: most lines are unique and never get a sketch.
+    often = materialize(lines.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+                        .where(F.col("n") >= MIN_SITES).select("a", "b", "first"), "frequent-lines")
+    spread = (lines.select("a", "b", "site").join(often, ["a", "b"]).groupBy("a", "b")
+              .agg(F.hll_sketch_agg("site", F.lit(SKETCH_LG_K)).alias("s"), F.min("first").alias("first")))
     spread = materialize(spread.select("a", "b", "first", F.hll_sketch_estimate("s").alias("sites"))
                          .where(F.col("sites") >= MIN_SITES - MARGIN), "line-spread")
     sure = spread.where(F.col("sites") > MIN_SITES + MARGIN).select("a", "b", "first")
@@ -70,7 +74,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sit
     """``docs`` with boilerplate lines removed from the text, plus ld_lines and ld_removed (counts of lines)."""
     hits = _hits(*boilerplate(docs, doc_id, text, site))
     hits = materialize(hits.select(F.col("id").alias("ld_id"), F.col("gone").alias("ld_gone"), F.col("once").alias("ld_once")), "line-hits")
-    df = docs.join(hits, docs[doc_id].eqNullSafe(F.col("ld_id")), "left")
+    # The hits grow with the corpus: shuffled at every size, never broadcast.
+    df = docs.join(hits.hint("shuffle_hash"), docs[doc_id].eqNullSafe(F.col("ld_id")), "left")
     t = text_of(text)
     line, kept = clean_name(docs.columns, "ld_line"), clean_name(docs.columns, "ld_kept")
     hit = F.col("ld_gone").isNotNull()
