@@ -18,12 +18,12 @@ from bibflow import oracle_sql as O
 from bibflow.operators import chunks as CH
 from bibflow.operators import flatten as FL
 from bibflow.operators import reports as R
-from bibflow.operators.upsert import ORDER_COL, latest_per_key, with_feed_rank
+from bibflow.operators.upsert import ORDER_COL, keyed_rows, latest_per_key, with_feed_rank
 from bibflow.plans import jobs as J
 from bibflow.plans import pipelines as P
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import scratch_path
-from bibflow.sinks.keyed_table import KeyedTable
+from bibflow.sinks.keyed_table import KeyedTable, write_exploded
 from bibflow.sources import files as SF
 from bibflow.streaming.ingest import start_ingest
 
@@ -305,6 +305,14 @@ def q_chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.assign_chunks(ev, "event_id", chunk_size=1000)
 
 
+def q_chunk_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 + S15 over the feed's own order: year, file, position."""
+    split = SF.good(SF.read_file_records(spark, _order_tree(spark, sf_dir), dir_format=fixtures.YEAR_DIR))
+    chunked = CH.assign_chunks(split.select("year", "file_path", "block", "rec_pos"),
+                               ["year", "file_path", "block", "rec_pos"], chunk_size=1000)
+    return CH.chunk_progress(chunked, 1000)
+
+
 def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per chunk, its size, running total and flagged ('error') count."""
     ev = fixtures.table(spark, sf_dir, "events").select("event_id", "event_type")
@@ -331,8 +339,90 @@ def q_nested_documents_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
                            layout="document").drop(ORDER_COL)
 
 
+def _status_counts(split: DataFrame) -> DataFrame:
+    return split.groupBy(F.coalesce("error", F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_lines_multi_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line that holds two objects is set aside, never half read."""
+    return _status_counts(_conversation_split(spark, sf_dir, "ndjson", corrupt="twice"))
+
+
+def q_document_multi_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with a second JSON value is set aside as a whole."""
+    base = fixtures.write_conversation_files(spark, sf_dir, scratch_path(spark, "conv-append"), "array", "append")
+    return _status_counts(SF.read_json_documents(spark, f"{base}/*", fixtures.CONVERSATION_SCHEMA))
+
+
+def q_underscore_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose names Spark hides are reported."""
+    base = fixtures.write_hidden_files(spark, _order_tree(spark, sf_dir))
+    return _status_counts(SF.read_file_records(spark, base, dir_format=fixtures.YEAR_DIR))
+
+
+def _titles(table: KeyedTable) -> DataFrame:
+    return table.read().select("doi", "title")
+
+
+def _nested_load(table: KeyedTable, spark: SparkSession, sf_dir: str) -> None:
+    rel = P.nested_relation(fixtures.nested_records(spark, sf_dir), keep=["seq"])
+    table.upsert(keyed_rows(FL.filter_records(rel), ["seq"]), unique=True)
+
+
+def _new_table(spark: SparkSession, name: str) -> KeyedTable:
+    return KeyedTable(spark, scratch_path(spark, name), RECORD_SCHEMA, n_buckets=16)
+
+
+def q_upsert_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later load wins, whatever its records' own order."""
+    table = _new_table(spark, "reload-table")
+    _nested_load(table, spark, sf_dir)
+    again = P.nested_relation(fixtures.corrected_records(spark, sf_dir), keep=["seq"])
+    table.upsert(keyed_rows(FL.filter_records(again), [-F.col("seq")]), unique=True)
+    return _titles(table)
+
+
+def _corrected_stream(spark: SparkSession, sf_dir: str, table: KeyedTable) -> None:
+    src = scratch_path(spark, "corrected-src")
+    fixtures.corrected_records(spark, sf_dir).select("record").coalesce(2).write.text(src)
+    start_ingest(spark, src, table, scratch_path(spark, "corrected-ckpt")).awaitTermination()
+
+
+def q_upsert_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream goes on with a table that a batch load made."""
+    table = _new_table(spark, "batch-stream-table")
+    _nested_load(table, spark, sf_dir)
+    _corrected_stream(spark, sf_dir, table)
+    return _titles(table)
+
+
+def q_upsert_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later stream with a checkpoint of its own wins over an earlier one's batches."""
+    table = _new_table(spark, "two-streams-table")
+    src = scratch_path(spark, "first-src")
+    fixtures.nested_records(spark, sf_dir).select("record").repartition(4).write.text(src)
+    start_ingest(spark, src, table, scratch_path(spark, "first-ckpt"), max_files_per_trigger=2, layout="lines").awaitTermination()
+    _corrected_stream(spark, sf_dir, table)
+    return _titles(table)
+
+
+def q_exploded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fan-out rows written by year and read back."""
+    path = scratch_path(spark, "exploded")
+    write_exploded(P.exploded_rows(P.nested_relation(fixtures.nested_records(spark, sf_dir))), path)
+    return spark.read.parquet(path).select(*[f.name for f in RECORD_SCHEMA.fields])
+
+
 # --------------------------------------------------------------- streaming
 
+def q_stream_year_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O01 as a stream over the base folder of a year tree."""
+    base = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "stream-tree"))
+    table = _new_table(spark, "stream-tree-table")
+    start_ingest(spark, base, table, scratch_path(spark, "stream-tree-ckpt")).awaitTermination()
+    return table.read()
+
+
 def q_nested_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O01 as Structured Streaming: files -> micro-batches -> keyed table.
 
@@ -388,11 +478,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "year_audit": q_year_audit,
         "file_audit": q_file_audit,
         "chunk_assign": q_chunk_assign,
+        "chunk_feed": q_chunk_feed,
         "ingest_metrics": q_ingest_metrics,
         "record_size_profile": q_record_size_profile,
         "nested_stream": q_nested_stream,
         "nested_files_pipeline": q_nested_files_pipeline,
         "nested_documents_pipeline": q_nested_documents_pipeline,
+        "lines_multi_object": q_lines_multi_object,
+        "document_multi_value": q_document_multi_value,
+        "underscore_files": q_underscore_files,
+        "stream_year_tree": q_stream_year_tree,
+        "upsert_reload": q_upsert_reload,
+        "upsert_batch_then_stream": q_upsert_batch_then_stream,
+        "upsert_two_streams": q_upsert_two_streams,
+        "exploded_write": q_exploded_write,
     } | (llm.queries() if llm else {})
 
 
@@ -431,9 +530,18 @@ def oracle_sql() -> dict[str, str]:
         "year_audit": O.year_audit(),
         "file_audit": O.file_audit(),
         "chunk_assign": O.chunk_assign(),
+        "chunk_feed": O.chunk_feed(1000),
         "ingest_metrics": O.ingest_metrics(),
         "record_size_profile": O.record_size_profile(),
         "nested_stream": O.nested_pipeline(),
         "nested_files_pipeline": O.nested_pipeline(),
         "nested_documents_pipeline": O.nested_pipeline(),
+        "lines_multi_object": O.lines_multi_object(),
+        "document_multi_value": O.document_multi_value(fixtures.CONVS_PER_FILE, fixtures.TURNS_PER_FILE),
+        "underscore_files": O.underscore_files(len(fixtures.HIDDEN_FILE_YEARS)),
+        "stream_year_tree": O.nested_pipeline(),
+        "upsert_reload": O.corrected_titles(),
+        "upsert_batch_then_stream": O.corrected_titles(),
+        "upsert_two_streams": O.corrected_titles(),
+        "exploded_write": O.cross_explode(),
     } | (llm.oracle_sql() if llm else {})

@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--max-files-per-trigger", type=int, default=1000)
     st.add_argument("--buckets", type=int, default=256)
     st.add_argument("--continuous", action="store_true", help="keep running instead of availableNow")
-    st.add_argument("--layout", choices=["whole", "lines"], default="lines")
+    st.add_argument("--layout", choices=["whole", "lines"], default="whole")
     st.add_argument("--quarantine")
     au = sub.add_parser("audit")
     au.add_argument("--base", required=True)

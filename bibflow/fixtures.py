@@ -10,8 +10,7 @@ Rules (one record per order):
 * doi: NULL when ``o_orderkey % 50 = 0`` else ``10.1000/<key>``; the
   scraped feed uses prefix ``10.2000/`` for status ``P`` so that part of
   its DOIs are shared with the nested feed and part are not.
-* subjects: distinct ``l_partkey % 7`` of the order's lines, named after the
-  part whose key equals the code.
+* subjects: the distinct parts of the order's lines (key, brand, name).
 * authors: distinct ``l_suppkey`` of the order's lines, named from supplier.
 """
 
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from bibflow.schemas import NESTED_ROOT
 
 # Fixed values of the derivation.
-N_SUBJECT_CODES = 7
 AUTHOR_URL_PREFIX = "https://example.org/author/"
 DOI_PREFIX = "10.1000/"
 SCRAPED_ONLY_DOI_PREFIX = "10.2000/"
@@ -54,36 +52,23 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: sorted distinct subjects, sorted distinct authors, line count.
 
     One shuffle of ``lineitem`` by order key.  The aggregate collects only
-    small flat values (subject codes; supplier key, name, nation), deduplicated
-    map-side by ``collect_set``, so a hot order is reduced before the shuffle
-    and each set is bounded by the distinct codes / suppliers.  The nested
-    author structs are built afterwards with ``transform``.  Subject names come
-    from a lookup grouped to at most ``N_SUBJECT_CODES`` rows: that bound is
-    what makes turning it into a literal map safe.  The supplier join is left
-    to the planner (AQE broadcasts it only when its measured size is small).
+    small flat values (part key, brand, name; supplier key, name, nation),
+    deduplicated map-side by ``collect_set``, so a hot order is reduced before
+    the shuffle.  The nested structs are built afterwards with ``transform``.
+    The part and supplier joins are left to the planner (AQE broadcasts them
+    only when their measured size is small).
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    lookup = (table(spark, sf_dir, "part")
-              .filter(F.col("p_partkey") < N_SUBJECT_CODES)
-              .groupBy("p_partkey")
-              .agg(F.min("p_brand").alias("abbrev"), F.min("p_name").alias("name"))
-              .collect())  # at most N_SUBJECT_CODES rows
-
-    def named(field: str):
-        if not lookup:
-            return lambda code: F.lit(None).cast("string")
-        m = F.create_map(*[x for r in lookup for x in (F.lit(r.p_partkey), F.lit(r[field]))])
-        return lambda code: F.element_at(m, code)
-
-    abbrev, name = named("abbrev"), named("name")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    per_order = (li.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    per_order = (li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+                   .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
                    .groupBy("l_orderkey")
-                   .agg(F.collect_set(F.col("l_partkey") % N_SUBJECT_CODES).alias("codes"),
+                   .agg(F.collect_set(F.struct("l_partkey", "p_brand", "p_name")).alias("parts"),
                         F.collect_set(F.struct("l_suppkey", "s_name", "s_nationkey")).alias("sups"),
                         F.count(F.lit(1)).alias("n_lines")))
-    subjects = F.transform("codes", lambda c: F.struct(
-        _text(c).alias("@code"), abbrev(c).alias("@abbrev"), name(c).alias("$")))
+    subjects = F.transform("parts", lambda p: F.struct(
+        _text(p["l_partkey"]).alias("@code"), p["p_brand"].alias("@abbrev"), p["p_name"].alias("$")))
     authors = F.transform("sups", lambda s: F.struct(
         F.struct(s["s_name"].alias("ce:given-name"),
                  _text(s["l_suppkey"]).alias("ce:surname")).alias("preferred-name"),
@@ -247,6 +232,25 @@ def write_order_year_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
     return base
 
 
+# Years whose directory gets a file with a name that Spark hides (fixed values).
+HIDDEN_FILE_YEARS = (1997, 1998)
+
+
+def write_hidden_files(spark: SparkSession, base: str) -> str:
+    """One ``_late.json`` of one record in each of ``HIDDEN_FILE_YEARS``."""
+    from bibflow.sources import fs
+
+    for y in HIDDEN_FILE_YEARS:
+        fs.create_new(spark, f"{base}/{YEAR_DIR.format(year=y)}/_late.json", '{"o_orderkey": -1}')
+    return base
+
+
+def corrected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third nested record again, with a corrected title."""
+    recs = nested_records(spark, sf_dir).filter("seq % 3 = 0")
+    return recs.withColumn("record", F.replace("record", F.lit('"dc:title":"order '), F.lit('"dc:title":"corrected order ')))
+
+
 def write_nested_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
     """The nested feed as a year tree (``year=<publication year>``), one
     record per line."""
@@ -281,7 +285,9 @@ def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout
     pretty-printed), ``array`` (one JSON array) or ``ndjson``.
     ``corrupt``: ``record`` makes every record of each tenth conversation
     undecodable but balanced; ``truncate`` cuts each tenth file (file group
-    divisible by 10) inside its last record.
+    divisible by 10) inside its last record; ``append`` puts a second value
+    after the text of each tenth file; ``twice`` writes each record of a tenth
+    conversation twice, side by side.
     """
     fields = F.struct("conv_id", "turn", "role", "text")
     c = table(spark, sf_dir, "conversations").withColumn("obj", F.to_json(fields))
@@ -293,6 +299,8 @@ def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout
         c = c.withColumn("obj", F.when(F.col("conv_id") % 10 == 0,
                                        F.concat(F.lit('{"broken" '), F.expr("substring(obj, 2)")))
                                  .otherwise(F.col("obj")))
+    if corrupt == "twice":
+        c = c.withColumn("obj", F.when(F.col("conv_id") % 10 == 0, F.concat("obj", F.lit(" "), "obj")).otherwise(F.col("obj")))
     group = F.floor(F.col("conv_id") / CONVS_PER_FILE)
     parts = (c.select(group.alias("file_group"), F.floor(F.col("turn") / TURNS_PER_FILE).alias("part"),
                       F.struct("conv_id", "turn", "obj").alias("item"))
@@ -303,6 +311,9 @@ def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout
         parts = parts.withColumn("value", F.concat(F.lit("["), F.array_join("objs", ",\n"), F.lit("]")))
     else:
         parts = parts.withColumn("value", F.array_join("objs", "\n"))
+    if corrupt == "append":
+        parts = parts.withColumn("value", F.when(F.col("file_group") % 10 == 0, F.concat("value", F.lit('\n{"conv_id": -1}')))
+                                           .otherwise(F.col("value")))
     if corrupt == "truncate":
         keep_len = (F.length("value") - F.ceil(F.length(F.element_at("objs", -1)) / 2)).cast("int")
         parts = parts.withColumn("value", F.when(F.col("file_group") % 10 == 0,

@@ -4,7 +4,6 @@ from bibflow.functions.scalars import (
     flag_as_int,
     flag_normalize,
     null_struct,
-    path,
     safe_date,
     safe_int,
     typed_null,
@@ -12,6 +11,6 @@ from bibflow.functions.scalars import (
 
 __all__ = [
     "as_array", "json_or_empty", "json_or_null", "parse", "render",
-    "concat_date_parts", "flag_as_int", "flag_normalize", "null_struct", "path",
+    "concat_date_parts", "flag_as_int", "flag_normalize", "null_struct",
     "safe_date", "safe_int", "typed_null",
 ]

@@ -16,34 +16,26 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def path(*parts: str) -> Column:
-    """Deep field access through names holding ``:`` ``@`` ``$`` ``-``.
-
-    ``getField`` takes the name literally, so no quoting is needed however
-    odd the key is.
-    """
-    out = F.col(f"`{parts[0]}`")
-    for part in parts[1:]:
-        out = out.getField(part)
-    return out
-
-
 def safe_date(c: str | Column, fmt: str | None = None) -> Column:
     """Text -> DATE; malformed text -> NULL."""
     c = col_of(c)
     return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
 
 
+# Text that the integer cast takes: digits with an optional sign and fraction
+# (fixed pattern; no exponent, no type suffix, no hexadecimal form).
+_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+
+
 def safe_int(c: str | Column) -> Column:
-    """Text -> INT with the lenient legacy rules.
+    """Text -> INT as the lenient integer cast reads it.
 
-    ``'12'``, ``'12.0'`` and ``' 7 '`` become numbers, junk becomes NULL.  A
-    direct ``try_cast('int')`` would reject ``'12.0'``; going through DOUBLE
-    keeps it, and the final step truncates toward zero like the legacy cast.
+    ``'12'``, ``'12.0'`` and ``' 7 '`` become numbers, truncated toward zero;
+    junk, ``'1e3'``, ``'12d'``, ``'0x1p3'`` and what does not fit become NULL.  A
+    direct ``try_cast('int')`` would reject ``'12.0'``.
     """
-    c = col_of(c)
-    as_double = F.trim(c.cast(T.StringType())).try_cast(T.DoubleType())
-    return as_double.try_cast(T.IntegerType())
+    text = F.trim(col_of(c).cast(T.StringType()))
+    return F.when(text.rlike(_DECIMAL), text.try_cast("decimal(38,9)").try_cast(T.LongType()).try_cast(T.IntegerType()))
 
 
 def concat_date_parts(year: str | Column, month: str | Column, day: str | Column,

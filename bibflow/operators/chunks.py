@@ -2,73 +2,56 @@
 
 The feed cuts its records into consecutive chunks of ``n`` in a total
 order.  ``row_number()`` over the whole data set would put every row into
-one task, so the global position is computed in three distributed steps:
+one task, so the global position is computed in two distributed steps:
 
-1. fixed bucket boundaries from ``approxQuantile`` (one small collect of
-   ``n_buckets - 1`` numbers; the boundaries are then constants, so every
-   later job sees the same buckets);
-2. per-bucket counts (``n_buckets`` rows) turned into start offsets and
-   broadcast back - the broadcast side is bounded by ``n_buckets``;
-3. ``row_number`` within each bucket plus its offset.
+1. the rows are range-partitioned by the order columns (any types, as many as
+   needed), sorted within their partition and written once to the shared
+   folder with their partition and their place in it;
+2. per-partition counts (one row per partition) become start offsets that are
+   joined back: position = offset + place.
 
-The order column must be unique (a record sequence): rows sharing an order
-value have no defined position.
+The order must be total: rows that share all order values get positions next
+to each other in no defined order.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "__bucket"
-
-
-def _buckets(df: DataFrame, order_col: str, n_buckets: int, rel_error: float) -> DataFrame:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, probs, rel_error))) if probs else []
-    if not bounds:
-        return df.withColumn(_BUCKET, F.lit(0))
-    splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
-    return (Bucketizer(splits=splits, inputCol=order_col, outputCol=_BUCKET, handleInvalid="keep")
-            .transform(df)
-            .withColumn(_BUCKET, F.col(_BUCKET).cast("int")))
-
+from bibflow.session import scratch_path
 
-ROWS_PER_BUCKET = 1_000_000
+_PART, _PLACE = "__part", "__place"
+# ``monotonically_increasing_id`` holds the partition above this bit and the row's place below.
+_PLACE_BITS = 33
 
 
-def assign_chunks(df: DataFrame, order_col: str, chunk_size: int = 1000, n_buckets: int | None = None,
-                  rel_error: float | None = None, position_col: str = "position",
+def assign_chunks(df: DataFrame, order_cols: str | Sequence[str], chunk_size: int = 1000,
+                  n_parts: int | None = None, position_col: str = "position",
                   chunk_col: str = "chunk_id") -> DataFrame:
     """Add the 1-based global position and the chunk id (0-based).
 
-    By default the bucket count follows the data: about ``ROWS_PER_BUCKET``
-    rows per bucket (one count job), at least the default parallelism so the
-    numbering never runs in a single task, and the quantile error is kept
-    well below one bucket's share so the buckets stay balanced.
+    ``n_parts`` defaults to the larger of the shuffle partitions and the
+    default parallelism, so no count is needed to plan the job.
     """
-    if n_buckets is None:
-        floor = df.sparkSession.sparkContext.defaultParallelism
-        n_buckets = max(floor, -(-df.count() // ROWS_PER_BUCKET))
-    n_buckets = max(2, n_buckets)  # a constant bucket would make the offset join a cross join
-    if rel_error is None:
-        rel_error = min(0.001, 0.1 / n_buckets)
-    bucketed = _buckets(df.withColumn("__order_num", F.col(order_col).cast("double")),
-                        "__order_num", n_buckets, rel_error)
-    counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    # ``counts`` has at most n_buckets rows: a single-partition window over
-    # it is cheap, and broadcasting it is bounded.
-    offsets = counts.select(
-        _BUCKET,
-        (F.sum("__n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("__n")).alias("__offset"))
-    within = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(F.col(order_col)))
-    pos = F.col("__offset") + within
-    out = (bucketed.join(F.broadcast(offsets), _BUCKET)
-                   .withColumn(position_col, pos)
-                   .withColumn(chunk_col, F.floor((F.col(position_col) - 1) / chunk_size)))
-    return out.drop(_BUCKET, "__offset", "__order_num")
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    spark = df.sparkSession
+    if n_parts is None:
+        n_parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    path = scratch_path(spark, "chunk-order")
+    ranged.withColumn(_PLACE, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn(_PART, F.shiftright(_PLACE, _PLACE_BITS).cast("int"))
+    counts = rows.groupBy(_PART).agg(F.count(F.lit(1)).alias("__n"))
+    # One row per partition: the window runs over ``n_parts`` rows and the broadcast is bounded by them.
+    before = F.sum("__n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
+    offsets = counts.select(F.col(_PART).alias("__p"), before.alias("__offset"))
+    place = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    out = rows.join(F.broadcast(offsets), F.col(_PART) == F.col("__p"))
+    return out.select(*df.columns, (F.col("__offset") + place + 1).alias(position_col)).withColumn(
+        chunk_col, F.floor((F.col(position_col) - 1) / chunk_size))
 
 
 def chunk_progress(chunked: DataFrame, chunk_size: int, flag=None,

@@ -10,9 +10,8 @@ from __future__ import annotations
 
 # Record-level rows of the nested feed, typed (date, int flag).
 _NESTED_CTE = """
-li AS (SELECT l_orderkey, l_partkey % 7 AS code, l_suppkey FROM lineitem),
-lk AS (SELECT p_partkey, min(p_brand) AS abbrev, min(p_name) AS name
-       FROM part WHERE p_partkey < 7 GROUP BY p_partkey),
+li AS (SELECT l_orderkey, l_partkey AS code, l_suppkey FROM lineitem),
+lk AS (SELECT p_partkey, p_brand AS abbrev, p_name AS name FROM part),
 subj AS (
   SELECT DISTINCT li.l_orderkey AS k, CAST(li.code AS VARCHAR) AS subject_code,
          lk.name AS subject_name, lk.abbrev AS subject_abbrev
@@ -402,3 +401,44 @@ def merge_feeds_fill_nulls() -> str:
 SELECT doi,
   {filled}
 FROM per_record GROUP BY doi"""
+
+
+def lines_multi_object() -> str:
+    return """
+SELECT CASE WHEN conv_id % 10 = 0 THEN 'malformed' ELSE 'ok' END AS status, count(*) AS n
+FROM conversations GROUP BY 1
+"""
+
+
+def document_multi_value(convs_per_file: int, turns_per_file: int) -> str:
+    return f"""
+WITH f AS (SELECT conv_id // {convs_per_file} AS g, turn // {turns_per_file} AS p FROM conversations)
+SELECT 'ok' AS status, count(*) AS n FROM f WHERE g % 10 <> 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'malformed_file', count(DISTINCT (g, p)) FROM f WHERE g % 10 = 0 HAVING count(*) > 0
+"""
+
+
+def underscore_files(n_hidden: int) -> str:
+    return f"""
+SELECT 'ok' AS status, count(*) AS n FROM orders
+UNION ALL
+SELECT 'hidden_name', CAST({n_hidden} AS BIGINT)
+"""
+
+
+def corrected_titles() -> str:
+    return f"""
+SELECT doi, CASE WHEN CAST(split_part(doi, '/', 2) AS BIGINT) % 3 = 0 THEN 'corrected ' || title ELSE title END AS title
+FROM ({nested_pipeline()})
+"""
+
+
+def chunk_feed(chunk_size: int) -> str:
+    return f"""
+WITH n AS (SELECT count(*) AS n FROM orders),
+c AS (SELECT unnest(range(0, (n + {chunk_size} - 1) // {chunk_size})) AS chunk_id, n FROM n)
+SELECT chunk_id, least({chunk_size}, n - chunk_id * {chunk_size}) AS chunk_size,
+       least((chunk_id + 1) * {chunk_size}, n) AS running_total
+FROM c
+"""

@@ -23,6 +23,7 @@ rows with an error are the quarantine (S10/S11), the rest go to
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from fnmatch import fnmatch
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,8 +69,8 @@ def year_paths(base: str, years: Iterable[int] | None, name_glob: str = "*",
 def read_texts(spark: SparkSession, pattern: str, name_glob: str | None = None) -> DataFrame:
     """Whole files under a glob as ``(file_path, year, value)``.
 
-    Hidden files (``.x``, ``_x``) and zero-byte files are skipped by Spark's
-    file index.  An empty match yields an empty frame, not an error.
+    Hidden files (``.x``, ``_x``, see :func:`hidden_files`) and zero-byte
+    files are skipped by Spark's file index.  An empty match yields an empty frame, not an error.
     """
     reader = spark.read
     if name_glob:
@@ -119,6 +120,19 @@ def split_files(texts: DataFrame) -> DataFrame:
     return texts.select("file_path", "year", "value").mapInPandas(_split_partition, SPLIT_SCHEMA)
 
 
+def hidden_files(spark: SparkSession, base: str, years: Iterable[int] | None = None, name_glob: str = "*",
+                 dir_format: str = "{year}") -> DataFrame:
+    """Files of the tree whose names start with ``_``, as quarantine rows (``hidden_name``).
+
+    Spark's file index never opens such names.  They are found by one glob
+    that lists nothing else; empty marker files are left out.
+    """
+    rows = [(e.path, 0, 0, None, "hidden_name") for e in fs.glob(spark, year_paths(base, years, "_*", dir_format))
+            if not e.is_dir and e.size > 0 and fnmatch(e.name, name_glob)]
+    df = spark.createDataFrame(rows, "file_path STRING, block BIGINT, rec_pos BIGINT, record STRING, error STRING")
+    return df.select("file_path", year_of(F.col("file_path")).alias("year"), "block", "rec_pos", "record", "error")
+
+
 def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | None = None,
                       name_glob: str = "*", dir_format: str = "{year}",
                       require_base: bool = True) -> DataFrame:
@@ -131,7 +145,7 @@ def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | Non
     if require_base and not fs.exists(spark, base):
         raise FileNotFoundError(f"base directory does not exist: {base}")
     texts = read_texts(spark, year_paths(base, years, "*", dir_format), name_glob=name_glob)
-    return split_files(texts)
+    return split_files(texts).unionByName(hidden_files(spark, base, years, name_glob, dir_format))
 
 
 def line_rows(df: DataFrame) -> DataFrame:
@@ -143,21 +157,32 @@ def line_rows(df: DataFrame) -> DataFrame:
                      "value")
 
 
+def one_value(text: Column) -> Column:
+    """Whether ``text`` is exactly one JSON value, nothing after it (JVM only).
+
+    Parsers stop after the first value, so the text is counted as the first
+    element of an array with one and with two more elements behind it: if it
+    ended that array itself, both counts would be the same.
+    """
+    n = [F.json_array_length(F.concat(F.lit("["), text, F.lit(",0" * k + "]"))) for k in (1, 2)]
+    return F.coalesce((n[0] == 2) & (n[1] == 3), F.lit(False))
+
+
 def split_lines(lines: DataFrame) -> DataFrame:
     """``(file_path, year, block, value)`` lines -> split rows.
 
-    Blank lines are skipped; a line that is not one JSON object is a
-    ``malformed`` quarantine row, and reading continues with the next line.
-    Validation stays in the JVM (``from_json`` to a generic map).
-    ``rec_pos`` increases with the line order inside one split (``block``).
+    Blank lines are skipped; a line that is not exactly one JSON object (junk,
+    several values, text after the object) is a ``malformed`` quarantine row
+    as a whole, and reading continues with the next line.  ``rec_pos`` increases with the line
+    order inside one split (``block``); it depends on how splits are packed
+    into tasks.
     """
     rec = F.trim(F.col("value"))
     out = lines.filter(rec != "").select(
         "file_path", "year", "block",
         F.monotonically_increasing_id().alias("rec_pos"),
         rec.alias("record"))
-    is_object = F.col("record").startswith("{") & F.from_json(
-        "record", "MAP<STRING, STRING>", {"mode": "PERMISSIVE"}).isNotNull()
+    is_object = F.col("record").startswith("{") & one_value(F.col("record"))
     return out.withColumn("error", F.when(is_object, F.lit(None).cast("string"))
                                     .otherwise(F.lit("malformed")))
 
@@ -186,7 +211,8 @@ def read_tree_records(spark: SparkSession, base: str, years: Iterable[int] | Non
     if require_base and not fs.exists(spark, base):
         raise FileNotFoundError(f"base directory does not exist: {base}")
     return read_ndjson_records(spark, year_paths(base, years, "*", dir_format),
-                               name_glob=None if name_glob == "*" else name_glob)
+                               name_glob=None if name_glob == "*" else name_glob).unionByName(
+        hidden_files(spark, base, years, name_glob, dir_format))
 
 
 def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType | str,
@@ -195,21 +221,24 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType
 
     Each file is read whole and parsed once with ``from_json`` against an
     array of the declared schema: an array yields its elements, a single
-    object yields itself.  As with Spark's ``multiLine`` JSON reader, only
-    the first JSON value of a file is read; this path measured about ten
-    times faster than that reader on the test trees.  A file that does not
-    parse becomes one ``malformed_file`` row and an element that is not an
-    object a ``not_object`` row.  Returns the schema's columns plus
+    object yields itself; this path measured about ten times faster than
+    Spark's ``multiLine`` JSON reader on the test trees.  A file that does not
+    parse as a whole, text after the first value included, becomes one
+    ``malformed_file`` row (its text as ``record``) and an element that is not
+    an object a ``not_object`` row.  Returns the schema's columns plus
     ``file_path``, ``year``, ``block``, ``rec_pos`` (position in the file) and
     ``error``.
     """
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     texts = read_texts(spark, pattern, name_glob)
-    parsed = texts.select("file_path", "year",
-                          F.from_json("value", T.ArrayType(st), {"mode": "PERMISSIVE"}).alias("docs"))
+    # A second value makes the file malformed; the parser alone would stop after the first.
+    text = F.trim(F.regexp_replace("value", "^\\uFEFF", ""))
+    parsed = texts.select("file_path", "year", "value", F.when(
+        one_value(text), F.from_json(text, T.ArrayType(st), {"mode": "PERMISSIVE"})).alias("docs"))
     # ``posexplode_outer`` is the generator barrier: the parse above runs once
     # per file, and a NULL array (unparseable file) still yields one row.
     rows = parsed.select("file_path", "year", F.col("docs").isNull().alias("bad_file"),
+                         F.when(F.col("docs").isNull(), F.col("value")).alias("record"),
                          F.posexplode_outer("docs").alias("rec_pos", "doc"))
     rows = rows.filter(F.col("bad_file") | F.col("rec_pos").isNotNull())  # drop empty arrays
     error = (F.when(F.col("bad_file"), F.lit("malformed_file"))
@@ -217,7 +246,7 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType
     return rows.select(
         *[F.col("doc").getField(f.name).alias(f.name) for f in st.fields],
         "file_path", "year", F.lit(0).cast("long").alias("block"),
-        F.col("rec_pos").cast("long").alias("rec_pos"), error.alias("error"))
+        F.col("rec_pos").cast("long").alias("rec_pos"), "record", error.alias("error"))
 
 
 def good(split: DataFrame) -> DataFrame:

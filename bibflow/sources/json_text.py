@@ -25,9 +25,12 @@ import re
 from collections.abc import Iterator
 
 _DECODER = json.JSONDecoder()
-# Complete string literals (with escapes), a quote that opens a string never
-# closed before the end of the text, and brackets; everything else is skipped.
-_TOKENS = re.compile(r'(?P<s>"(?:[^"\\]|\\.)*")|(?P<u>")|(?P<b>[{}\[\]])', re.S)
+# Up to the next bracket outside string literals (with escapes), to a quote
+# that is never closed before the end of the text, or to the end.
+_NEXT = re.compile(r'(?:[^"{}\[\]]++|"(?:[^"\\]++|\\.)*+")*+(["{}\[\]]|\Z)', re.S)
+_OPENING = re.compile(r"[{\[]")
+# A string, number or literal that ends where a value may end.
+_SCALAR = re.compile(r'(?:"(?:[^"\\\x00-\x1f]|\\.)*"|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity)')
 _SEPARATORS = " \t\r\n,﻿"
 
 OK = None
@@ -46,36 +49,69 @@ def _skip(text: str, i: int) -> int:
 def balanced_end(text: str, start: int) -> int:
     """Index after the bracket closing the one at ``start``; -1 if none."""
     depth = 0
-    for m in _TOKENS.finditer(text, start):
-        if m.lastgroup == "s":
-            continue
-        if m.lastgroup == "u":
-            return -1  # an unclosed string runs to the end of the text
-        tok = m.group()
-        if tok in "{[":
+    jump = _NEXT.match
+    at = start
+    while True:
+        m = jump(text, at)
+        tok, at = m.group(1), m.end()
+        if tok == "{" or tok == "[":
             depth += 1
-        elif tok in "}]":
+        elif tok == "}" or tok == "]":
             depth -= 1
             if depth == 0:
-                return m.end()
-    return -1
-
-
-def _one(text: str, i: int) -> tuple[str | None, int, str]:
-    """Decode one value at ``i``: (error, end, source_text)."""
-    try:
-        value, end = _DECODER.raw_decode(text, i)
-    except ValueError:
-        if text[i] in "{[":
+                return at
+        else:
+            return -1  # an unclosed string, or the end of the text
+
+
+class _Reader:
+    """Decodes one text value by value, in time linear in its length.
+
+    Good values are decoded in place.  A failed decode costs a pass over the
+    text before it (the decoder counts lines), so after the first failure
+    values are decoded from a short slice, and from their own text if they are
+    longer than that.
+    """
+
+    SLICE = 4096
+
+    def __init__(self, text: str):
+        self.text = text
+        self.careful = False
+
+    def one(self, i: int) -> tuple[str | None, int, str]:
+        """One value at ``i``: (error, end, source_text)."""
+        text = self.text
+        if not self.careful:
+            try:
+                value, end = _DECODER.raw_decode(text, i)
+                return (OK if isinstance(value, dict) else NOT_OBJECT), end, text[i:end]
+            except (ValueError, RecursionError):
+                self.careful = True
+        part = text[i:i + self.SLICE]
+        if part[0] in "{[":
+            try:
+                value, end = _DECODER.raw_decode(part)
+                return (OK if isinstance(value, dict) else NOT_OBJECT), i + end, part[:end]
+            except (ValueError, RecursionError):
+                pass  # bad, or longer than the slice
             end = balanced_end(text, i)
             if end < 0:
                 return UNTERMINATED, len(text), text[i:]
-            return MALFORMED, end, text[i:end]
-        # Junk outside any record: up to the next opening brace.
-        nxt = min((p for p in (text.find("{", i), text.find("[", i)) if p >= 0), default=len(text))
-        nxt = max(nxt, i + 1)
-        return MALFORMED, nxt, text[i:nxt]
-    return (OK if isinstance(value, dict) else NOT_OBJECT), end, text[i:end]
+            src = text[i:end]
+            if end <= i + self.SLICE:
+                return MALFORMED, end, src
+            try:
+                return (OK if isinstance(json.loads(src), dict) else NOT_OBJECT), end, src
+            except (ValueError, RecursionError):  # not JSON, or nested too deeply to decode
+                return MALFORMED, end, src
+        scalar = _SCALAR.match(text, i)
+        if scalar:
+            return NOT_OBJECT, scalar.end(), scalar.group()
+        # Junk outside any record: up to the next opening bracket.
+        opening = _OPENING.search(text, i + 1)
+        end = opening.start() if opening else len(text)
+        return MALFORMED, end, text[i:end]
 
 
 def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
@@ -83,6 +119,7 @@ def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
     if not text:
         return
     n = len(text)
+    reader = _Reader(text)
     pos = 0
     i = _skip(text, 0)
     while i < n:
@@ -95,7 +132,7 @@ def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
                     j += 1
                     closed = True
                     break
-                err, end, src = _one(text, j)
+                err, end, src = reader.one(j)
                 yield pos, src, err
                 pos += 1
                 if err == UNTERMINATED:
@@ -108,7 +145,7 @@ def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
                 return
             i = _skip(text, j)
             continue
-        err, end, src = _one(text, i)
+        err, end, src = reader.one(i)
         yield pos, src, err
         pos += 1
         if err == UNTERMINATED:

@@ -6,14 +6,15 @@ flattened, filtered and merged into a :class:`KeyedTable` in
 ``foreachBatch``.  The feed carries no event time, so there is no watermark
 or window: the only state is the keyed table itself.
 
-Exactly-once: a micro-batch that is replayed after a failure upserts the
-same rows with the same order keys, which leaves the table unchanged.  The
-arrival order used by the table is ``(batch_id, file_path, block, rec_pos)``,
-so a record in a later batch replaces one seen earlier.
+Exactly-once: the table's manifest holds, by the id in the stream's
+checkpoint, the last batch it counts; a replayed micro-batch is skipped.  A
+later batch, of whatever stream, replaces what an earlier load stored; within
+one batch the greatest ``(file_path, block, rec_pos)`` wins.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from bibflow.operators.flatten import filter_records
 from bibflow.operators.upsert import keyed_rows
 from bibflow.plans.pipelines import nested_relation, scraped_relation
 from bibflow.sinks.keyed_table import KeyedTable
+from bibflow.sources import fs
 from bibflow.sources.files import good, line_rows, quarantine, split_files, split_lines, year_of
 
 RELATIONS: dict[str, Callable[..., DataFrame]] = {
@@ -33,14 +35,14 @@ RELATIONS: dict[str, Callable[..., DataFrame]] = {
 
 
 def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
-                name_glob: str | None = None, layout: str = "lines") -> DataFrame:
-    """Streaming text of new files.
+                name_glob: str | None = None, layout: str = "whole") -> DataFrame:
+    """Streaming text of new files under ``source_dir``, its year folders included.
 
     ``layout="lines"``: NDJSON, one row per line with its position (splittable,
     so large files spread over tasks); ``"whole"``: one row per file for
     concatenated / pretty-printed / array files, split by the record splitter.
     """
-    reader = spark.readStream
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if name_glob:
@@ -52,14 +54,21 @@ def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
                      year_of(F.col("_metadata.file_path")).alias("year"), "value")
 
 
-def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "lines",
-                 quarantine_path: str | None = None) -> Callable[[DataFrame, int], None]:
+def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "whole",
+                 quarantine_path: str | None = None, checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch of files -> table.
 
     With ``quarantine_path`` the batch's malformed records are appended there
-    (tagged with ``batch_id``) instead of being left out silently.
+    (tagged with ``batch_id``) instead of being left out silently.  With
+    ``checkpoint`` a batch is counted once, however often it is replayed.
     """
     relation = RELATIONS[feed]
+    stream_id: list[str] = []
+
+    def writer(spark: SparkSession) -> str | None:
+        if checkpoint and not stream_id:
+            stream_id.append(json.loads(fs.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"])
+        return stream_id[0] if stream_id else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         split = split_lines(batch) if layout == "lines" else split_files(batch)
@@ -76,7 +85,7 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
             keep = ["batch_id", "file_path", "block", "rec_pos"]
             rel = filter_records(relation(good(split), "record", keep=keep))
             order = [F.lit(feed_rank), *[F.col(c) for c in keep]]
-            table.upsert(keyed_rows(rel, order), unique=True)
+            table.upsert(keyed_rows(rel, order), unique=True, writer=writer(batch.sparkSession), batch=batch_id)
         finally:
             if quarantine_path:
                 split.unpersist()
@@ -86,7 +95,7 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
 
 def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkpoint: str,
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
-                 available_now: bool = True, layout: str = "lines",
+                 available_now: bool = True, layout: str = "whole",
                  query_name: str | None = None, quarantine_path: str | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
     directory's current files are all processed.  ``query_name`` labels the
@@ -96,7 +105,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkp
     if query_name:
         writer = writer.queryName(query_name)
     writer = (writer
-                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path))
+                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path, checkpoint))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -14,7 +14,7 @@ from bibflow.sinks.keyed_table import KeyedTable
 
 def test_assign_chunks_equals_global_row_number(spark, sf_dir):
     ev = fixtures.table(spark, sf_dir, "events").select("event_id")
-    got = assign_chunks(ev, "event_id", chunk_size=70, n_buckets=7)
+    got = assign_chunks(ev, "event_id", chunk_size=70, n_parts=7)
     brute = ev.withColumn("position", F.row_number().over(Window.orderBy("event_id"))) \
               .withColumn("chunk_id", F.floor((F.col("position") - 1) / 70))
     assert got.exceptAll(brute).count() == 0 and got.count() == brute.count()
@@ -23,6 +23,14 @@ def test_assign_chunks_equals_global_row_number(spark, sf_dir):
     assert prog[max(prog)][1] == n and all(v[0] == 70 for k, v in prog.items() if k < max(prog))
 
 
+def test_chunks_over_several_columns_of_any_type(spark):
+    rows = [(2015 - k % 3, f"file{k * 7 % 5}", k) for k in range(500)]
+    df = spark.createDataFrame(rows, "year int, path string, pos long").repartition(6)
+    got = {(r.year, r.path, r.pos): (r.position, r.chunk_id) for r in assign_chunks(df, ["year", "path", "pos"], 64).collect()}
+    assert got == {row: (i + 1, i // 64) for i, row in enumerate(sorted(rows))}
+    assert assign_chunks(df.limit(0), ["year", "path"], 64).count() == 0
+
+
 def _rows(spark, items):
     cols = [f.name for f in RECORD_SCHEMA.fields]
     data = [tuple([doi, title] + [None] * (len(cols) - 2) + [(rank,)]) for doi, title, rank in items]
@@ -31,13 +39,13 @@ def _rows(spark, items):
     return spark.createDataFrame(data, schema)
 
 
-def test_keyed_table_upsert_latest_wins_and_rerun_is_idempotent(spark):
+def test_keyed_table_later_load_wins_and_rerun_is_idempotent(spark):
     table = KeyedTable(spark, scratch_path(spark, "t-keyed"), RECORD_SCHEMA, n_buckets=4)
     table.upsert(_rows(spark, [("a", "a1", 1), ("b", "b1", 1)]))
     batch2 = _rows(spark, [("a", "a2", 2), ("c", "c2", 2), ("b", "b0", 0)])
     table.upsert(batch2)
     first = {r.doi: r.title for r in table.read().collect()}
-    assert first == {"a": "a2", "b": "b1", "c": "c2"}
+    assert first == {"a": "a2", "b": "b0", "c": "c2"}  # a later load wins, whatever its own order
     table.upsert(batch2)
     assert {r.doi: r.title for r in table.read().collect()} == first
 
@@ -48,3 +56,80 @@ def test_keyed_table_fill_nulls(spark):
     table.upsert(_rows(spark, [("a", "a1", 1)]))
     table.upsert(_rows(spark, [("a", None, 2), ("b", "b2", 2)]))
     assert {r.doi: r.title for r in table.read().collect()} == {"a": "a1", "b": "b2"}
+
+
+def _titles(table):
+    return {r.doi: r.title for r in table.read().collect()}
+
+
+def test_stored_bucket_count_holds(spark):
+    path = scratch_path(spark, "t-keyed-buckets")
+    items = [(f"d{k}", f"t{k}", 1) for k in range(20)]
+    KeyedTable(spark, path, RECORD_SCHEMA, n_buckets=4).upsert(_rows(spark, items))
+    other = KeyedTable(spark, path, RECORD_SCHEMA, n_buckets=8, tasks_per_bucket=3)
+    other.upsert(_rows(spark, [(d, t + "x", 1) for d, t, _ in items]))
+    assert other.manifest()["n_buckets"] == 4
+    assert sorted(r.title for r in other.read().collect()) == sorted(t + "x" for _, t, _ in items)
+
+
+def test_empty_table_and_empty_load(spark):
+    table = KeyedTable(spark, scratch_path(spark, "t-keyed-empty"), RECORD_SCHEMA, n_buckets=4)
+    assert not table.exists() and table.read().count() == 0
+    table.upsert(_rows(spark, []))
+    assert table.exists() and table.read().columns == [f.name for f in RECORD_SCHEMA.fields] and table.read().count() == 0
+
+
+def test_counted_stream_batch_is_skipped(spark):
+    table = KeyedTable(spark, scratch_path(spark, "t-keyed-replay"), RECORD_SCHEMA, n_buckets=4)
+    table.upsert(_rows(spark, [("a", "a1", 1)]), writer="s", batch=0)
+    table.upsert(_rows(spark, [("a", "a2", 1)]))
+    table.upsert(_rows(spark, [("a", "a1", 1)]), writer="s", batch=0)  # a replay
+    assert _titles(table) == {"a": "a2"}
+    table.upsert(_rows(spark, [("a", "a3", 1)]), writer="other", batch=0)
+    assert _titles(table) == {"a": "a3"}
+
+
+def test_crash_before_publishing_leaves_the_table(spark, monkeypatch):
+    table = KeyedTable(spark, scratch_path(spark, "t-keyed-crash"), RECORD_SCHEMA, n_buckets=4)
+    table.upsert(_rows(spark, [("a", "a1", 1), ("b", "b1", 1)]))
+    from bibflow.sinks import keyed_table as K
+    real = K.fs.create_new
+    monkeypatch.setattr(K.fs, "create_new", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    try:
+        table.upsert(_rows(spark, [("a", "a2", 2)]))
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.setattr(K.fs, "create_new", real)
+    assert _titles(table) == {"a": "a1", "b": "b1"}
+    table.upsert(_rows(spark, [("a", "a2", 2)]))
+    assert _titles(table) == {"a": "a2", "b": "b1"}
+
+
+def test_writers_that_race_lose_nothing(spark, monkeypatch):
+    path = scratch_path(spark, "t-keyed-race")
+    one, two = (KeyedTable(spark, path, RECORD_SCHEMA, n_buckets=2) for _ in range(2))
+    one.upsert(_rows(spark, [("a", "a1", 1)]))
+    write, raced = one._write_merged, []
+
+    def slow(*args):
+        write(*args)
+        if not raced:  # another writer publishes between merge and commit
+            raced.append(1)
+            two.upsert(_rows(spark, [("b", "b2", 1), ("c", "c2", 1)]))
+
+    monkeypatch.setattr(one, "_write_merged", slow)
+    one.upsert(_rows(spark, [("c", "c3", 1), ("d", "d3", 1)]))
+    assert _titles(two) == {"a": "a1", "b": "b2", "c": "c3", "d": "d3"}
+
+
+def test_replaced_folders_are_removed(spark):
+    import os
+
+    path = scratch_path(spark, "t-keyed-clean")
+    table = KeyedTable(spark, path, RECORD_SCHEMA, n_buckets=1)
+    for k in range(5):
+        table.upsert(_rows(spark, [("a", f"a{k}", k)]))
+    local = path.removeprefix("file://").removeprefix("file:")
+    kept = [d for d in os.listdir(f"{local}/data") if os.listdir(f"{local}/data/{d}") not in ([], ["_SUCCESS"], ["._SUCCESS.crc", "_SUCCESS"])]
+    assert len([d for d in kept if any(x.startswith("bucket=") for x in os.listdir(f"{local}/data/{d}"))]) <= 2
+    assert _titles(table) == {"a": "a4"}

@@ -42,7 +42,7 @@ def test_progress_listener_counts_input_rows(spark, sf_dir):
     log = attach(spark, "t-progress")
     try:
         start_ingest(spark, src, table, scratch_path(spark, "t-progress-ckpt"), max_files_per_trigger=1,
-                     query_name="t-progress").awaitTermination()
+                     query_name="t-progress", layout="lines").awaitTermination()
         deadline = time.time() + 30  # progress events arrive asynchronously
         while log.total("t-progress") < records.count() and time.time() < deadline:
             time.sleep(0.5)
@@ -59,7 +59,8 @@ def test_stream_quarantines_bad_lines(spark, sf_dir):
     recs.select("record").unionByName(bad).repartition(2).write.text(src)
     table = KeyedTable(spark, scratch_path(spark, "t-q-table"), RECORD_SCHEMA, n_buckets=4)
     qpath = scratch_path(spark, "t-q-quarantine")
-    start_ingest(spark, src, table, scratch_path(spark, "t-q-ckpt"), quarantine_path=qpath).awaitTermination()
+    start_ingest(spark, src, table, scratch_path(spark, "t-q-ckpt"), quarantine_path=qpath,
+                 layout="lines").awaitTermination()
     q = spark.read.parquet(qpath)
     assert sorted(r.record for r in q.collect()) == sorted(['["an", "array"]', "{not json"])
     assert table.read().count() == P.nested_pipeline(recs).count()
