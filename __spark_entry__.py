@@ -107,13 +107,13 @@ def q_explode_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per subject, records without subjects kept once."""
     r = FL.explode_subjects(_nested(spark, sf_dir))
     return r.select("seq", *[c.alias(n) for n, c in FL.subject_fields().items()],
-                    F.to_json("subject").alias("subject_area"))
+                    F.col("subject.raw").alias("subject_area"))
 
 
 def q_explode_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per author, records without authors kept once."""
     r = FL.explode_authors(_nested(spark, sf_dir))
-    return r.select("seq", "doi", F.to_json("author").alias("author_details"))
+    return r.select("seq", "doi", F.col("author.raw").alias("author_details"))
 
 
 def q_key_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:

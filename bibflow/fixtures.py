@@ -68,12 +68,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.collect_set(F.struct("l_suppkey", "s_name", "s_nationkey")).alias("sups"),
                         F.count(F.lit(1)).alias("n_lines")))
     subjects = F.transform("parts", lambda p: F.struct(
-        _text(p["l_partkey"]).alias("@code"), p["p_brand"].alias("@abbrev"), p["p_name"].alias("$")))
+        _text(p["l_partkey"]).alias("@code"), p["p_brand"].alias("@abbrev"), p["p_name"].alias("$"),
+        F.lit("true").alias("@_fa")))  # a field that no schema declares
     authors = F.transform("sups", lambda s: F.struct(
         F.struct(s["s_name"].alias("ce:given-name"),
                  _text(s["l_suppkey"]).alias("ce:surname")).alias("preferred-name"),
         F.concat(F.lit(AUTHOR_URL_PREFIX), _text(s["l_suppkey"])).alias("author-url"),
         F.struct(_text(s["s_nationkey"]).alias("@id")).alias("affiliation"),
+        _text(s["l_suppkey"]).alias("@auid"),  # not declared either
     ))
     return per_order.select("l_orderkey", F.sort_array(subjects).alias("subjects"),
                             F.sort_array(authors).alias("authors"), "n_lines")

@@ -40,6 +40,15 @@ def as_array(raw: str | Column, array_type: T.ArrayType | str) -> Column:
     return F.from_json(col_of(raw), array_type, {"mode": "PERMISSIVE"})
 
 
+def elements(raw: str | Column, element: T.StructType, raw_field: str) -> Column:
+    """Raw JSON text of one object or a list of objects -> array of structs that
+    hold the fields of ``element`` and, as ``raw_field``, the whole element as JSON text."""
+    c = col_of(raw)
+    texts = F.when(F.ltrim(c).startswith("{"), F.array(c)).otherwise(parse(c, "ARRAY<STRING>"))
+    return F.zip_with(as_array(c, T.ArrayType(element)), texts, lambda e, t: F.struct(
+        *[e.getField(f.name).alias(f.name) for f in element.fields], t.alias(raw_field)))
+
+
 def render(c: str | Column, raw_text: bool = False) -> Column:
     """A nested value as JSON text.
 

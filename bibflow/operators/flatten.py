@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibflow import schemas
-from bibflow.functions.json import as_array, json_or_empty, json_or_null
+from bibflow.functions.json import elements, json_or_empty, json_or_null
 from bibflow.functions.scalars import (
     concat_date_parts,
     flag_as_int,
@@ -73,9 +73,9 @@ def flatten_nested(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) ->
         proc.getField("ait:status").getField("@state").alias("status_state"),
         concat_date_parts(delivered.getField("@year"), delivered.getField("@month"),
                           delivered.getField("@day")).alias("delivered_date"),
-        as_array(r.getField("subject-areas").getField("subject-area"),
-                 schemas.SUBJECT_AREAS_TYPE).alias("subject_areas"),
-        as_array(r.getField("authors").getField("author"), schemas.AUTHORS_TYPE).alias("authors"),
+        elements(r.getField("subject-areas").getField("subject-area"),
+                 schemas.SUBJECT_AREA, schemas.RAW).alias("subject_areas"),
+        elements(r.getField("authors").getField("author"), schemas.AUTHOR, schemas.RAW).alias("authors"),
     )
 
 
@@ -106,8 +106,8 @@ def flatten_scraped(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) -
         safe_int(r.getField("citedby-count")).alias("cited_by"),
         typed_null(T.StringType()).alias("status_state"),
         typed_null(T.StringType()).alias("delivered_date"),
-        F.array(null_struct(schemas.SUBJECT_AREA)).alias("subject_areas"),
-        as_array(r.getField("author"), schemas.AUTHORS_TYPE).alias("authors"),
+        F.array(null_struct(schemas.SUBJECT_ELEMENT)).alias("subject_areas"),
+        elements(r.getField("author"), schemas.AUTHOR, schemas.RAW).alias("authors"),
     )
 
 
@@ -190,11 +190,11 @@ def to_table_rows(df: DataFrame, subject: str = "subject", author: str = "author
                   keep: Sequence[str] = ()) -> DataFrame:
     """Record-level columns + one subject + one author -> the 26 table columns.
 
-    Nested values are rendered as JSON text explicitly (K03) instead of
-    leaving it to a connector.
+    Subject and author are stored as the JSON text they came as, with all their
+    fields (K03); a subject whose fields are all NULL is ``{}``.
     """
     by_name = {**subject_fields(subject), **author_fields(author), **sink_coerce_columns()}
-    by_name["author_details"] = F.to_json(F.col(author))
-    by_name["subject_area"] = F.to_json(F.col(subject))
+    by_name["author_details"] = F.col(author).getField(schemas.RAW)
+    by_name["subject_area"] = F.when(F.col(subject).isNotNull(), F.coalesce(F.col(subject).getField(schemas.RAW), F.lit("{}")))
     cols = [by_name[n].alias(n) if n in by_name else F.col(n) for n in schemas.RECORD_NAMES]
     return df.select(*_keep(df, keep), *cols)

@@ -89,14 +89,15 @@ _TABLE_COLS = """
   a.author_given_name, a.author_surname, a.author_url, a.author_affiliation,
   CASE WHEN a.k IS NULL THEN NULL ELSE CAST(to_json({
       'preferred-name': {'ce:given-name': a.author_given_name, 'ce:surname': a.author_surname},
-      'author-url': a.author_url, 'affiliation': a.author_affiliation}) AS VARCHAR) END AS author_details,
+      'author-url': a.author_url, 'affiliation': CAST(a.author_affiliation AS JSON),
+      '@auid': a.author_surname}) AS VARCHAR) END AS author_details,
   r.funding_details, r.ref_count, CAST(r.open_access AS BOOLEAN) AS open_access,
   r.affiliation, r.language, r.cited_by, r.status_state, r.delivered_date,
   {subject_json} AS subject_area
 """
 
 _SUBJECT_JSON = """CASE WHEN s.k IS NULL THEN NULL ELSE CAST(to_json({
-      '@code': s.subject_code, '@abbrev': s.subject_abbrev, '$': s.subject_name}) AS VARCHAR) END"""
+      '@code': s.subject_code, '@abbrev': s.subject_abbrev, '$': s.subject_name, '@_fa': 'true'}) AS VARCHAR) END"""
 
 _FILTER = """
   r.doi IS NOT NULL AND (
@@ -210,8 +211,8 @@ def explode_authors() -> str:
     return (_with(_NESTED_CTE) +
             """SELECT r.seq, r.doi, CASE WHEN a.k IS NULL THEN NULL ELSE CAST(to_json({
               'preferred-name': {'ce:given-name': a.author_given_name, 'ce:surname': a.author_surname},
-              'author-url': a.author_url, 'affiliation': a.author_affiliation}) AS VARCHAR) END
-              AS author_details
+              'author-url': a.author_url, 'affiliation': CAST(a.author_affiliation AS JSON),
+              '@auid': a.author_surname}) AS VARCHAR) END AS author_details
             FROM nested r LEFT JOIN auth a ON a.k = r.seq""")
 
 

@@ -28,8 +28,14 @@ PREFERRED_NAME = _struct(("ce:given-name", S), ("ce:surname", S))
 # ``affiliation`` inside an author may be one object or many: raw JSON text.
 AUTHOR = _struct(("preferred-name", PREFERRED_NAME), ("author-url", S), ("affiliation", S))
 
-SUBJECT_AREAS_TYPE = T.ArrayType(SUBJECT_AREA)
-AUTHORS_TYPE = T.ArrayType(AUTHOR)
+# An element of a record's lists: the declared fields, then the element's whole
+# JSON text, which also holds the fields that are not declared.
+RAW = "raw"
+SUBJECT_ELEMENT = T.StructType([*SUBJECT_AREA.fields, T.StructField(RAW, S)])
+AUTHOR_ELEMENT = T.StructType([*AUTHOR.fields, T.StructField(RAW, S)])
+
+SUBJECT_AREAS_TYPE = T.ArrayType(SUBJECT_ELEMENT)
+AUTHORS_TYPE = T.ArrayType(AUTHOR_ELEMENT)
 
 NESTED_RESPONSE = _struct(
     ("coredata", _struct(

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bibflow import functions as BF
 from bibflow import schemas
@@ -42,7 +43,7 @@ def test_json_or_empty_and_json_or_null(spark):
 
 
 def test_as_array_accepts_object_or_list(spark):
-    got = one(spark, BF.as_array("v", schemas.SUBJECT_AREAS_TYPE),
+    got = one(spark, BF.as_array("v", T.ArrayType(schemas.SUBJECT_AREA)),
               ['{"@code":"1","$":"a"}', '[{"@code":"1"},{"@code":"2"}]', None, "[]"])
     assert [None if g is None else [s["@code"] for s in g] for g in got] == [["1"], ["1", "2"], None, []]
 
@@ -51,3 +52,11 @@ def test_path_with_odd_names(spark):
     df = spark.createDataFrame([('{"a:b":{"@c":{"$":"x"}}}',)], "v STRING")
     parsed = df.select(F.from_json("v", "`a:b` STRUCT<`@c`: STRUCT<`$`: STRING>>").alias("r"))
     assert parsed.select(F.col("r").getField("a:b").getField("@c").getField("$")).first()[0] == "x"
+
+
+def test_elements_keep_undeclared_fields(spark):
+    texts = ['{"@code":"1","x":{"y":[1,null]}}', '[{"@code":"1","$":"a"},{"z":2}]', "[]", None, "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [None if r[0] is None else [(e["@code"], e["$"], e["raw"]) for e in r[0]]
+           for r in df.select(BF.elements("t", schemas.SUBJECT_AREA, "raw")).collect()]
+    assert got == [[("1", None, texts[0])], [("1", "a", '{"@code":"1","$":"a"}'), (None, None, '{"z":2}')], [], None, None]
