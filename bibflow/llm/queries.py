@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,57 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.toDF("page_id", "url", "text", "n_chars")
 
 
+def op2_sql() -> str:
+    q = quality_rules
+    metric = {"word_len": "1000 * word_chars / n_words", "symbols": "1000 * n_symbols / greatest(word_chars, 1)",
+              "dup_lines": "1000 * n_dup_lines / (n_lines + 4)", "repeats": "1000 * n_repeat_words / n_words"}
+    values = " UNION ALL ".join(
+        f"SELECT doc_id, lang, source, '{k}' AS metric, CAST(floor({v}) AS BIGINT) AS v, {q.MIN_SPREAD[k]} AS least, "
+        f"{'true' if k in q.TWO_SIDED else 'false'} AS both_sides FROM f WHERE NOT base_failed" for k, v in metric.items())
+
+    def fences(name: str, keys: str) -> str:
+        by = f"{keys}, metric" if keys else "metric"
+        pick = f"SELECT {by}, max(total) AS total, max(least) AS least, "
+        value = "CASE WHEN {0} <= 0 THEN 0 ELSE floor(pow(" + str(q.SKETCH_GAMMA) + ", {0})) END"
+        quant = ", ".join(f"min(CASE WHEN cum >= ceil(total * {x}) THEN bucket END) AS b{n}" for n, x in (("25", 0.25), ("75", 0.75)))
+        return f"""{name}_c AS (SELECT {by}, bucket, least, sum(count(*)) OVER (PARTITION BY {by} ORDER BY bucket) AS cum,
+              sum(count(*)) OVER (PARTITION BY {by}) AS total FROM s GROUP BY {by}, bucket, least),
+        {name}_q AS ({pick}{quant} FROM {name}_c GROUP BY {by}),
+        {name} AS (SELECT *, {value.format('b25')} AS q25, {value.format('b75')} AS q75 FROM {name}_q)"""
+
+    edge = lambda a: f"{a}.q{{0}} {{1}} {q.REACH} * greatest({a}.q75 - {a}.q25, {a}.least)"
+    limit = lambda n, sign: ("CASE WHEN g.total >= {0} THEN {1} WHEN l.total >= {0} THEN {2} ELSE {3} END".format(
+        q.MIN_GROUP, *(edge(a).format(n, sign) for a in "glo")))
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\x0c\r]+') AS w FROM documents),
+g3 AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (
+          SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g3) WHERE c > 1) GROUP BY doc_id),
+ln AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT x) AS dup FROM (
+         SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ \t\n\x0b\x0c\r]') GROUP BY doc_id),
+f0 AS (SELECT d.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(ln.dup, 0) AS n_dup_lines,
+        coalesce(rep.n, 0) AS n_repeat_words, coalesce(ln.n, 0) AS n_lines
+       FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)),
+f AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f0),
+v AS ({values}),
+s AS (SELECT *, CASE WHEN v <= 0 THEN 0 ELSE 1 + CAST(floor(ln(v) / {math.log(q.SKETCH_GAMMA)!r}) AS INTEGER) END AS bucket FROM v),
+{fences("g", "lang, source")},
+{fences("l", "lang")},
+{fences("o", "")},
+out AS (SELECT DISTINCT s.doc_id FROM s
+        JOIN g ON g.lang IS NOT DISTINCT FROM s.lang AND g.source IS NOT DISTINCT FROM s.source AND g.metric = s.metric
+        JOIN l ON l.lang IS NOT DISTINCT FROM s.lang AND l.metric = s.metric
+        JOIN o ON o.metric = s.metric
+        WHERE s.v > {limit("75", "+")} OR (s.both_sides AND s.v < {limit("25", "-")}))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM out) AS kept
+FROM f
+"""
+
+
 OP5_SQL = rf"""
 WITH lines AS (
     SELECT doc_id, source, i, line, trim(line, E' \\t\\n\\x0b\\x0c\\r') AS t FROM (
@@ -138,6 +191,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_quality_rules": op2_sql(),
         "op5_line_dedup": OP5_SQL,
         "op8_warc": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
