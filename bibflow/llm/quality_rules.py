@@ -30,8 +30,8 @@ SKETCH_GAMMA = 1.02
 MIN_GROUP = 100
 REACH = 3
 #: Smallest spread by metric, in thousandths: a group whose texts are all alike
-#: still tolerates this much variation.
-MIN_SPREAD = {"word_len": 200, "symbols": 15, "dup_lines": 100, "repeats": 120}
+#: still tolerates this much variation (the mean word length of a short text varies most).
+MIN_SPREAD = {"word_len": 500, "symbols": 15, "dup_lines": 100, "repeats": 120}
 #: Metrics where an unusually small value is a fault as well.
 TWO_SIDED = {"word_len"}
 
