@@ -299,8 +299,11 @@ def kept_slots(wrapper: list) -> dict[str, str]:
 
 
 def main_text(source: str, kept: dict[str, str]) -> str:
-    """The kept slots' blocks: the article's if the page has any, else the body's.  A path that the wrapper has not
-    seen (it has seen all pages it was inferred from) is judged by itself."""
+    """The kept slots' blocks: the article's if the page has any, else the body's.
+
+    A path that the host's wrapper has not seen is left out; wrappers are
+    inferred from all pages, so their own pages have none.
+    """
     found: dict[str, list[str]] = {"article": [], "body": []}
     for path, text, _ in blocks(source):
         if text is not None:
