@@ -45,8 +45,8 @@ def test_documents_with_a_second_value_are_set_aside(spark):
     base = tree({"a.json": '{"id":1}', "b.json": '{"id":1}{"id":2}', "c.json": '[{"id":1}][{"id":2}]', "d.json": ' [{"id":3},null]\n',
                  "g.json": '[{"id":3},5]', "e.json": '[{"id":1}] x', "f.json": '{"id":7} \n'})
     docs = SF.read_json_documents(spark, f"{base}/*", "id INT")
-    assert sorted((os.path.basename(r.file_path), r.id, r.error) for r in docs.collect() if r.error != "malformed_file") == [
-        ("a.json", 1, None), ("d.json", 3, None), ("d.json", None, "not_object"), ("f.json", 7, None)]
+    assert {(os.path.basename(r.file_path), r.id, r.error) for r in docs.collect() if r.error != "malformed_file"} == {
+        ("a.json", 1, None), ("d.json", 3, None), ("d.json", None, "not_object"), ("f.json", 7, None)}
     bad = [r for r in docs.collect() if r.error == "malformed_file"]
     assert sorted(os.path.basename(r.file_path) for r in bad) == ["b.json", "c.json", "e.json", "g.json"]
     assert all(r.record for r in bad)
