@@ -152,7 +152,9 @@ def blocks(source: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
 # ---- wrappers -------------------------------------------------------------------------------------------------------
 # An element is [order, flags, slot, children]: the keys of its children in order, a flag string per child
 # ("+" repeated, "?" optional), its text slot or None, and the child elements.  The order None stands for one repeated
-# group of optional children.  A slot is [pages, characters, characters in links, fixed string's checksum or None].
+# group of optional children.  A slot is [contents, characters, characters in links, fixed string's checksum or None]:
+# contents holds checksums of up to FIXED_PAGES distinct main contents of the pages whose string agreed there, so copies of
+# a page count once however they are dealt out; a slot whose strings differ needs none.
 
 
 def new_element() -> list:
@@ -160,22 +162,26 @@ def new_element() -> list:
 
 
 def page_wrapper(source: str) -> tuple[list, int]:
-    """A page's own expression, and a checksum of its longest block."""
+    """A page's own expression, and a checksum of its longest block (outside the parts left out, if it has one there)."""
     root = new_element()
     runs: dict[tuple, list[str]] = {}
     slots: dict[tuple, list] = {}
-    longest = ""
+    longest = other = ""
     opened: list[tuple] = []
     for path, text, linked in blocks(source):
         if text is None:
             opened.append(path)
             continue
-        s = slots.setdefault(path, [1, 0, 0, 0])
+        s = slots.setdefault(path, [None, 0, 0, 0])
         s[1] += len(text)
         s[2] += linked
         s[3] = crc32(text.encode("utf-8", "surrogatepass"), s[3])
         if len(text) > len(longest):
-            longest = text
+            if judge(path):
+                longest = text
+            elif len(text) > len(other):
+                other = text
+    content = crc32((longest or other).encode("utf-8", "surrogatepass"))
     for path in opened:
         runs.setdefault(path[:-1], []).append(path[-1])
     for parent in sorted(runs, key=len):
@@ -195,8 +201,9 @@ def page_wrapper(source: str) -> tuple[list, int]:
         if mixed:
             element[0], element[1] = None, dict.fromkeys(order, "?")
     for path, s in slots.items():
+        s[0] = [content]
         at(root, path)[2] = s
-    return root, crc32(longest.encode("utf-8", "surrogatepass"))
+    return root, content
 
 
 def at(root: list, path: tuple[str, ...]) -> list:
@@ -205,13 +212,21 @@ def at(root: list, path: tuple[str, ...]) -> list:
     return root
 
 
+def contents(a: list[int], b: list[int]) -> list[int]:
+    """Distinct checksums of both; any FIXED_PAGES of them are enough."""
+    if len(a) >= FIXED_PAGES or a == b:
+        return a
+    return b if len(b) >= FIXED_PAGES else sorted({*a, *b})[:FIXED_PAGES]
+
+
 def align(a: list, b: list) -> list:
     """The expression that matches all that ``a`` or ``b`` match."""
     if a[2] is None or b[2] is None:
         slot = a[2] or b[2]
     else:
         x, y = a[2], b[2]
-        slot = [x[0] + y[0], x[1] + y[1], x[2] + y[2], x[3] if x[3] == y[3] else None]
+        same = x[3] is not None and x[3] == y[3]
+        slot = [contents(x[0], y[0]) if same else [], x[1] + y[1], x[2] + y[2], x[3] if same else None]
     children = dict(a[3])
     for k, child in b[3].items():
         children[k] = align(children[k], child) if k in children else child
@@ -288,9 +303,9 @@ def judge(path: tuple[str, ...]) -> str:
 def kept_slots(wrapper: list) -> dict[str, str]:
     """Path -> 'article' or 'body' for the slots of the main text."""
     out = {}
-    for path, (pages, chars, linked, fixed) in slots_of(wrapper):
+    for path, (seen, chars, linked, fixed) in slots_of(wrapper):
         where = judge(path)
-        if not where or (fixed is not None and pages >= FIXED_PAGES):
+        if not where or (fixed is not None and len(seen) >= FIXED_PAGES):
             continue
         if where == "body" and linked > LINK_SHARE * chars:
             continue
@@ -327,7 +342,7 @@ def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Da
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() % MERGE_FAN
-        held: dict[str, list] = {}  # host -> [pages, wrapper, contents seen]
+        held: dict[str, list] = {}  # host -> [pages, wrapper]
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -336,20 +351,15 @@ def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Da
 
         for batch in batches:
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                own, content = page_wrapper(source or "")
+                own, _ = page_wrapper(source or "")
                 got = held.get(host)
                 if got is None:
-                    held[host] = [1, own, {content}]
+                    held[host] = [1, own]
                     if len(held) > MAX_HOSTS:
                         yield out()
                         held = {}
                     continue
                 got[0] += 1
-                if content in got[2]:  # the same content again is no evidence for fixed strings
-                    for _, slot in slots_of(own):
-                        slot[0] = 0
-                elif len(got[2]) < FIXED_PAGES * 100:
-                    got[2].add(content)
                 got[1] = align(got[1], own)
         if held:
             yield out()

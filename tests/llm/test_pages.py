@@ -124,3 +124,17 @@ def test_wrapper_is_a_union_free_expression():
     right = html_wrappers.align(a, html_wrappers.align(b, c))
     assert sorted(html_wrappers.slots_of(left)) == sorted(html_wrappers.slots_of(right))
     assert json.loads(json.dumps(left)) == left
+
+
+def test_copies_of_a_page_are_no_evidence(spark):
+    copy = "<body><h1>Copied</h1><p>The only text of this page</p><blockquote>Quoted</blockquote><p>It ends here</p></body>"
+    rows = [(k, "http://copies.example/", copy) for k in range(40)]
+    rows += [(100 + k, "http://mixed.example/", copy) for k in range(40)]
+    rows += [(200 + k, "http://mixed.example/", f"<body><h1>Title {k}</h1><p>Words of page {k} and more</p><h5>Printed by us</h5></body>")
+             for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole = "Copied\n\nThe only text of this page\n\nQuoted\n\nIt ends here"
+    want = {k: whole for k in (*range(40), *range(100, 140))} | {200 + k: f"Title {k}\n\nWords of page {k} and more" for k in range(40)}
+    for parts in (1, 8):
+        out = html_wrappers.main_texts(pages.repartition(parts)).collect()
+        assert {r["page_id"]: r["hx_text"] for r in out} == want
