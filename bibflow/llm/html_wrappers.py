@@ -17,10 +17,13 @@ merge like two streams.  Tasks align their own pages and emit one wrapper per
 host; these are merged in two levels, so a host with very many pages is never one group.
 
 Extraction.  A host's slots are judged once: slots inside menus, headers,
-footers, side bars, notices, adverts, forms and comments are left out, and so
-are fixed strings; the article's slots are the main text, or, on pages without
-one, what is left of the body without link lists.  All pages are then read
-again and the kept slots' texts joined block by block.
+footers, side bars, notices, adverts, forms and comments (elements with such a
+tag or whole class name) are left out, and so are fixed strings, inside repeated
+groups too; the article's slots are the main text, or, on pages without one,
+what is left of the body without link lists.  Where names would leave out nearly
+all of a host's text, an element that holds most of it counts whatever its name,
+and an article with little of the text is part of the body.  All pages are then
+read again and the kept slots' texts joined block by block.
 
 Null html counts as empty and gives an empty text; a url without a host belongs
 to host ''; pages that no rule matches give an empty text; repeated rows are
@@ -48,6 +51,8 @@ from bibflow.session import ship_package
 #: Pages with different main content that must agree before a string counts as fixed.
 FIXED_PAGES = 5
 LINK_SHARE = 0.5
+#: Names are not believed if they leave less than this share of a host's text.
+LITTLE = 0.2
 MERGE_FAN = 256
 #: Wrappers a task holds before it emits them.
 MAX_HOSTS = 5_000
@@ -74,7 +79,8 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[A-Za-z][^<>]*>|(?P<text>[^<]+|<)",
     re.S | re.I)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-WORD = re.compile(r"[A-Za-z]+")
+#: Tags that are left out whatever they hold; others (a form around the page) only if most of the text is elsewhere.
+SURE = set("nav header footer aside button menu head".split())
 #: Variable parts of ids ("post-1234") would make every page its own template.
 DIGITS = re.compile(r"\d+")
 
@@ -152,15 +158,20 @@ def blocks(source: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
 # ---- wrappers -------------------------------------------------------------------------------------------------------
 # An element is [order, flags, slot, children]: the keys of its children in order, a flag string per child
 # ("+" repeated, "?" optional), its text slot or None, and the child elements.  The order None stands for one repeated
-# group of optional children.  A slot is [contents, characters, characters in links, fixed string's checksum or None]:
-# contents holds checksums of up to FIXED_PAGES distinct main contents of the pages whose string agreed there, so copies of
-# a page count once however they are dealt out; a slot whose strings differ needs none.
+# group of optional children.  A slot is [contents, characters, characters in links, fixed string's checksum or None, blocks]:
+# blocks holds the checksums of the blocks that all pages have there (a repeated slot may have fixed ones among others), and
+# contents those of up to FIXED_PAGES distinct main contents of these pages, so copies of a page count once however they are
+# dealt out; a slot without common blocks needs none.
 
 
 def new_element() -> list:
     return [[], {}, None, {}]
 
 
+def checksum(text: str) -> int:
+    return crc32(text.encode("utf-8", "surrogatepass"))
+
+
 def page_wrapper(source: str) -> tuple[list, int]:
     """A page's own expression, and a checksum of its longest block (outside the parts left out, if it has one there)."""
     root = new_element()
@@ -172,16 +183,18 @@ def page_wrapper(source: str) -> tuple[list, int]:
         if text is None:
             opened.append(path)
             continue
-        s = slots.setdefault(path, [None, 0, 0, 0])
+        s = slots.setdefault(path, [None, 0, 0, 0, set()])
         s[1] += len(text)
         s[2] += linked
-        s[3] = crc32(text.encode("utf-8", "surrogatepass"), s[3])
+        own = checksum(text)
+        s[3] = crc32(own.to_bytes(4, "little"), s[3])
+        s[4].add(own)
         if len(text) > len(longest):
             if judge(path):
                 longest = text
             elif len(text) > len(other):
                 other = text
-    content = crc32((longest or other).encode("utf-8", "surrogatepass"))
+    content = checksum(longest or other)
     for path in opened:
         runs.setdefault(path[:-1], []).append(path[-1])
     for parent in sorted(runs, key=len):
@@ -201,7 +214,7 @@ def page_wrapper(source: str) -> tuple[list, int]:
         if mixed:
             element[0], element[1] = None, dict.fromkeys(order, "?")
     for path, s in slots.items():
-        s[0] = [content]
+        s[0], s[4] = [content], sorted(s[4])
         at(root, path)[2] = s
     return root, content
 
@@ -226,7 +239,8 @@ def align(a: list, b: list) -> list:
     else:
         x, y = a[2], b[2]
         same = x[3] is not None and x[3] == y[3]
-        slot = [contents(x[0], y[0]) if same else [], x[1] + y[1], x[2] + y[2], x[3] if same else None]
+        common = x[4] if x[4] == y[4] else sorted({*x[4]} & {*y[4]})
+        slot = [contents(x[0], y[0]) if common else [], x[1] + y[1], x[2] + y[2], x[3] if same else None, common]
     children = dict(a[3])
     for k, child in b[3].items():
         children[k] = align(children[k], child) if k in children else child
@@ -276,44 +290,59 @@ def slots_of(element: list, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[
         yield from slots_of(child, (*path, k))
 
 
-def words_in(key: str) -> set[str]:
-    return {w for part in key.split(".")[1:] for w in WORD.findall(part)}
+def names_in(key: str) -> set[str]:
+    return {name.strip("-_") for name in key.split(".")[1:]}
 
 
 def is_article(key: str) -> bool:
-    return key.split(".")[0] == "article" or bool(words_in(key) & ARTICLE_WORDS)
+    tag = key.split(".")[0]
+    return tag == "article" or (tag not in ("html", "body") and bool(names_in(key) & ARTICLE_WORDS))
 
 
-def judge(path: tuple[str, ...]) -> str:
-    """'article', 'body' or '' (left out)."""
+def judge(path: tuple[str, ...], large: frozenset[tuple[str, ...]] = frozenset()) -> str:
+    """'article', 'body' or '' (left out); the names of elements in ``large`` leave nothing out."""
     inside = False
-    for k in path:
+    for n, k in enumerate(path, 1):
         tag = k.split(".")[0]
-        bad = words_in(k) & LEFT_OUT_WORDS
-        if inside:  # an article's own head is part of it
-            bad -= {"header"}
-        if bad and tag not in ("html", "body"):
+        named = tag in LEFT_OUT - SURE or (tag not in ("html", "body") and bool(
+            (names_in(k) & LEFT_OUT_WORDS) - ({"header"} if inside else set())))  # an article's own head is part of it
+        if named and path[:n] not in large:
             return ""
-        if tag in LEFT_OUT and not (tag == "header" and inside):
+        if tag in SURE and not (tag == "header" and inside):
             return ""
         inside = inside or is_article(k) or tag == "main"
     return "article" if inside else "body"
 
 
-def kept_slots(wrapper: list) -> dict[str, str]:
-    """Path -> 'article' or 'body' for the slots of the main text."""
-    out = {}
-    for path, (seen, chars, linked, fixed) in slots_of(wrapper):
-        where = judge(path)
-        if not where or (fixed is not None and len(seen) >= FIXED_PAGES):
-            continue
-        if where == "body" and linked > LINK_SHARE * chars:
-            continue
-        out["\n".join(path)] = where
-    return out
-
-
-def main_text(source: str, kept: dict[str, str]) -> str:
+def kept_slots(wrapper: list) -> dict[str, list]:
+    """Path -> ['article' or 'body', checksums of its fixed blocks] for the slots of the main text."""
+    slots = [(path, slot) for path, slot in slots_of(wrapper) if slot[3] is None or len(slot[0]) < FIXED_PAGES]
+    own = {path: slot[1] - slot[2] for path, slot in slots}  # characters outside links
+
+    def choose(large: frozenset[tuple[str, ...]]) -> dict[tuple[str, ...], str]:
+        out = {}
+        for path, (_, chars, linked, _, _) in slots:
+            where = judge(path, large)
+            if where and not (where == "body" and linked > LINK_SHARE * chars):
+                out[path] = where
+        return out
+
+    inner = {path for path in own if not any(k.split(".")[0] in SURE for k in path)}
+    total = sum(own[path] for path in inner)
+    where = choose(frozenset())
+    if sum(own[path] for path in where) < LITTLE * total:
+        within: dict[tuple[str, ...], int] = {}
+        for path in inner:
+            for n in range(1, len(path) + 1):
+                within[path[:n]] = within.get(path[:n], 0) + own[path]
+        where = choose(frozenset(path for path, n in within.items() if 2 * n > total))
+    if sum(own[path] for path, w in where.items() if w == "article") < LITTLE * sum(own[path] for path in where):
+        where = dict.fromkeys(where, "body")
+    fixed = {path: slot[4] if len(slot[0]) >= FIXED_PAGES else [] for path, slot in slots}
+    return {"\n".join(path): [w, fixed[path]] for path, w in where.items()}
+
+
+def main_text(source: str, kept: dict[str, list]) -> str:
     """The kept slots' blocks: the article's if the page has any, else the body's.
 
     A path that the host's wrapper has not seen is left out; wrappers are
@@ -322,8 +351,8 @@ def main_text(source: str, kept: dict[str, str]) -> str:
     found: dict[str, list[str]] = {"article": [], "body": []}
     for path, text, _ in blocks(source):
         if text is not None:
-            where = kept.get("\n".join(path))
-            if where:
+            where, fixed = kept.get("\n".join(path), ("", ()))
+            if where and not (fixed and checksum(text) in fixed):
                 found[where].append(text)
     return "\n\n".join(found["article"] or found["body"])
 

@@ -138,3 +138,22 @@ def test_copies_of_a_page_are_no_evidence(spark):
     for parts in (1, 8):
         out = html_wrappers.main_texts(pages.repartition(parts)).collect()
         assert {r["page_id"]: r["hx_text"] for r in out} == want
+
+
+def test_names_do_not_lose_the_text(spark):
+    rows, want = [], {}
+
+    def add(host, k, html, text):
+        rows.append((len(rows), f"http://{host}.example/{k}", f"<html>{html}</html>"))
+        want[len(rows) - 1] = text
+    for k in range(8):
+        text = f"Words of page {k} that nobody else has"
+        add("compound", k, f"<body class='single-post'><div class='content no-sidebar'><p>{text}</p></div></body>", text)
+        add("date", k, f"<body><div class='post-date'>{k} May</div><div><p>{text}</p></div></body>", f"{k} May\n\n{text}")
+        add("teaser", k, f"<body><div class='post'>No {k}</div><div><p>{text * 9}</p></div></body>", f"No {k}\n\n{text * 9}")
+        add("form", k, f"<body><form id='aspnetForm'><nav><p>Menu {k}</p></nav><p>{text}</p></form></body>", text)
+        add("wrap", k, f"<body><div class='widget'><p>{text}</p></div><div class='ad'>Ad {k}</div></body>", text)
+        # A fixed string among the strings of a repeated slot.
+        add("repeat", k, f"<body><article><p>{text}</p><p>More {k}</p><p>Subscribe to our letter</p></article></body>", f"{text}\n\nMore {k}")
+    out = html_wrappers.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect()
+    assert {r["page_id"]: r["hx_text"] for r in out} == want
