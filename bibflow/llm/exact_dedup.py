@@ -1,7 +1,8 @@
 """Exact deduplication against a history through minimal perfect hashes.
 
-The distinct digests of the history are dealt into buckets by digest prefix;
-each bucket of about ``BUCKET_DIGESTS`` digests gets a minimal perfect hash
+The distinct digests of the history are dealt into buckets by digest prefix, so
+many that neither history nor batch has more than about ``BUCKET_DIGESTS``
+digests in one; each bucket gets a minimal perfect hash
 (hash and displace) and one index row whose slots hold, in slot order, the full
 digests, the winners' locators and the group sizes.  A batch is summed per
 digest first, each sum is sent to its bucket, hashed to its slot and compared
@@ -28,6 +29,7 @@ KEYS_PER_GROUP = 4
 NO_ID = -2**63
 INDEX_SCHEMA = ("bucket int, m int, seeds array<int>, digests binary, winner_id array<bigint>, "
                 "winner_row array<bigint>, sizes array<bigint>")
+FOUND_COLUMNS = ["digest", "keep_id", "keep_row", "group_size", "member"]
 FOUND_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint, member boolean"
 
 
@@ -91,26 +93,25 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _look_up(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-    """Groups of one bucket: the index's own, updated by the members of the batch, and nonmembers as new groups."""
-    out: list[tuple] = []
-    new = list(zip(batch["digest"], batch["id"], batch["row"], batch["n"], strict=True)) if len(batch) else []
-    if len(index):
-        row = index.iloc[0]
-        held = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
-        groups = [list(x) for x in zip(row["winner_id"], row["winner_row"], row["sizes"], strict=True)]
-        if new:
-            digests = _matrix([x[0] for x in new])
-            slots = find_slots(digests, np.asarray(row["seeds"], np.int32), int(row["m"]))
-            member = (held[slots] == digests).all(axis=1)  # byte check
-            for (_, i, r, n), s in ((new[k], slots[k]) for k in np.flatnonzero(member)):
-                g = groups[s]
-                g[0], g[1] = max((g[0], g[1]), (i, r))
-                g[2] += n
-            new = [new[k] for k in np.flatnonzero(~member)]
-        out += [(held[s].tobytes(), *g, True) for s, g in enumerate(groups)]
-    out += [(*x, False) for x in new]
-    return pd.DataFrame(out, columns=["digest", "keep_id", "keep_row", "group_size", "member"]).astype(
-        {"keep_id": "int64", "keep_row": "int64", "group_size": "int64"})
+    """Groups of one bucket: the index's own, updated by the members of the batch, and nonmembers as they are."""
+    new = batch[["digest", "id", "row", "n"]].set_axis(FOUND_COLUMNS[:4], axis=1).assign(member=False)
+    if not len(index):
+        return new
+    row = index.iloc[0]
+    held = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
+    ids, rows, sizes = (np.array(row[c], np.int64) for c in ("winner_id", "winner_row", "sizes"))
+    if len(new):
+        digests = _matrix(new["digest"])
+        slots = find_slots(digests, np.asarray(row["seeds"], np.int32), int(row["m"]))
+        member = (held[slots] == digests).all(axis=1)  # byte check
+        s = slots[member]  # each digest is there once, so are its slots
+        i, r, n = (new[c].to_numpy(np.int64)[member] for c in FOUND_COLUMNS[1:4])
+        wins = (i > ids[s]) | ((i == ids[s]) & (r > rows[s]))
+        ids[s], rows[s] = np.where(wins, i, ids[s]), np.where(wins, r, rows[s])
+        sizes[s] += n
+        new = new[~member]
+    groups = pd.DataFrame(dict(zip(FOUND_COLUMNS, ([d.tobytes() for d in held], ids, rows, sizes, True))))
+    return pd.concat([groups, new], ignore_index=True) if len(new) else groups
 
 
 def _distinct(rows: DataFrame, buckets: int) -> DataFrame:
@@ -145,7 +146,8 @@ def dedup(docs: DataFrame, historical: Column, doc_id: str = "doc_id", text: str
         *others, F.unhex(F.sha2(text_of(text), 256)).alias("digest"), F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(NO_ID)).alias("id"),
         F.monotonically_increasing_id().alias("row"), F.coalesce(historical, F.lit(False)).alias("old")), "digests")
     keys = rows.select("digest", "id", "row", "old")
-    n = keys.where("old").count()
+    # The rows of the larger side; its distinct digests are no more.
+    n = max([r["count"] for r in keys.groupBy("old").count().collect()], default=0)
     buckets = max(1, -(-n // BUCKET_DIGESTS))
     index = build_index(keys.where("old"), buckets)
     groups = look_up(index, keys.where("NOT old"), buckets)

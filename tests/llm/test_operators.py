@@ -405,3 +405,20 @@ def test_perfect_hash_is_minimal_and_rejects_nonmembers():
         held = np.empty_like(digests)
         held[slot] = digests
         assert not (held[exact_dedup.find_slots(other, seeds, n)] == other).all(axis=1).any()
+
+
+def test_exact_dedup_buckets_hold_the_batch(docs, rows, monkeypatch):
+    largest = []
+    look_up = exact_dedup.look_up
+
+    def spy(index, batch, buckets):
+        largest.append(exact_dedup._distinct(batch, buckets).groupBy("bucket").count().agg(F.max("count")).first()[0])
+        return look_up(index, batch, buckets)
+
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 8)
+    monkeypatch.setattr(exact_dedup, "look_up", spy)
+    sizes = Counter(r[1] or "" for r in rows)
+    for old in (F.lit(False), F.col("doc_id") == 5):  # no history, a history of one row
+        out = exact_dedup.dedup(docs, old).collect()
+        assert Counter(r["ed_group_size"] for r in out) == Counter(sizes[r[1] or ""] for r in rows)
+    assert max(largest) <= 3 * 8
