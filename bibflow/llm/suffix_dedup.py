@@ -31,6 +31,7 @@ places of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cmp_to_key
@@ -49,8 +50,12 @@ GRAM = 40
 #: Bytes of a text that are hashed at a time.
 BLOCK = 1 << 20
 PAIRWISE = 12
-#: Stretches of one minimizer that one task compares by sorting; beyond, windows are counted by hash one by one.
-SORT_LIMIT = 200_000
+#: Memory for the stretches of one minimizer that one task compares by sorting, and what one stretch takes there at most.
+SORT_BYTES = 1 << 27
+STRETCH_BYTES = 8_000
+#: Stretches of one minimizer that are sorted; beyond, they are dealt out by the bytes on either side of it, and where
+#: that is not enough, windows are counted by hash one by one.
+SORT_LIMIT = SORT_BYTES // STRETCH_BYTES
 #: A minimizer with this share of all rows is dealt out by stretch.
 HOT_SHARE = 1e-4
 HOT_KEYS = 1000
@@ -141,7 +146,7 @@ class Stretch:
 
     def __init__(self, data: bytes, offset: int, windows: int) -> None:
         self.data, self.offset, self.windows = data, offset, windows
-        self.prefix = hasher().prefix(data).tolist()
+        self.prefix = array("Q", hasher().prefix(data).tobytes())  # 8 bytes each, read as Python numbers
         self.marks = bytearray(windows)
 
 
@@ -417,6 +422,21 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(range(first, first + windows), pa.int64())], names=["d", "t1", "t2", "a"])
 
 
+def _by_sides(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``h`` replaced by keys of the bytes next to the minimizer, up to two rows per stretch.
+
+    A window has ``MATCH - GRAM`` bytes besides its minimizer, so at least half of
+    them on one side: stretches with a common window agree in that side's key.
+    """
+    half = (MATCH - GRAM) // 2
+    offset = F.col("v").bitwiseAND(F.lit(255)).cast("int")
+    left = F.when(offset >= half, F.xxhash64("h", F.lit(0), F.substring("data", offset - half + 1, F.lit(half))))
+    right = F.when(F.octet_length("data") - offset - GRAM >= half,
+                   F.xxhash64("h", F.lit(1), F.substring("data", offset + GRAM + 1, F.lit(half))))
+    keys = F.explode(F.array_compact(F.array(left, right)))
+    return pieces.select(keys.alias("h"), *_PIECE_NAMES[1:])
+
+
 CUT = "t1 bigint, t2 bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -478,12 +498,15 @@ def dedup_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     if not large.isEmpty():
         large = materialize(large, "large-groups")
         pieces = materialize(pieces, "stretch-bytes")
-        windows = materialize(pieces.join(large, "h", "left_semi").select(*_PIECE_NAMES)
+        sides = materialize(_by_sides(pieces.join(large, "h", "left_semi").select(*_PIECE_NAMES)), "sides")
+        still = materialize(sides.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > SORT_LIMIT).select("h"), "large-sides")
+        windows = materialize(sides.join(still, "h", "left_semi").select(*_PIECE_NAMES).dropDuplicates(["t1", "t2", "v"])
                               .mapInArrow(_windows, "d binary, t1 bigint, t2 bigint, a bigint"), "windows")
         again = windows.groupBy("d").agg(F.min(F.struct("t1", "t2", "a")).alias("x"), F.max(F.struct("t1", "t2", "a")).alias("y"))
         again = again.where("x <> y").select("d")
         ranges.append(windows.join(again, "d").select("t1", "t2", "a", (F.col("a") + MATCH).alias("b")))
-        cover = pieces.join(large, "h", "left_anti").select(*_PIECE_NAMES)
+        cover = pieces.join(large, "h", "left_anti").select(*_PIECE_NAMES).unionByName(
+            sides.join(still, "h", "left_anti").select(*_PIECE_NAMES))
     ranges.append(cover.repartition("h").sortWithinPartitions("h").mapInArrow(_compare_groups, COVER))
     first, windows_n = F.shiftright("v", 16), F.shiftright("v", 8).bitwiseAND(F.lit(255)) + 1
     whole = found.where(F.col("state") != STATE_OPEN).unionByName(shared.where(F.col("state") != STATE_ALONE))

@@ -305,6 +305,46 @@ def test_hash_collisions_are_verified(monkeypatch):
     assert [x for x, v in enumerate(a.marks) if v] == list(range(11))
 
 
+def test_large_groups_are_dealt_out_by_sides(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    say = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    phrase, long = say(90), say(330)
+    texts = [say(300) + phrase + say(300) for _ in range(30)]
+    texts += [say(150) + long[k:k + 200 + 4 * k] + say(150) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    want = bag((k, *x) for k, x in enumerate(brute_cut([t.encode() for t in texts])))
+    groups = []
+    by_sides = suffix_dedup._by_sides
+
+    def spy(pieces):
+        groups.append((pieces.groupBy("h").count().agg(F.max("count")).first()[0],
+                       by_sides(pieces).groupBy("h").count().agg(F.min("count")).first()[0]))
+        return by_sides(pieces)
+
+    monkeypatch.setattr(suffix_dedup, "_by_sides", spy)
+    for limit in (2, 12):
+        monkeypatch.setattr(suffix_dedup, "SORT_LIMIT", limit)
+        assert bag(map(tuple, suffix_dedup.dedup_strings(docs).collect())) == want
+    assert groups and all(a > b for a, b in groups)
+
+
+def test_largest_sorted_group_fits_its_memory():
+    import random
+    import tracemalloc
+
+    rng = random.Random(2)
+    core = rng.randbytes(suffix_dedup.GRAM)
+    texts = [rng.randbytes(160) + core + rng.randbytes(160) for _ in range(500)]
+    suffix_dedup.mark_repeated([suffix_dedup.Stretch(t, 160, 161) for t in texts[:20]])  # tables made once
+    tracemalloc.start()
+    suffix_dedup.mark_repeated([suffix_dedup.Stretch(t, 160, 161) for t in texts])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / len(texts) * suffix_dedup.SORT_LIMIT <= 1 << 27
+
+
 # ---- packing ----
 
 def test_packing(docs, rows, empty, tokenizer):
