@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bibflow.llm import exact_dedup, html_wrappers, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, token_counts, warc
+from bibflow.llm import (centroid_clustering, exact_dedup, html_wrappers, license_scan, line_dedup, mixing, oracles, packing,
+                         quality_rules, simhash, source_divergence, suffix_dedup, token_counts, warc)
 from bibflow.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -86,6 +87,26 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.toDF("page_id", "url", "text", "n_chars")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    out = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *[F.col("ls_" + c).alias(c) for c in (
+        "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")])
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms that stand out."""
+    out = source_divergence.source_divergence(table(spark, sf_dir, "documents"))
+    return out.toDF("lang", "source", "part", "item", "value", "rank")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every whole vector."""
+    out = centroid_clustering.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", *[F.col("cc_" + c).alias(c) for c in (
+        "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")])
+
+
 def op2_sql() -> str:
     q = quality_rules
     metric = {"word_len": "1000 * word_chars / n_words", "symbols": "1000 * n_symbols / greatest(word_chars, 1)",
@@ -185,6 +206,9 @@ def queries() -> dict:
         "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_html_extraction": op10_html_extraction,
+        "op11_license_scan": op11_license_scan,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_centroid_clustering": op13_centroid_clustering,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -195,4 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": OP5_SQL,
         "op8_warc": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op11_license_scan": oracles.license_scan(),
+        "op12_source_divergence": oracles.source_divergence(),
+        "op13_centroid_clustering": oracles.centroid_clustering(),
     }
