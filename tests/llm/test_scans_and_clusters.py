@@ -229,7 +229,7 @@ def test_clusters_equal_brute_force(spark):
 
 def test_few_vectors_and_none(spark):
     schema = "vec_id bigint, embedding array<float>"
-    rows = vectors(6)[:3]
+    rows = vectors(9)[:3]
     assert clustered(spark.createDataFrame(rows, schema)) == brute_clusters(rows)
     same = [(i, rows[0][1]) for i in range(12)]
     assert clustered(spark.createDataFrame(same, schema)) == brute_clusters(same)
