@@ -18,6 +18,7 @@ from bibflow import oracle_sql as O
 from bibflow.operators import chunks as CH
 from bibflow.operators import flatten as FL
 from bibflow.operators import reports as R
+from bibflow.operators.conform import quarantine_rows
 from bibflow.operators.upsert import ORDER_COL, keyed_rows, latest_per_key, with_feed_rank
 from bibflow.plans import jobs as J
 from bibflow.plans import pipelines as P
@@ -26,6 +27,7 @@ from bibflow.session import scratch_path
 from bibflow.sinks.keyed_table import KeyedTable, write_exploded
 from bibflow.sources import files as SF
 from bibflow.streaming.ingest import start_ingest
+from bibflow.streaming.progress import CountLog
 
 # The training-data operators are an optional part of the installation.
 try:
@@ -339,6 +341,61 @@ def q_nested_documents_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
                            layout="document").drop(ORDER_COL)
 
 
+def q_quarantine_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and list elements of the wrong type, by reason and path, and what is kept of the rest."""
+    base = fixtures.write_mistyped_tree(spark, sf_dir, scratch_path(spark, "mistyped-tree"))
+    rows = J.tree_rows(spark, base, "nested", dir_format=fixtures.YEAR_DIR, layout="lines")
+    place = F.regexp_replace("path", r"\[\d+\]$", "[]")
+    aside = quarantine_rows(rows).groupBy(F.col("error").alias("status"), place.alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    good = J.records_of(rows)
+    kept = F.when(FL.passes_filters(), "kept").otherwise("filtered").alias("status")
+    fits = good.groupBy(kept, F.lit(None).cast("string").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    authors = good.agg(F.lit("authors").alias("status"), F.lit(None).cast("string").alias("path"),
+                       F.coalesce(F.sum(F.size("authors")), F.lit(0)).alias("n"))
+    return aside.unionByName(fits).unionByName(authors)
+
+
+def _new_scraped_tree(spark: SparkSession, sf_dir: str) -> str:
+    return fixtures.write_scraped_tree(spark, sf_dir, scratch_path(spark, "scraped-tree"))
+
+
+def q_scraped_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O02 from files: audit, then the ``*.json`` files of 2013 to 2023, into the table."""
+    table = _new_table(spark, "scraped-files-table")
+    J.ingest_scraped(spark, _new_scraped_tree(spark, sf_dir), table, dir_format=fixtures.YEAR_DIR)
+    return table.read()
+
+
+def q_merge_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O03 from files: both trees into one table; the scraped feed is the later load."""
+    table = _new_table(spark, "merge-files-table")
+    nested = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "merge-nested"))
+    J.ingest_both(spark, nested, _new_scraped_tree(spark, sf_dir), table, dir_format=fixtures.YEAR_DIR)
+    return table.read()
+
+
+def q_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base compacted into buckets, merged with a later load without a shuffle of the base."""
+    table = _new_table(spark, "compacted-table")
+    _nested_load(table, spark, sf_dir)
+    table.compact()
+    again = P.nested_relation(fixtures.corrected_records(spark, sf_dir), keep=["seq"])
+    table.upsert(keyed_rows(FL.filter_records(again), ["seq"]), unique=True)
+    return _titles(table)
+
+
+def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S15 on streams: records read, kept, filtered and set aside, observed per batch; totals over the batches."""
+    base = fixtures.write_mistyped_tree(spark, sf_dir, scratch_path(spark, "counted-tree"))
+    table, counts = _new_table(spark, "counted-table"), CountLog()
+    start_ingest(spark, base, table, scratch_path(spark, "counted-ckpt"), max_files_per_trigger=4, layout="lines",
+                 on_batch=counts).awaitTermination()
+    rows = spark.createDataFrame(counts.rows(), "batch_id long, n_read long, n_kept long, n_filtered long, n_quarantined long, "
+                                                "n_elements long, running_total long")
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_read", "n_kept", "n_filtered", "n_quarantined", "n_elements")],
+                    F.max("running_total").alias("running_total"))
+
+
 def _status_counts(split: DataFrame) -> DataFrame:
     return split.groupBy(F.coalesce("error", F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -492,6 +549,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_batch_then_stream": q_upsert_batch_then_stream,
         "upsert_two_streams": q_upsert_two_streams,
         "exploded_write": q_exploded_write,
+        "quarantine_types": q_quarantine_types,
+        "scraped_files_pipeline": q_scraped_files_pipeline,
+        "merge_files_pipeline": q_merge_files_pipeline,
+        "upsert_compacted": q_upsert_compacted,
+        "stream_counts": q_stream_counts,
     } | (llm.queries() if llm else {})
 
 
@@ -544,4 +606,9 @@ def oracle_sql() -> dict[str, str]:
         "upsert_batch_then_stream": O.corrected_titles(),
         "upsert_two_streams": O.corrected_titles(),
         "exploded_write": O.cross_explode(),
+        "quarantine_types": O.quarantine_types(),
+        "scraped_files_pipeline": O.scraped_files_pipeline(),
+        "merge_files_pipeline": O.merge_files_pipeline(),
+        "upsert_compacted": O.corrected_titles(),
+        "stream_counts": O.stream_counts(),
     } | (llm.oracle_sql() if llm else {})

@@ -192,7 +192,7 @@ def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     authors = F.coalesce(d.authors, F.array())
     record = _append_raw(head, "author", _one_or_many(authors))
-    return d.select(d.o_orderkey.alias("seq"), record.alias("record"))
+    return d.select(d.o_orderkey.alias("seq"), record.alias("record"), F.year(d.o_orderdate).alias("year"))
 
 
 # ---------------------------------------------------------------- file trees
@@ -243,7 +243,7 @@ def write_hidden_files(spark: SparkSession, base: str) -> str:
     from bibflow.sources import fs
 
     for y in HIDDEN_FILE_YEARS:
-        fs.create_new(spark, f"{base}/{YEAR_DIR.format(year=y)}/_late.json", '{"o_orderkey": -1}')
+        fs.write_text(spark, f"{base}/{YEAR_DIR.format(year=y)}/_late.json", '{"o_orderkey": -1}')
     return base
 
 
@@ -261,6 +261,39 @@ def write_nested_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
     return base
 
 
+def write_mistyped_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The nested feed as a year tree of lines, of every 20 records four changed: a string
+    for ``coredata`` (1), another root key (2), a string before two or more authors (3), a list for the root (4)."""
+    recs = nested_records(spark, sf_dir)
+    kind, r = F.col("seq") % 20, F.col("record")
+    put = lambda old, new: F.replace(r, F.lit(old), F.lit(new))
+    changed = (F.when(kind == 1, put('"coredata":{', '"coredata":"bad","core":{'))
+                .when(kind == 2, F.concat(F.lit('{"other":'), r, F.lit("}")))
+                .when(kind == 3, put('"author":[{', '"author":["str",{'))
+                .when(kind == 4, F.lit(f'{{"{NESTED_ROOT}":[1]}}')).otherwise(r))
+    recs.select(changed.alias("record"), "year").write.mode("overwrite").partitionBy("year").text(base)
+    return base
+
+
+# The scraped tree's years are the orders' years so much later (fixed value).
+SCRAPED_YEAR_SHIFT = 16
+_SCRAPED_FILE = ("`prism:doi` STRING, `dc:title` STRING, abstract STRING, subtypeDescription STRING, `prism:aggregationType` STRING, "
+                 "`prism:publicationName` STRING, `prism:coverDate` STRING, `author-keyword` ARRAY<STRUCT<`$`: STRING>>, "
+                 "`citedby-count` STRING, openaccessFlag BOOLEAN, affiliation STRUCT<`@id`: STRING>, "
+                 "author ARRAY<STRUCT<`preferred-name`: STRUCT<`ce:given-name`: STRING, `ce:surname`: STRING>, `author-url`: STRING, "
+                 "affiliation: STRUCT<`@id`: STRING>, `@auid`: STRING>>")
+
+
+def write_scraped_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The scraped feed as a year tree of ``*.json`` files; every tenth record goes to a ``*.txt`` file instead."""
+    recs = scraped_records(spark, sf_dir).withColumn("year", F.col("year") + SCRAPED_YEAR_SHIFT)
+    listed = F.regexp_replace("record", r'"author":(\{.*\})\}$', r'"author":[$1]}')  # a bare object as a list of one
+    (recs.where("seq % 10 <> 0").select(F.from_json(listed, _SCRAPED_FILE).alias("r"), "year").select("r.*", "year")
+        .write.mode("overwrite").partitionBy("year").json(base))
+    recs.where("seq % 10 = 0").select("record", "year").write.mode("append").partitionBy("year").text(base)
+    return base
+
+
 # Records per JSON-array file in ``write_nested_documents`` (bounds each group).
 RECORDS_PER_DOCUMENT = 2048
 

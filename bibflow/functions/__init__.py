@@ -1,4 +1,4 @@
-from bibflow.functions.json import as_array, elements, json_or_empty, json_or_null, parse, render
+from bibflow.functions.json import as_array, json_or_empty, json_or_null, parse, render, with_elements
 from bibflow.functions.scalars import (
     concat_date_parts,
     flag_as_int,
@@ -10,7 +10,7 @@ from bibflow.functions.scalars import (
 )
 
 __all__ = [
-    "as_array", "elements", "json_or_empty", "json_or_null", "parse", "render",
+    "as_array", "json_or_empty", "json_or_null", "parse", "render", "with_elements",
     "concat_date_parts", "flag_as_int", "flag_normalize", "null_struct",
     "safe_date", "safe_int", "typed_null",
 ]

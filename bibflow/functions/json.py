@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,13 +43,80 @@ def as_array(raw: str | Column, array_type: T.ArrayType | str) -> Column:
     return F.from_json(col_of(raw), array_type, {"mode": "PERMISSIVE"})
 
 
-def elements(raw: str | Column, element: T.StructType, raw_field: str) -> Column:
-    """Raw JSON text of one object or a list of objects -> array of structs that
-    hold the fields of ``element`` and, as ``raw_field``, the whole element as JSON text."""
-    c = col_of(raw)
-    texts = F.when(F.ltrim(c).startswith("{"), F.array(c)).otherwise(parse(c, "ARRAY<STRING>"))
-    return F.zip_with(as_array(c, T.ArrayType(element)), texts, lambda e, t: F.struct(
-        *[e.getField(f.name).alias(f.name) for f in element.fields], t.alias(raw_field)))
+def any_of(conditions) -> Column:
+    return reduce(or_, conditions)
+
+
+def struct_fields(st: T.StructType) -> list[T.StructField]:
+    return [f for f in st.fields if isinstance(f.dataType, T.StructType)]
+
+
+def is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def has_value(v: Column) -> Column:
+    """Present and not the JSON null."""
+    return v.isNotNull() & ~F.coalesce(F.is_variant_null(v), F.lit(False))
+
+
+def json_path(names) -> str:
+    """The path of nested keys, whatever characters they hold."""
+    return "$" + "".join(f"['{n}']" for n in names)
+
+
+def wrong_element(v: Column, text: Column, element: T.StructType) -> Column:
+    """Whether a list element, given as VARIANT and as text, does not fit ``element``.
+
+    It fits if it is an object whose declared nested objects are objects.  Text
+    that VARIANT does not accept (repeated keys) is judged by its first character.
+    """
+    wrong = ~is_object(v)
+    for f in struct_fields(element):
+        child = F.try_variant_get(v, json_path([f.name]), "variant")
+        wrong |= has_value(child) & ~is_object(child)
+    return F.when(v.isNull(), ~text.startswith("{")).otherwise(wrong)
+
+
+def with_elements(df: DataFrame, lists: dict[str, tuple[Column, T.StructType]], raw_field: str, bad: str = "__bad_") -> DataFrame:
+    """Raw JSON text of one object or a list of objects -> array columns of structs.
+
+    Every column of ``lists`` (name -> raw text, element type) holds structs of the
+    element's fields and, as ``raw_field``, the element's whole text; an element
+    that is the JSON null is a NULL struct.  Elements of another type are left out
+    and found in ``<bad><name>`` as (pos, value); the others stay.  Lists in which
+    every element fits are parsed against the declared type once; only the rest is
+    compared element by element, as VARIANT.
+    """
+    t, a, v, n = ({k: f"__{x}_{k}" for k in lists} for x in "tavn")
+    first, second, third = [], [], []
+    for k, (raw, element) in lists.items():
+        text = F.ltrim(raw)
+        # A value that is no list is a list of one.
+        first += [F.when(text.startswith("{"), F.array(raw)).when(text.startswith("["), F.coalesce(
+            parse(raw, "ARRAY<STRING>"), F.array(raw))).when(raw.isNotNull(), F.array(raw)).alias(t[k]),
+            as_array(raw, T.ArrayType(element)).alias(a[k]), raw.alias(n[k])]
+        whole = F.col(a[k]).isNotNull() & (F.size(a[k]) == F.size(t[k]))
+        doubt = ~whole
+        if struct_fields(element):
+            doubt |= F.exists(F.col(a[k]), lambda e: any_of(e.getField(f.name).isNull() for f in struct_fields(element)))
+        variant = F.when(F.ltrim(n[k]).startswith("["), F.coalesce(
+            F.try_variant_get(F.try_parse_json(n[k]), "$", "array<variant>"), F.array().cast("array<variant>"))).otherwise(
+            F.array(F.try_parse_json(n[k])))
+        second.append(F.when(doubt & F.col(t[k]).isNotNull(), F.transform(
+            F.arrays_zip(F.col(t[k]).alias("t"), variant.alias("v")),
+            lambda x, i: F.struct(i.alias("pos"), x["t"].alias("value"),
+                                  (x["t"].isNotNull() & wrong_element(x["v"], x["t"], element)).alias("wrong")))).alias(v[k]))
+        item = lambda e, r: F.struct(*[e.getField(f.name).alias(f.name) for f in element.fields], r.alias(raw_field))  # noqa: E731, B023
+        checked = F.transform(F.filter(v[k], lambda x: ~x["wrong"]), lambda x: F.when(
+            x["value"].isNotNull(), item(parse(x["value"], element), x["value"])))
+        third += [F.when(F.col(v[k]).isNotNull(), checked).otherwise(F.zip_with(a[k], t[k], lambda e, r: F.when(e.isNotNull(), item(e, r)))).alias(k),
+                  F.transform(F.filter(v[k], lambda x: x["wrong"]), lambda x: F.struct(
+                      x["pos"].alias("pos"), x["value"].alias("value"))).alias(bad + k)]
+    # Three steps, so that nothing is parsed twice.
+    df = df.select("*", *first).select("*", *second)
+    helpers = [*t.values(), *a.values(), *v.values(), *n.values()]
+    return df.select("*", *third).drop(*helpers)
 
 
 def render(c: str | Column, raw_text: bool = False) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibflow import schemas
-from bibflow.functions.json import elements, json_or_empty, json_or_null
+from bibflow.functions.json import json_or_empty, json_or_null, json_path, with_elements
 from bibflow.functions.scalars import (
     concat_date_parts,
     flag_as_int,
@@ -33,18 +33,51 @@ CONFERENCE_PROCEEDING = "Conference Proceeding"
 RECORD_LEVEL_NAMES = [n for n, _ in schemas.RECORD_LEVEL_TYPED]
 
 
+# Where a feed's lists stand in its records, and the type of their elements.
+NESTED_LISTS = {
+    "subject_areas": ((schemas.NESTED_ROOT, "subject-areas", "subject-area"), schemas.SUBJECT_AREA),
+    "authors": ((schemas.NESTED_ROOT, "authors", "author"), schemas.AUTHOR),
+}
+SCRAPED_LISTS = {"authors": (("author",), schemas.AUTHOR)}
+
+_BAD = "__bad_"
+
+
 def _keep(df: DataFrame, keep: Sequence[str]) -> list[Column]:
     return [F.col(k) for k in keep]
 
 
-def flatten_nested(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) -> DataFrame:
+def _with_lists(df: DataFrame, rec: str, lists: dict, issues: str | None) -> tuple[DataFrame, list[Column]]:
+    """The feed's lists as typed columns, and the ``issues`` column (path, value of every element left out)."""
+    raw = {}
+    for name, (path, element) in lists.items():
+        c = F.col(rec)
+        for key in path:
+            c = c.getField(key)
+        raw[name] = (c, element)
+    df = with_elements(df, raw, schemas.RAW, _BAD)
+    if not issues:
+        return df, []
+    found = []
+    for name, (path, _) in lists.items():
+        at = F.lit(json_path(path) + "[")
+        found.append(F.transform(F.coalesce(_BAD + name, F.array().cast("array<struct<pos:int,value:string>>")), lambda b: F.struct(
+            F.concat(at, b["pos"].cast("string"), F.lit("]")).alias("path"), b["value"].alias("value"))))  # noqa: B023
+    # A one-row generator, so that a filter on the issues does not repeat the comparison.
+    once = F.struct(*lists, F.concat(*found).alias(issues))
+    return df.withColumn("__lists", F.array(once)).drop(*lists).select("*", F.inline("__lists")), [F.col(issues)]
+
+
+def flatten_nested(df: DataFrame, rec: str = "rec", keep: Sequence[str] = (), issues: str | None = None) -> DataFrame:
     """Nested API record (parsed struct column ``rec``) -> record-level relation.
 
     Deep paths are resolved with ``getField`` so keys holding ``:`` ``@``
     ``$`` ``-`` need no quoting (P01); columns listed in ``keep`` ride along
     (P03); nested values declared as raw JSON text are passed through as
-    text (P13).
+    text (P13).  List elements of another type than declared are left out;
+    ``issues`` names a column that holds their paths and values.
     """
+    df, issue_cols = _with_lists(df, rec, NESTED_LISTS, issues)
     r = F.col(rec).getField(schemas.NESTED_ROOT)
     core = r.getField("coredata")
     item = r.getField("item")
@@ -73,19 +106,19 @@ def flatten_nested(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) ->
         proc.getField("ait:status").getField("@state").alias("status_state"),
         concat_date_parts(delivered.getField("@year"), delivered.getField("@month"),
                           delivered.getField("@day")).alias("delivered_date"),
-        elements(r.getField("subject-areas").getField("subject-area"),
-                 schemas.SUBJECT_AREA, schemas.RAW).alias("subject_areas"),
-        elements(r.getField("authors").getField("author"), schemas.AUTHOR, schemas.RAW).alias("authors"),
+        "subject_areas", "authors", *issue_cols,
     )
 
 
-def flatten_scraped(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) -> DataFrame:
+def flatten_scraped(df: DataFrame, rec: str = "rec", keep: Sequence[str] = (), issues: str | None = None) -> DataFrame:
     """Flat scraped record -> the same record-level relation.
 
     Flat names are renamed (P04); fields the feed lacks become typed NULLs
     (P11); the missing subject list becomes one subject whose fields are all
     NULL (P12), so each record still yields rows after the fan-out.
+    ``issues`` as in :func:`flatten_nested`.
     """
+    df, issue_cols = _with_lists(df, rec, SCRAPED_LISTS, issues)
     r = F.col(rec)
     return df.select(
         *_keep(df, keep),
@@ -107,7 +140,7 @@ def flatten_scraped(df: DataFrame, rec: str = "rec", keep: Sequence[str] = ()) -
         typed_null(T.StringType()).alias("status_state"),
         typed_null(T.StringType()).alias("delivered_date"),
         F.array(null_struct(schemas.SUBJECT_ELEMENT)).alias("subject_areas"),
-        elements(r.getField("author"), schemas.AUTHOR, schemas.RAW).alias("authors"),
+        "authors", *issue_cols,
     )
 
 
@@ -133,9 +166,14 @@ def type_agreement(df: DataFrame) -> DataFrame:
     return df.filter(type_agreement_predicate())
 
 
+def passes_filters() -> Column:
+    """F01 + F02 as one predicate."""
+    return F.col("doi").isNotNull() & type_agreement_predicate()
+
+
 def filter_records(df: DataFrame) -> DataFrame:
-    """F01 + F02 as one predicate, applied before any fan-out."""
-    return df.filter(F.col("doi").isNotNull() & type_agreement_predicate())
+    """F01 + F02, applied before any fan-out."""
+    return df.filter(passes_filters())
 
 
 def explode_subjects(df: DataFrame, src: str = "subject_areas", out: str = "subject") -> DataFrame:

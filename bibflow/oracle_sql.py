@@ -443,3 +443,40 @@ SELECT chunk_id, least({chunk_size}, n - chunk_id * {chunk_size}) AS chunk_size,
        least((chunk_id + 1) * {chunk_size}, n) AS running_total
 FROM c
 """
+
+
+# Records of ``write_mistyped_tree`` that are set aside, and authors that are.
+_MISTYPED = """judged AS (SELECT r.*, coalesce(na.n, 0) AS n_authors, r.seq % 20 AS kind,
+  r.seq % 20 IN (1, 2, 4) AS aside, r.seq % 20 = 3 AND coalesce(na.n, 0) >= 2 AS one_off
+  FROM nested r LEFT JOIN n_a na ON na.k = r.seq)"""
+
+
+def quarantine_types() -> str:
+    root = "$[''abstracts-retrieval-response'']"
+    return (_with(_NESTED_CTE, _COUNTS, _MISTYPED) + f"""
+SELECT 'wrong_type' AS status, '{root}[''coredata'']' AS path, count(*) AS n FROM judged WHERE kind = 1 HAVING count(*) > 0
+UNION ALL SELECT 'wrong_type', '{root}', count(*) FROM judged WHERE kind = 4 HAVING count(*) > 0
+UNION ALL SELECT 'unknown_record', '$', count(*) FROM judged WHERE kind = 2 HAVING count(*) > 0
+UNION ALL SELECT 'wrong_element', '{root}[''authors''][''author''][]', count(*) FROM judged WHERE one_off HAVING count(*) > 0
+UNION ALL SELECT CASE WHEN coalesce({_FILTER}, false) THEN 'kept' ELSE 'filtered' END, NULL, count(*) FROM judged r WHERE NOT aside GROUP BY 1
+UNION ALL SELECT 'authors', NULL, CAST(coalesce(sum(n_authors), 0) AS BIGINT) FROM judged WHERE NOT aside""")
+
+
+def stream_counts() -> str:
+    return (_with(_NESTED_CTE, _COUNTS, _MISTYPED) + f"""
+SELECT count(*) AS n_read, count(*) FILTER (WHERE NOT aside AND coalesce({_FILTER}, false)) AS n_kept,
+  count(*) FILTER (WHERE NOT aside AND NOT coalesce({_FILTER}, false)) AS n_filtered, count(*) FILTER (WHERE aside) AS n_quarantined,
+  count(*) FILTER (WHERE one_off) AS n_elements, count(*) AS running_total FROM judged r""")
+
+
+# Orders whose scraped record stands in a ``*.json`` file of 2013 to 2023 (``write_scraped_tree``).
+_IN_RANGE = "SELECT o_orderkey FROM orders WHERE year(o_orderdate) + 16 BETWEEN 2013 AND 2023 AND o_orderkey % 10 <> 0"
+
+
+def scraped_files_pipeline() -> str:
+    return f"SELECT * FROM ({scraped_pipeline()}) WHERE CAST(split_part(doi, '/', 2) AS BIGINT) IN ({_IN_RANGE})"
+
+
+def merge_files_pipeline() -> str:
+    return f"""WITH flat AS MATERIALIZED ({scraped_files_pipeline()})
+SELECT * FROM flat UNION ALL SELECT * FROM ({nested_pipeline()}) WHERE doi NOT IN (SELECT doi FROM flat)"""

@@ -22,7 +22,7 @@ rows with an error are the quarantine (S10/S11), the rest go to
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from fnmatch import fnmatch
 
 import pandas as pd
@@ -230,23 +230,42 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: T.StructType
     ``error``.
     """
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = read_document_structs(spark, pattern, st, name_glob)
+    return rows.select(*[F.col("doc").getField(f.name).alias(f.name) for f in st.fields],
+                       "file_path", "year", "block", "rec_pos", "record", "error")
+
+
+def read_document_structs(spark: SparkSession, pattern: str, st: T.StructType, name_glob: str | None = None,
+                          doubt: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The rows of :func:`read_json_documents` with the parsed struct in ``doc``.
+
+    With ``doubt`` (a condition on the parsed struct) also ``variant``: the
+    elements as VARIANT, in files where the condition holds for some element.
+    """
     texts = read_texts(spark, pattern, name_glob)
     # A second value makes the file malformed; the parser alone would stop after the first.
     text = F.trim(F.regexp_replace("value", "^\\uFEFF", ""))
     parsed = texts.select("file_path", "year", "value", F.when(
         one_value(text), F.from_json(text, T.ArrayType(st), {"mode": "PERMISSIVE"})).alias("docs"))
-    # ``posexplode_outer`` is the generator barrier: the parse above runs once
-    # per file, and a NULL array (unparseable file) still yields one row.
-    rows = parsed.select("file_path", "year", F.col("docs").isNull().alias("bad_file"),
-                         F.when(F.col("docs").isNull(), F.col("value")).alias("record"),
-                         F.posexplode_outer("docs").alias("rec_pos", "doc"))
-    rows = rows.filter(F.col("bad_file") | F.col("rec_pos").isNotNull())  # drop empty arrays
-    error = (F.when(F.col("bad_file"), F.lit("malformed_file"))
+    item = lambda doc, variant, record: F.struct(doc.alias("doc"), variant.alias("variant"), record.alias("record"))
+    none = F.lit(None).cast("variant")
+    if doubt is None:
+        items = F.transform("docs", lambda d: item(d, none, F.lit(None).cast("string")))
+    else:
+        as_variant = F.try_parse_json(text)
+        parsed = parsed.withColumn("variants", F.when(F.exists("docs", lambda d: F.coalesce(doubt(d), F.lit(True))), F.coalesce(
+            F.try_variant_get(as_variant, "$", "array<variant>"), F.array(as_variant))).otherwise(F.array().cast("array<variant>")))
+        items = F.transform(F.arrays_zip("docs", "variants"), lambda z: item(z["docs"], z["variants"], F.lit(None).cast("string")))
+    # Everything an element needs stands in the element: what is kept beside the
+    # generator is copied for every row.  A file that does not parse is one element.
+    whole = F.array(item(F.lit(None).cast(st), none, F.col("value")))
+    rows = parsed.select("file_path", "year", F.posexplode(F.when(F.col("docs").isNull(), whole).otherwise(items)).alias("rec_pos", "e"))
+    rows = rows.select("file_path", "year", "rec_pos", "e.doc", "e.variant", "e.record")
+    error = (F.when(F.col("record").isNotNull(), F.lit("malformed_file"))
               .when(F.col("doc").isNull(), F.lit("not_object")))
-    return rows.select(
-        *[F.col("doc").getField(f.name).alias(f.name) for f in st.fields],
-        "file_path", "year", F.lit(0).cast("long").alias("block"),
-        F.col("rec_pos").cast("long").alias("rec_pos"), "record", error.alias("error"))
+    out = rows.select("doc", "file_path", "year", F.lit(0).cast("long").alias("block"),
+                      F.when(F.col("record").isNull(), F.col("rec_pos")).cast("long").alias("rec_pos"), "record", error.alias("error"), "variant")
+    return out if doubt is not None else out.drop("variant")
 
 
 def good(split: DataFrame) -> DataFrame:

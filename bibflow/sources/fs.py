@@ -7,10 +7,8 @@ any Hadoop-compatible store (local, HDFS, object stores).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -65,33 +63,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Publish a small file under ``path`` unless something is there already.
-
-    The text is written next to the target and put in place in one step that
-    never replaces a file: a hard link on a local (or mounted) file system, a
-    rename elsewhere, which HDFS refuses when the target exists.  Returns
-    whether this call created it.
-    """
-    jvm = spark.sparkContext._jvm
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file."""
     fs, p = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
+    out = fs.create(p, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    try:
-        if str(fs.getScheme()) == "file":
-            to_path = lambda q: jvm.java.io.File(str(q.toUri().getPath())).toPath()
-            try:
-                jvm.java.nio.file.Files.createLink(to_path(p), to_path(tmp))
-            except Py4JJavaError as e:
-                if "FileAlreadyExists" in str(e.java_exception):
-                    return False
-                raise
-            return True
-        return not fs.exists(p) and bool(fs.rename(tmp, p))
-    finally:
-        fs.delete(tmp, False)
 
 
 def delete(spark: SparkSession, path: str) -> None:

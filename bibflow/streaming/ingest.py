@@ -6,8 +6,8 @@ flattened, filtered and merged into a :class:`KeyedTable` in
 ``foreachBatch``.  The feed carries no event time, so there is no watermark
 or window: the only state is the keyed table itself.
 
-Exactly-once: the table's manifest holds, by the id in the stream's
-checkpoint, the last batch it counts; a replayed micro-batch is skipped.  A
+Exactly-once: a batch is stored as a partition named by the id in the stream's
+checkpoint and its number; a replayed micro-batch replaces its own.  A
 later batch, of whatever stream, replaces what an earlier load stored; within
 one batch the greatest ``(file_path, block, rec_pos)`` wins.
 """
@@ -15,24 +15,21 @@ one batch the greatest ``(file_path, block, rec_pos)`` wins.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bibflow.operators.flatten import filter_records
+from bibflow.operators.conform import ISSUES
+from bibflow.operators.flatten import filter_records, passes_filters
 from bibflow.operators.upsert import keyed_rows
-from bibflow.plans.pipelines import nested_relation, scraped_relation
+from bibflow.plans.jobs import conformed, naming_first_record, records_of, write_quarantine
 from bibflow.sinks.keyed_table import KeyedTable
 from bibflow.sources import fs
-from bibflow.sources.files import good, line_rows, quarantine, split_files, split_lines, year_of
-
-RELATIONS: dict[str, Callable[..., DataFrame]] = {
-    "nested": nested_relation,
-    "scraped": scraped_relation,
-}
-
+from bibflow.sources.files import line_rows, split_files, split_lines, year_of
+from bibflow.streaming.progress import BatchCounts
 
 def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
                 name_glob: str | None = None, layout: str = "whole") -> DataFrame:
@@ -55,14 +52,15 @@ def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
 
 
 def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "whole",
-                 quarantine_path: str | None = None, checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
+                 quarantine_path: str | None = None, checkpoint: str | None = None,
+                 on_batch: Callable[[BatchCounts], None] | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch of files -> table.
 
-    With ``quarantine_path`` the batch's malformed records are appended there
-    (tagged with ``batch_id``) instead of being left out silently.  With
-    ``checkpoint`` a batch is counted once, however often it is replayed.
+    With ``quarantine_path`` the batch's set-aside records are written there
+    (by ``batch_id``) instead of being left out silently.  With ``checkpoint``
+    a batch is stored once, however often it is replayed.  ``on_batch`` gets the
+    batch's counts of records, observed in the job that reads them (S15).
     """
-    relation = RELATIONS[feed]
     stream_id: list[str] = []
 
     def writer(spark: SparkSession) -> str | None:
@@ -72,23 +70,26 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
 
     def run(batch: DataFrame, batch_id: int) -> None:
         split = split_lines(batch) if layout == "lines" else split_files(batch)
-        split = split.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if quarantine_path:
-            # Used twice (quarantine + records): computed once; a lost block
-            # is recomputed from the replayable file source.
-            split = split.persist()
+        counters = Observation(f"{feed}-{batch_id}-{uuid.uuid4().hex[:8]}")
+        ok = F.col("error").isNull()
+        # Used by the quarantine and the records: computed once (a lost block
+        # is recomputed from the replayable file source), counted as it passes.
+        rows = conformed(split, feed, keep=["file_path", "year", "block", "rec_pos"]).observe(
+            counters, F.count_if(ok).alias("ok"), F.count_if(~ok).alias("bad"),
+            F.sum(F.when(ok, F.size(ISSUES))).alias("elements"), F.count_if(ok & passes_filters()).alias("kept")).persist()
         try:
-            if quarantine_path:
-                # Keyed by batch id so a replayed batch replaces its own rows.
-                (quarantine(split).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("batch_id").parquet(quarantine_path))
-            keep = ["batch_id", "file_path", "block", "rec_pos"]
-            rel = filter_records(relation(good(split), "record", keep=keep))
-            order = [F.lit(feed_rank), *[F.col(c) for c in keep]]
-            table.upsert(keyed_rows(rel, order), unique=True, writer=writer(batch.sparkSession), batch=batch_id)
+            with naming_first_record(feed, split):
+                if quarantine_path:
+                    # One folder per batch, so a replayed batch replaces its own rows.
+                    write_quarantine(rows, f"{quarantine_path}/batch_id={batch_id}")
+                order = [F.lit(feed_rank), *[F.col(c) for c in ("file_path", "block", "rec_pos")]]
+                table.upsert(keyed_rows(filter_records(records_of(rows)), order), unique=True,
+                             writer=writer(batch.sparkSession), batch=batch_id)
+            if on_batch is not None:
+                n = counters.get
+                on_batch(BatchCounts(batch_id, n["ok"] + n["bad"], n["ok"], n["kept"], n["bad"], n["elements"] or 0))
         finally:
-            if quarantine_path:
-                split.unpersist()
+            rows.unpersist()
 
     return run
 
@@ -96,7 +97,8 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
 def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkpoint: str,
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
                  available_now: bool = True, layout: str = "whole",
-                 query_name: str | None = None, quarantine_path: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, quarantine_path: str | None = None,
+                 on_batch: Callable[[BatchCounts], None] | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
     directory's current files are all processed.  ``query_name`` labels the
     progress events (see :mod:`bibflow.streaming.progress`)."""
@@ -105,7 +107,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkp
     if query_name:
         writer = writer.queryName(query_name)
     writer = (writer
-                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path, checkpoint))
+                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path, checkpoint, on_batch))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

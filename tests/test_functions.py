@@ -54,9 +54,29 @@ def test_path_with_odd_names(spark):
     assert parsed.select(F.col("r").getField("a:b").getField("@c").getField("$")).first()[0] == "x"
 
 
+def elements_of(spark, texts, element):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = BF.with_elements(df, {"good": (F.col("t"), element)}, "raw").orderBy("i").collect()
+    return [(r["good"], [tuple(b) for b in r["__bad_good"] or []]) for r in rows]
+
+
 def test_elements_keep_undeclared_fields(spark):
     texts = ['{"@code":"1","x":{"y":[1,null]}}', '[{"@code":"1","$":"a"},{"z":2}]', "[]", None, "plain"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [None if r[0] is None else [(e["@code"], e["$"], e["raw"]) for e in r[0]]
-           for r in df.select(BF.elements("t", schemas.SUBJECT_AREA, "raw")).collect()]
-    assert got == [[("1", None, texts[0])], [("1", "a", '{"@code":"1","$":"a"}'), (None, None, '{"z":2}')], [], None, None]
+    got = elements_of(spark, texts, schemas.SUBJECT_AREA)
+    assert [None if g is None else [(e["@code"], e["$"], e["raw"]) for e in g] for g, _ in got] == [
+        [("1", None, texts[0])], [("1", "a", '{"@code":"1","$":"a"}'), (None, None, '{"z":2}')], [], None, []]
+    assert [b for _, b in got] == [[], [], [], [], [(0, "plain")]]
+
+
+def test_only_the_wrong_elements_go(spark):
+    texts = ['[{"author-url":"u"},"str",null,5,{"author-url":"v","preferred-name":{"ce:surname":"s"}}]',
+             '[{"author-url":"u","preferred-name":"Ann"},{"author-url":"v","preferred-name":null}]',
+             '{"author-url":"u","preferred-name":["x"]}', '[[{"author-url":"u"}]]', '"str"', "[1,2", '{"author-url":"a","author-url":"b"}',
+             '[null]', '[{"affiliation":[{"@id":"1"}]}]']
+    got = elements_of(spark, texts, schemas.AUTHOR)
+    urls = [[None if e is None else e["author-url"] for e in g] for g, _ in got]
+    assert urls == [["u", None, "v"], ["v"], [], [], [], [], ["b"], [None], [None]]
+    assert got[0][0][2]["preferred-name"]["ce:surname"] == "s" and got[8][0][0]["affiliation"] == '[{"@id":"1"}]'
+    assert [b for _, b in got] == [
+        [(1, "str"), (3, "5")], [(0, '{"author-url":"u","preferred-name":"Ann"}')], [(0, texts[2])], [(0, '[{"author-url":"u"}]')],
+        [(0, '"str"')], [(0, "[1,2")], [], [], []]
