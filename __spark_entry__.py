@@ -26,6 +26,7 @@ from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import scratch_path
 from bibflow.sinks.keyed_table import KeyedTable, write_exploded
 from bibflow.sources import files as SF
+from bibflow.sources.ranges import read_ranges
 from bibflow.streaming.ingest import start_ingest
 from bibflow.streaming.progress import CountLog
 
@@ -232,6 +233,17 @@ def q_split_concat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversation_rows(_conversation_split(spark, sf_dir, "concat"))
 
 
+# Bytes of a range in the range query: the files of the test tables then have many.
+RANGE_BYTES = 1 << 16
+
+
+def q_split_concat_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One large file of concatenated objects, read in ranges by many tasks."""
+    base = fixtures.write_one_conversation_file(spark, sf_dir, scratch_path(spark, "conv-one"))
+    found = read_ranges(spark, f"{base}/*", range_bytes=RANGE_BYTES).withColumn("year", F.lit(None).cast("int"))
+    return _conversation_rows(found)
+
+
 def q_json_array_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files holding one JSON array each, read by the JVM JSON reader."""
     base = fixtures.write_conversation_files(spark, sf_dir, scratch_path(spark, "conv-array"), "array")
@@ -525,6 +537,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_affiliation": q_json_affiliation,
         "upsert_latest": q_upsert_latest,
         "split_concat_json": q_split_concat_json,
+        "split_concat_ranges": q_split_concat_ranges,
         "json_array_docs": q_json_array_docs,
         "ndjson_docs": q_ndjson_docs,
         "quarantine_records": q_quarantine_records,
@@ -582,6 +595,7 @@ def oracle_sql() -> dict[str, str]:
         "json_affiliation": O.json_affiliation(),
         "upsert_latest": O.upsert_latest(),
         "split_concat_json": O.split_concat_json(),
+        "split_concat_ranges": O.split_concat_json(),
         "json_array_docs": O.json_array_docs(),
         "ndjson_docs": O.ndjson_docs(),
         "quarantine_records": O.quarantine_records(),

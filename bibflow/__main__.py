@@ -34,8 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     ing.add_argument("--table", required=True)
     ing.add_argument("--quarantine")
     ing.add_argument("--buckets", type=int, default=256)
-    ing.add_argument("--layout", choices=["whole", "lines", "document"], default="whole",
-                     help="whole: any JSON layout per file; lines: NDJSON (splittable); "
+    ing.add_argument("--layout", choices=["whole", "ranges", "lines", "document"], default="whole",
+                     help="whole: any JSON layout per file; ranges: the same for files of any size; lines: NDJSON (splittable); "
                           "document: exactly one object or array per file (JVM reader)")
     st = sub.add_parser("stream")
     st.add_argument("--source", required=True)

@@ -311,6 +311,15 @@ def write_nested_documents(spark: SparkSession, sf_dir: str, base: str) -> str:
     return base
 
 
+def write_one_conversation_file(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """``conversations`` as one file of objects, odd turns pretty-printed, written by one task."""
+    fields = F.struct("conv_id", "turn", "role", "text")
+    c = table(spark, sf_dir, "conversations")
+    obj = F.when(F.col("turn") % 2 == 1, F.to_json(fields, {"pretty": "true"})).otherwise(F.to_json(fields))
+    c.select(obj.alias("value")).coalesce(1).write.mode("overwrite").option("lineSep", " ").text(base)
+    return base
+
+
 def write_conversation_files(spark: SparkSession, sf_dir: str, base: str, layout: str,
                              corrupt: str | None = None) -> str:
     """``conversations`` as JSON files.

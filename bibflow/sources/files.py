@@ -23,7 +23,6 @@ rows with an error are the quarantine (S10/S11), the rest go to
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from fnmatch import fnmatch
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +33,8 @@ from pyspark.errors import AnalysisException
 from bibflow.session import ship_package
 from bibflow.sources import fs
 from bibflow.sources.json_text import split_records
+from bibflow.sources.listing import list_files, name_matches, split_pattern
+from bibflow.sources.ranges import read_ranges
 
 SPLIT_SCHEMA = "file_path STRING, year INT, block BIGINT, rec_pos BIGINT, record STRING, error STRING"
 
@@ -124,13 +125,13 @@ def hidden_files(spark: SparkSession, base: str, years: Iterable[int] | None = N
                  dir_format: str = "{year}") -> DataFrame:
     """Files of the tree whose names start with ``_``, as quarantine rows (``hidden_name``).
 
-    Spark's file index never opens such names.  They are found by one glob
-    that lists nothing else; empty marker files are left out.
+    Spark's file index never opens such names.  They are found in the listing
+    of the year folders, which executors make; empty marker files are left out.
     """
-    rows = [(e.path, 0, 0, None, "hidden_name") for e in fs.glob(spark, year_paths(base, years, "_*", dir_format))
-            if not e.is_dir and e.size > 0 and fnmatch(e.name, name_glob)]
-    df = spark.createDataFrame(rows, "file_path STRING, block BIGINT, rec_pos BIGINT, record STRING, error STRING")
-    return df.select("file_path", year_of(F.col("file_path")).alias("year"), "block", "rec_pos", "record", "error")
+    folders, _ = split_pattern(year_paths(base, years, "*", dir_format))
+    found = list_files(spark, folders).where(F.col("name").startswith("_") & (F.col("size") > 0) & name_matches(name_glob))
+    return found.select("file_path", year_of(F.col("file_path")).alias("year"), F.lit(0).cast("long").alias("block"),
+                        F.lit(0).cast("long").alias("rec_pos"), F.lit(None).cast("string").alias("record"), F.lit("hidden_name").alias("error"))
 
 
 def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | None = None,
@@ -148,6 +149,21 @@ def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | Non
     return split_files(texts).unionByName(hidden_files(spark, base, years, name_glob, dir_format))
 
 
+def read_range_records(spark: SparkSession, base: str, years: Iterable[int] | None = None, name_glob: str = "*",
+                       dir_format: str = "{year}", require_base: bool = True, range_bytes: int | None = None) -> DataFrame:
+    """:func:`read_file_records` for files of any size: each is read in ranges by many tasks."""
+    if require_base and not fs.exists(spark, base):
+        raise FileNotFoundError(f"base directory does not exist: {base}")
+    try:
+        found = read_ranges(spark, year_paths(base, years, "*", dir_format), None if name_glob == "*" else name_glob, range_bytes)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        found = spark.createDataFrame([], "file_path STRING, block BIGINT, rec_pos BIGINT, record STRING, error STRING")
+    found = found.select("file_path", year_of(F.col("file_path")).alias("year"), "block", "rec_pos", "record", "error")
+    return found.unionByName(hidden_files(spark, base, years, name_glob, dir_format))
+
+
 def line_rows(df: DataFrame) -> DataFrame:
     """Text lines (line-mode text source, batch or stream) with their file
     position: ``(file_path, year, block, value)``."""
@@ -204,10 +220,13 @@ def read_ndjson_records(spark: SparkSession, pattern: str, name_glob: str | None
 def read_tree_records(spark: SparkSession, base: str, years: Iterable[int] | None = None,
                       name_glob: str = "*", dir_format: str = "{year}", layout: str = "whole",
                       require_base: bool = True) -> DataFrame:
-    """A year tree in either layout: ``whole`` (any JSON layout per file,
-    via the splitter) or ``lines`` (NDJSON, splittable)."""
+    """A year tree in one of three layouts: ``whole`` (any JSON layout per file,
+    via the splitter), ``ranges`` (the same for files of any size, see
+    :mod:`bibflow.sources.ranges`) or ``lines`` (NDJSON, splittable)."""
     if layout == "whole":
         return read_file_records(spark, base, years, name_glob, dir_format, require_base)
+    if layout == "ranges":
+        return read_range_records(spark, base, years, name_glob, dir_format, require_base)
     if require_base and not fs.exists(spark, base):
         raise FileNotFoundError(f"base directory does not exist: {base}")
     return read_ndjson_records(spark, year_paths(base, years, "*", dir_format),

@@ -114,40 +114,59 @@ class _Reader:
         return MALFORMED, end, text[i:end]
 
 
-def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
-    """Yield ``(position, record_text, error)`` for every record in ``text``."""
-    if not text:
-        return
+def _values(text: str, in_array: bool, first: int) -> Iterator[tuple[str, str | None, int, bool]]:
+    """(source, error, end, whether an array is open then) of every value; the last one may be cut short.
+
+    ``first`` is the number of values before the text, in whole files 0.
+    """
     n = len(text)
     reader = _Reader(text)
-    pos = 0
+    opened_at, count = None, first
     i = _skip(text, 0)
     while i < n:
-        if text[i] == "[":
+        if in_array and text[i] == "]":
+            in_array = False
+            i = _skip(text, i + 1)
+            continue
+        if not in_array and text[i] == "[":
             # A top-level array: records are its elements.
-            j = _skip(text, i + 1)
-            closed = False
-            while j < n:
-                if text[j] == "]":
-                    j += 1
-                    closed = True
-                    break
-                err, end, src = reader.one(j)
-                yield pos, src, err
-                pos += 1
-                if err == UNTERMINATED:
-                    return
-                j = _skip(text, end)
-            if not closed:
-                # The array never closes: everything already yielded stands,
-                # the missing end is one error row.
-                yield pos, text[i:] if pos == 0 else "", UNTERMINATED
-                return
-            i = _skip(text, j)
+            in_array, opened_at = True, i
+            i = _skip(text, i + 1)
             continue
         err, end, src = reader.one(i)
-        yield pos, src, err
-        pos += 1
+        yield src, err, end, in_array
+        count += 1
         if err == UNTERMINATED:
             return
         i = _skip(text, end)
+    if in_array:
+        # The array never closes: everything already yielded stands,
+        # the missing end is one error row.
+        yield (text[opened_at:] if count == 0 and opened_at is not None else ""), UNTERMINATED, n, in_array
+
+
+def split_records(text: str | None) -> Iterator[tuple[int, str, str | None]]:
+    """Yield ``(position, record_text, error)`` for every record in ``text``."""
+    for pos, (src, err, _, _) in enumerate(_values(text or "", False, 0)):
+        yield pos, src, err
+
+
+def split_part(text: str, in_array: bool, final: bool, before: int) -> tuple[list[tuple[str, str | None]], str, bool]:
+    """Split the next part of a long text: (values, rest, whether an array is open).
+
+    The rest goes in front of the next part: a value that the part ends in, or
+    one that only the next part shows to be complete (a number, junk up to the
+    next bracket).  ``final`` marks the last part; ``before`` counts the values
+    of earlier parts.
+    """
+    found = list(_values(text, in_array, before))
+    if final:
+        return [v[:2] for v in found], "", False
+    done, at = [], 0
+    for src, err, end, array in found:
+        if err == UNTERMINATED or (end == len(text) and not src.endswith(("}", "]"))) or end == len(text) and err == MALFORMED:
+            break
+        done.append((src, err))
+        at, in_array = end, array
+    # Brackets of top-level arrays stand between values: they are read again with the rest.
+    return done, text[at:], in_array
