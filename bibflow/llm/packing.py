@@ -76,7 +76,10 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self.fast.encode_to_numpy(text).tobytes()
+        try:
+            return self.fast.encode_to_numpy(text).tobytes()
+        except ValueError:  # a run of white space so long that the pattern gives up; the library has no such limit
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -281,7 +284,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")
     offsets = materialize(by_task.select(F.col("task").alias("o_task"), F.col("length").alias("o_length"), before.alias("o_n")),
                           "piece-offsets")
-    ranked = pieces.join(offsets, (pieces["task"] == F.col("o_task")) & (pieces["length"] == F.col("o_length")))
+    # The offsets grow with tasks and lengths: shuffled at every size, never broadcast.
+    ranked = pieces.join(offsets.hint("shuffle_hash"), (pieces["task"] == F.col("o_task")) & (pieces["length"] == F.col("o_length")))
     ranked = ranked.withColumn("rank", F.col("number") + F.col("o_n"))
     placed = ranked.join(F.broadcast(plan), (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("p_from"))
                          & (F.col("rank") < F.col("p_from") + F.col("p_n")))

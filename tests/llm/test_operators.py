@@ -462,3 +462,10 @@ def test_exact_dedup_buckets_hold_the_batch(docs, rows, monkeypatch):
         out = exact_dedup.dedup(docs, old).collect()
         assert Counter(r["ed_group_size"] for r in out) == Counter(sizes[r[1] or ""] for r in rows)
     assert max(largest) <= 3 * 8
+
+
+def test_encoder_survives_long_white_space(tokenizer):
+    encoder = packing.Encoder(vocabulary_path())
+    text = "a" + " " * 2_000_000 + "b"
+    ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
