@@ -7,6 +7,7 @@ its file size gives the planner a real size for choosing a broadcast join.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -68,6 +69,30 @@ def clean_name(taken: list[str], name: str) -> str:
     return name
 
 
+def clash_free(prefix: str, *names: str):
+    """For operators ``f(docs, ...)`` whose own columns begin with ``prefix`` or ``__`` (or are among ``names``).
+
+    Columns of ``docs`` with such names go through under other names and get
+    their own back in the result; a result column that would share a name with
+    one of them gets a ``_`` behind it.  Other inputs are passed on as they are.
+    """
+    def wrap(f):
+        @functools.wraps(f)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            own = lambda c: c.lower().startswith((prefix, "__")) or c.lower() in names
+            other = {c: f"input{i}_column" for i, c in enumerate(docs.columns) if own(c)}
+            if not other:
+                return f(docs, *args, **kwargs)
+            named = lambda a: other.get(a, a) if isinstance(a, str) else a
+            out = f(docs.toDF(*[other.get(c, c) for c in docs.columns]), *map(named, args), **{k: named(v) for k, v in kwargs.items()})
+            back = {v: k for k, v in other.items()}
+            return out.toDF(*[back[c] if c in back else clean_name(list(other), c) for c in out.columns])
+
+        return run
+
+    return wrap
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (node, root), root the smallest node.
 

@@ -1,6 +1,6 @@
 """Line deduplication by distinct-site spread.
 
-A line (white space trimmed, at least ``MIN_LINE_WORDS`` words) that occurs on
+A line (white space trimmed, not blank) that occurs on
 ``MIN_SITES`` or more distinct sites is boilerplate.  Each line hash that occurs
 in so many documents gets a HyperLogLog sketch of its sites, merged by aggregation; estimates clearly
 beyond the threshold decide, lines whose estimate lies within ``MARGIN`` of it
@@ -21,19 +21,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibflow.llm.common import SPACE_RUN, clean_name, materialize, text_of
+from bibflow.llm.common import clash_free, clean_name, materialize, text_of
 
 MIN_SITES = 10
-MIN_LINE_WORDS = 3
 SKETCH_LG_K = 8
 MARGIN = max(1, math.ceil(MIN_SITES * 4 * 1.04 / math.sqrt(2**SKETCH_LG_K)))  # four standard errors
 _WHITE = " \t\n\x0b\x0c\r"
 
 
 def _key(line: Column) -> Column:
-    """128 hash bits of a trimmed line; null for lines that are too short."""
+    """128 hash bits of a trimmed line; null for blank lines."""
     t = F.btrim(line, F.lit(_WHITE))
-    return F.when(F.size(F.split(t, SPACE_RUN)) >= MIN_LINE_WORDS,
+    return F.when(t != "",
                   F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b")))
 
 
@@ -70,6 +69,7 @@ def _hits(lines: DataFrame, spread: DataFrame) -> DataFrame:
                                  F.collect_set(F.when(here, key)).alias("once"))
 
 
+@clash_free("ld_")
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` with boilerplate lines removed from the text, plus ld_lines and ld_removed (counts of lines)."""
     hits = _hits(*boilerplate(docs, doc_id, text, site))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bibflow.llm.common import clean_name, materialize, text_of, word_count
+from bibflow.llm.common import clash_free, clean_name, materialize, text_of, word_count
 
 WEIGHTS = [3, 1, 2]
 SHARE = 1.5
@@ -118,6 +118,7 @@ def apply_plan(frame: DataFrame, cut: DataFrame, source: str, size: str, h: str)
     return plain.unionByName(out(leaf, F.greatest(F.lit(0), F.least(F.col(size), F.col("__rest") - F.col("__before")))))
 
 
+@clash_free("mix_")
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per document, text left out: its other columns plus mix_size,
     mix_source_size, mix_target, mix_taken.  Texts are read once."""
@@ -129,22 +130,20 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     return apply_plan(skinny, cut, source, "mix_size", "mix_hash").drop("mix_hash")
 
 
+@clash_free("mix_")
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix as documents: each row once per copy taken.
+    """The mix as documents: each row once per copy taken, texts whole.
 
-    The one document per source that crosses its budget contributes, besides its
-    whole copies, its first words up to the budget, white space as it was.
+    The one document per source that crosses its budget is taken once more if at
+    least half of its words are within the budget, so a source's words come
+    within half of that document of its target.
     """
     t = text_of(text)
     frame = docs.withColumns({"mix_size": word_count(t), "mix_hash": document_hash(F.col(f"`{doc_id}`"), t)})
     skinny = materialize(frame.select(F.col(source).alias("source"), F.col("mix_size").alias("size"),
                                       F.col("mix_hash").alias("h")), "mix-sizes")
     rows = apply_plan(frame, plan(skinny), source, "mix_size", "mix_hash").where("mix_taken > 0")
-    part, copy = clean_name(rows.columns, "mix_part"), clean_name(rows.columns, "mix_copy")
-    rows = rows.withColumn(part, F.col("mix_taken") % F.col("mix_size"))
-    n = F.floor(F.col("mix_taken") / F.col("mix_size")) + F.when(F.col(part) > 0, 1).otherwise(0)
-    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), n)))
-    # Cut after a word: zero-width splits keep all white space.
-    pieces = F.split(t, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.when((F.col(part) > 0) & (F.col(copy) == n), F.array_join(F.slice(pieces, F.lit(1), F.col(part).cast("int")), ""))
-    return rows.select(*[(cut.otherwise(F.col(f"`{c}`")) if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    copy = clean_name(rows.columns, "mix_copy")
+    n = F.floor((2 * F.col("mix_taken") + F.col("mix_size")) / (2 * F.col("mix_size")))
+    rows = rows.where(n > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), n)))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

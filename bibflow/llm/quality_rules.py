@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bibflow.llm.common import WORD_CHAR, clean_name, materialize, text_of, words_of
+from bibflow.llm.common import WORD_CHAR, clash_free, clean_name, materialize, text_of, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -165,6 +165,7 @@ def judge(base: DataFrame, limits: DataFrame, lang: str = "lang", source: str =
                          (~base_failed(prefix) & ok).alias(prefix + "kept"))
 
 
+@clash_free("qr_")
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Every row of ``docs`` without its text, plus base counts, ``base_failed`` and ``kept``."""
     others = [c for c in docs.columns if c != text]
@@ -173,6 +174,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     return judge(base, thresholds(base, lang, source, "qr_"), lang, source, "qr_")
 
 
+@clash_free("qr_")
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were.
 

@@ -163,7 +163,7 @@ WITH lines AS (
     SELECT doc_id, source, i, line, trim(line, E' \\t\\n\\x0b\\x0c\\r') AS t FROM (
         SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
-cand AS (SELECT * FROM lines WHERE len(regexp_extract_all(t, '[^ \t\n\x0b\x0c\r]+')) >= {line_dedup.MIN_LINE_WORDS}),
+cand AS (SELECT * FROM lines WHERE t <> ''),
 spread AS (SELECT t, min(doc_id) AS first FROM cand GROUP BY t
            HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {line_dedup.MIN_SITES}),
 marked AS (

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from bibflow.llm.common import components, materialize, text_of
+from bibflow.llm.common import clash_free, components, materialize, text_of
 from bibflow.session import ship_package
 
 SEED = 42
@@ -229,6 +229,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         F.lower(F.lpad(F.hex("sh_bits"), 16, "0")).alias("sh_fingerprint"), "sh_component", "sh_root")
 
 
+@clash_free("sh_", "wa", "wb", "wi", "f")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
              radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that name their component; of rows that share that id, one stays.
