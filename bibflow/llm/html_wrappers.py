@@ -18,12 +18,19 @@ host; these are merged in two levels, so a host with very many pages is never on
 
 Extraction.  A host's slots are judged once: slots inside menus, headers,
 footers, side bars, notices, adverts, forms and comments (elements with such a
-tag or whole class name) are left out, and so are fixed strings, inside repeated
-groups too; the article's slots are the main text, or, on pages without one,
-what is left of the body without link lists.  Where names would leave out nearly
-all of a host's text, an element that holds most of it counts whatever its name,
-and an article with little of the text is part of the body.  All pages are then
-read again and the kept slots' texts joined block by block.
+tag, class name, or first or last word of a class name) are left out; the
+article's other slots are the main text, fixed strings included.  On pages
+without an article, the element that holds nearly all varying text of the body
+counts as one, and of what stands outside it fixed strings (inside repeated
+groups too) and link lists go.  Names are weighed against the text: one word of
+a class name leaves out no element with most of a host's varying text; where
+whole names would leave out nearly all of it, neither do they, and an article
+with little of the text is part of the body.  All pages are then read again and
+the kept slots' texts joined block by block.
+
+Elements more than ``MAX_DEPTH`` deep are read as part of the last one above
+that depth: their text stays.  An element of ``HIDDEN`` that is never closed hides
+nothing, one of ``RAW`` all that follows.
 
 Null html counts as empty and gives an empty text; a url without a host belongs
 to host ''; pages that no rule matches give an empty text; repeated rows are
@@ -35,6 +42,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -53,31 +61,41 @@ FIXED_PAGES = 5
 LINK_SHARE = 0.5
 #: Names are not believed if they leave less than this share of a host's text.
 LITTLE = 0.2
+#: An element with this share of the body's varying text holds the main text.
+NEARLY_ALL = 0.9
+#: Elements deeper than this add no level to a path.
+MAX_DEPTH = 256
 MERGE_FAN = 256
 #: Wrappers a task holds before it emits them.
 MAX_HOSTS = 5_000
 
 # HTML element kinds, and words that name parts of a page in class, id and role.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
-             "span strike strong sub sup time tt u var wbr".split())
+             "span strike strong sub sup time tt u var wbr math mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle "
+             "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("script style noscript template title textarea iframe svg math object canvas audio video select".split())
+RAW = set("script style title textarea iframe".split())
+HIDDEN = set("noscript template svg object canvas audio video select annotation".split())
 LEFT_OUT = set("nav header footer aside form button dialog menu fieldset head".split())
 LEFT_OUT_WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar "
                      "navigation breadcrumb breadcrumbs header masthead footer sidebar aside widget notice notices cookie cookies "
                      "consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related "
                      "recommended comment comments disqus respond reply replies contentinfo complementary search form toolbar".split())
 ARTICLE_WORDS = set("article post entry story".split())
+NO_PART_WORDS = set("no not non has had with without hide hidden show is category cat tag type format status layout".split())
+CONTAINERS = set("div section main center form table tbody tr td fieldset dl ul ol aside".split())
 CLOSES_P = set("address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
                "h5 h6 header hr li main menu nav ol p pre section table ul".split())
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 SCOPE = set("ul ol dl table td th article section div aside nav main body".split())
 
+#: Quotes count after "=" only, and no part is tried twice, so that stray quotes cost one pass.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>" + "|".join(sorted(HIDDEN)) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[A-Za-z][^<>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^<>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
+    r"|<[!?/][^<>]*+>|<[A-Za-z][^<>]*+>|(?P<text>[^<]++|<)", re.S)
+CLOSING = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in RAW | HIDDEN}
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Tags that are left out whatever they hold; others (a form around the page) only if most of the text is elsewhere.
 SURE = set("nav header footer aside button menu head".split())
@@ -100,15 +118,31 @@ def blocks(source: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
     text: list[str] = []
     link = linked = 0
 
+    at_once: Counter[str] = Counter()  # open elements by tag
+    unclosed: set[str] = set()
+    pos, size = 0, len(source)
+
     def flush() -> Iterator[tuple[tuple[str, ...], str, int]]:
         nonlocal linked
         joined = " ".join("".join(text).split())
         text.clear()
         if joined:
-            yield tuple(stack), joined, min(linked, len(joined))
+            yield tuple(stack[:MAX_DEPTH]), joined, min(linked, len(joined))
         linked = 0
 
-    for m in TOKEN.finditer(source):
+    def close(tag: str, scope: set[str]) -> None:
+        """Close the innermost ``tag`` unless an element of ``scope`` is open in it."""
+        n = len(tags) - 1
+        while tags[n] != tag:
+            if tags[n] in scope:
+                return
+            n -= 1
+        at_once.subtract(tags[n:])
+        del tags[n:], stack[n:]
+
+    while pos < size:
+        m = TOKEN.match(source, pos)
+        pos = m.end()
         raw = m["text"]
         if raw is not None:
             raw = entities.unescape(raw) if "&" in raw else raw
@@ -128,30 +162,34 @@ def blocks(source: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
             continue
         if tag in INLINE or (tag in VOID and tag != "hr"):
             continue
+        if tag in CLOSING:
+            if not m["end"] and tag not in unclosed and not (tag in HIDDEN and m["attrs"].endswith("/")):
+                shut = CLOSING[tag].search(source, pos)
+                if shut or tag in RAW:
+                    pos = shut.end() if shut else size
+                else:
+                    unclosed.add(tag)
+            continue
         yield from flush()
         if tag == "hr":
             continue
         if m["end"]:
-            if tag in tags:
-                at = len(tags) - 1 - tags[::-1].index(tag)
-                if tag != "p" or not any(t in SCOPE for t in tags[at + 1:]):
-                    del tags[at:], stack[at:]
+            if at_once[tag]:
+                close(tag, SCOPE if tag == "p" else set())
             continue
         link = 0
-        if tag in CLOSES_P and "p" in tags:
-            at = len(tags) - 1 - tags[::-1].index("p")
-            if not any(t in SCOPE for t in tags[at + 1:]):
-                del tags[at:], stack[at:]
+        if tag in CLOSES_P and at_once["p"]:
+            close("p", SCOPE)
         for same in CLOSES_SAME.get(tag, ()):
-            if same in tags:
-                at = len(tags) - 1 - tags[::-1].index(same)
-                if not any(t in SCOPE - {same} for t in tags[at + 1:]):
-                    del tags[at:], stack[at:]
+            if at_once[same]:
+                close(same, SCOPE - {same})
         if m["attrs"].endswith("/") and tag not in CLOSES_P:
             continue
         tags.append(tag)
+        at_once[tag] += 1
         stack.append(key_of(tag, m["attrs"]))
-        yield tuple(stack), None, 0
+        if len(stack) <= MAX_DEPTH:
+            yield tuple(stack), None, 0
     yield from flush()
 
 
@@ -299,14 +337,34 @@ def is_article(key: str) -> bool:
     return tag == "article" or (tag not in ("html", "body") and bool(names_in(key) & ARTICLE_WORDS))
 
 
-def judge(path: tuple[str, ...], large: frozenset[tuple[str, ...]] = frozenset()) -> str:
-    """'article', 'body' or '' (left out); the names of elements in ``large`` leave nothing out."""
+def part_named(key: str, inside: bool) -> str:
+    """Whether the names of an element call it a part to leave out: by a 'whole' name, a 'word' of one, or ''."""
+    if key.split(".")[0] in ("html", "body"):
+        return ""
+    own = LEFT_OUT_WORDS - {"header"} if inside else LEFT_OUT_WORDS  # an article's own head is part of it
+    names = names_in(key)
+    if names & own:
+        return "whole"
+    if is_article(key):
+        return ""
+    for name in names:
+        words = [w for w in re.split("[-_]+", name) if w]
+        if len(words) > 1 and words[0] not in NO_PART_WORDS and (words[0] in own or words[-1] in own) and not (
+                words[-1] == "header" and words[0] in ARTICLE_WORDS):
+            return "word"
+    return ""
+
+
+NOTHING: frozenset[tuple[str, ...]] = frozenset()
+
+
+def judge(path: tuple[str, ...], large: frozenset[tuple[str, ...]] = NOTHING, most: frozenset[tuple[str, ...]] = NOTHING) -> str:
+    """'article', 'body' or '' (left out); names leave out no element in ``large``, single words of names none in ``most``."""
     inside = False
     for n, k in enumerate(path, 1):
         tag = k.split(".")[0]
-        named = tag in LEFT_OUT - SURE or (tag not in ("html", "body") and bool(
-            (names_in(k) & LEFT_OUT_WORDS) - ({"header"} if inside else set())))  # an article's own head is part of it
-        if named and path[:n] not in large:
+        named = "whole" if tag in LEFT_OUT - SURE else part_named(k, inside)
+        if named and path[:n] not in (large if named == "whole" else most):
             return ""
         if tag in SURE and not (tag == "header" and inside):
             return ""
@@ -314,32 +372,44 @@ def judge(path: tuple[str, ...], large: frozenset[tuple[str, ...]] = frozenset()
     return "article" if inside else "body"
 
 
+def held_by(chars: dict[tuple[str, ...], int]) -> dict[tuple[str, ...], int]:
+    """Characters inside every element."""
+    out: dict[tuple[str, ...], int] = {}
+    for path, n in chars.items():
+        for k in range(1, len(path) + 1) if n else ():
+            out[path[:k]] = out.get(path[:k], 0) + n
+    return out
+
+
 def kept_slots(wrapper: list) -> dict[str, list]:
     """Path -> ['article' or 'body', checksums of its fixed blocks] for the slots of the main text."""
-    slots = [(path, slot) for path, slot in slots_of(wrapper) if slot[3] is None or len(slot[0]) < FIXED_PAGES]
-    own = {path: slot[1] - slot[2] for path, slot in slots}  # characters outside links
+    slots = dict(slots_of(wrapper))
+    fixed = {path for path, slot in slots.items() if slot[3] is not None and len(slot[0]) >= FIXED_PAGES}
+    own = {path: 0 if path in fixed else slot[1] - slot[2] for path, slot in slots.items()}  # varying characters outside links
+    inner = {path: n for path, n in own.items() if not any(k.split(".")[0] in SURE for k in path)}
+    total = sum(inner.values())
+    most = frozenset(path for path, n in held_by(inner).items() if 2 * n > total)
 
     def choose(large: frozenset[tuple[str, ...]]) -> dict[tuple[str, ...], str]:
-        out = {}
-        for path, (_, chars, linked, _, _) in slots:
-            where = judge(path, large)
-            if where and not (where == "body" and linked > LINK_SHARE * chars):
-                out[path] = where
-        return out
-
-    inner = {path for path in own if not any(k.split(".")[0] in SURE for k in path)}
-    total = sum(own[path] for path in inner)
-    where = choose(frozenset())
+        return {path: w for path in slots if (w := judge(path, large, most))}
+
+    where = choose(NOTHING)
     if sum(own[path] for path in where) < LITTLE * total:
-        within: dict[tuple[str, ...], int] = {}
-        for path in inner:
-            for n in range(1, len(path) + 1):
-                within[path[:n]] = within.get(path[:n], 0) + own[path]
-        where = choose(frozenset(path for path, n in within.items() if 2 * n > total))
+        where = choose(most)
     if sum(own[path] for path, w in where.items() if w == "article") < LITTLE * sum(own[path] for path in where):
         where = dict.fromkeys(where, "body")
-    fixed = {path: slot[4] if len(slot[0]) >= FIXED_PAGES else [] for path, slot in slots}
-    return {"\n".join(path): [w, fixed[path]] for path, w in where.items()}
+    body = {path: own[path] for path, w in where.items() if w == "body"}
+    holds = [path for path, n in held_by(body).items()
+             if n >= NEARLY_ALL * sum(body.values()) and path[-1].split(".")[0] in CONTAINERS]
+    holder = max(holds, key=len, default=None)
+    out = {}
+    for path, w in where.items():
+        contents, chars, linked, _, common = slots[path]
+        if w == "article" or (holder and path[:len(holder)] == holder):
+            out["\n".join(path)] = [w, []]
+        elif path not in fixed and linked <= LINK_SHARE * chars:
+            out["\n".join(path)] = [w, common if len(contents) >= FIXED_PAGES else []]
+    return out
 
 
 def main_text(source: str, kept: dict[str, list]) -> str:
