@@ -22,7 +22,8 @@ compare share a minimizer.  Consecutive windows with the same minimizer form a
 4. Repeated windows are joined per text into maximal runs, cut out, and the rest
    hashed.
 
-Texts are shuffled once (one row per distinct text and task); equal texts are one
+Texts are shuffled once (one row per distinct text and task) into a table bucketed
+by text, which steps 1, 3 and 4 read without moving it again; equal texts are one
 text in all steps and, being repeats of each other, go as a whole if they are
 long enough.  Null text is empty: nothing to remove.  Rows that repeat count as
 places of their own; an empty table gives an empty result.
@@ -31,6 +32,7 @@ places of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibflow.llm.common import materialize, text_of
+from bibflow.llm.common import materialize, scratch, text_of
 from bibflow.session import ship_package
 
 MATCH = 200
@@ -278,13 +280,9 @@ def _long(x: np.ndarray) -> pa.Array:
 
 def _emit_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per stretch; within a batch, equal stretches are covered and only one of them goes on as STATE_TWICE."""
-    seen: set[tuple[int, int]] = set()
     for batch in batches:
         parts, ids = [], []
         for t1, t2, text in zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), batch.column("text"), strict=True):
-            if (t1, t2) in seen:
-                continue
-            seen.add((t1, t2))
             for h, c, first, windows, offset in stretches(text.as_py().encode()):
                 parts.append((h, c, pack(first, windows, offset)))
                 ids.append((t1, t2, len(h)))
@@ -472,6 +470,18 @@ def hot_minimizers(rows: DataFrame) -> frozenset[int]:
     return frozenset(x["item"] for x in got["top"] or () if x["count"] > max(1000, HOT_SHARE * got["n"]))
 
 
+def _stored_by_text(texts: DataFrame) -> str:
+    """Name of a table of the distinct (t1, t2, text), bucketed by t1 and t2.
+
+    It has as many buckets as shuffles have partitions, so a task of the shuffle that finds the distinct texts writes whole buckets.
+    """
+    spark = texts.sparkSession
+    name = f"suffix_texts_{uuid.uuid4().hex}"
+    (texts.groupBy("t1", "t2").agg(F.first("text").alias("text")).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "t1", "t2")
+     .format("parquet").option("path", scratch(spark, name)).saveAsTable(name))
+    return name
+
+
 def dedup_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row of ``docs`` without its text, plus sd_n_bytes, sd_n_removed, sd_n_spans, sd_kept_sha256."""
     ship_package(docs.sparkSession)
@@ -480,8 +490,9 @@ def dedup_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     ids = [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7), t).alias("t2")]
     rows = materialize(docs.select(*[docs[c].alias(f"c{k}") for k, c in enumerate(others)], F.octet_length(t).cast("bigint").alias("n"),
                                    F.sha2(t, 256).alias("sha"), *ids), "texts")
-    long_texts = docs.where(F.octet_length(t) >= MATCH).select(*ids, t.alias("text"))
-    found = materialize(long_texts.mapInArrow(_emit_stretches, ROWS), "stretches")
+    stored = _stored_by_text(docs.where(F.octet_length(t) >= MATCH).select(*ids, t.alias("text")))
+    distinct = docs.sparkSession.table(stored)
+    found = materialize(distinct.mapInArrow(_emit_stretches, ROWS), "stretches")
     hot = hot_minimizers(found)
     part = F.when(F.col("h").isin(list(hot)), F.pmod("c", F.lit(HOT_PARTS))).otherwise(0) if hot else F.lit(0)
     shared = (found.where(F.col("state") != STATE_COVERED).withColumn("p", part).repartition("h", "p")
@@ -489,7 +500,6 @@ def dedup_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     shared = materialize(shared, "shared-stretches")
 
     open_rows = shared.where(F.col("state").isin(STATE_ALONE, STATE_TWICE))
-    distinct = long_texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     places = open_rows.groupBy("t1", "t2").agg(F.collect_list(F.struct("h", "v")).alias("places"))
     pieces = distinct.join(places, ["t1", "t2"]).select("t1", "t2", "text", "places").mapInArrow(_fetch, PIECES)
     large = open_rows.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > SORT_LIMIT).select("h")
@@ -516,6 +526,7 @@ def dedup_strings(docs: DataFrame, text: str = "text") -> DataFrame:
         covered = covered.unionByName(r)
     covered = covered.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     cut = materialize(distinct.join(covered, ["t1", "t2"]).select("t1", "t2", "text", "ranges").mapInArrow(_cut, CUT), "cut-texts")
+    docs.sparkSession.sql(f"DROP TABLE {stored}")  # the name only: the files are in the shared folder
 
     copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies")).where("copies > 1")
     notes = materialize(cut.join(copies, ["t1", "t2"], "full_outer").select(
