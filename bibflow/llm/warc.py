@@ -13,8 +13,8 @@ carry the bytes and digest so far; the row marked ``last`` has those of the
 whole payload.  A stored digest that differs is an error.
 
 Null payload is empty; null id or url is left out of the header and read back
-as null.  Rows with equal payload and the same largest id are all stored.  An
-empty table gives an empty manifest and no rows.
+as null.  Rows with equal payload and the same largest id are all stored, and every
+row has a record id of its own.  An empty table gives an empty manifest and no rows.
 """
 
 from __future__ import annotations
@@ -61,20 +61,25 @@ def classify(pages: DataFrame, page_id: str = "page_id", html: str = "html", url
                          F.when(~F.col("page_id").eqNullSafe(F.col("stored")), F.col("stored")).alias("refers_to"))
 
 
-def record_id(page_id: int | None, url: str | None) -> str:
-    return uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {url}").urn
+def record_id(page_id: int | None, url: str | None, place: str = "") -> str:
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {url} {place}").urn
 
 
-def header(page_id, url, sha1: str, size: int, refers_to) -> bytes:
-    """The WARC header and the HTTP head of one record, up to its payload."""
+def header(page_id, url, sha1: str, size: int, refers_to, place: str = "") -> bytes:
+    """The WARC header and the HTTP head of one record, up to its payload.
+
+    ``place`` (archive and number in it) tells repeated rows apart.  The address is
+    written as it is, but for line ends, which a header can't hold: they are
+    percent-encoded and read back so.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
     revisit = refers_to is not None
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id(page_id, url)}>",
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id(page_id, url, place)}>",
              "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/http; msgtype=response",
              f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}",
              f"Content-Length: {len(http) + (0 if revisit else size)}"]
     if url is not None:
-        lines.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+        lines.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
     if revisit:
@@ -106,7 +111,7 @@ def write_archives(records: DataFrame, root: str | None = None) -> DataFrame:
                 body = memoryview(payload.as_buffer())
                 refers_to = refers_to.as_py()
                 pack = zlib.compressobj(1, wbits=31)
-                size += out.write(pack.compress(header(page_id.as_py(), url.as_py(), sha1.as_py(), len(body), refers_to)))
+                size += out.write(pack.compress(header(page_id.as_py(), url.as_py(), sha1.as_py(), len(body), refers_to, f"{name} {n}")))
                 for at in range(0, 0 if refers_to is not None else len(body), CHUNK):
                     size += out.write(pack.compress(body[at:at + CHUNK]))
                 size += out.write(pack.compress(b"\r\n\r\n") + pack.flush())
@@ -166,7 +171,6 @@ def read_records(stream, data: bool = True) -> Iterator[tuple]:
         left, seen, number, sha1 = 0 if revisit else size, 0, 0, hashlib.sha1()
         ids = [int(warc[k]) if k in warc else None for k in ("X-Page-Id", "X-Refers-To-Page-Id")]
         url = warc.get("WARC-Target-URI")
-        url = url and url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
         while True:
             if left and not have:
                 have += feed()
