@@ -4,9 +4,13 @@ Fixed base rules reject texts that are too short or mostly repeated.  All other
 cutoffs are learned: each metric gets a mergeable quantile sketch per
 (lang, source) - a log-bucket histogram, so merging is adding counts and every
 quantile has a relative error of at most ``SKETCH_GAMMA - 1`` - and a text is
-rejected when a metric lies outside the sketch's fences
-``[q25 - REACH * spread, q75 + REACH * spread]`` with
-``spread = max(q75 - q25, MIN_SPREAD)``.  A group with fewer than
+rejected when a metric lies ``reach`` times as far beyond the sketch's tail quantile
+as that lies from the median: above ``high + reach * (high - q50)`` or below
+``low - reach * (q50 - low)``, the difference being at least ``ROUNDING`` and the
+sketch's own error.  Texts
+with odd words or symbols come in shares of several percent, so those two metrics
+take the 10 % tails, which such texts don't reach; repetition is a matter of degree
+and has a long tail in good text, so it takes the 1 % tail.  A group with fewer than
 ``MIN_GROUP`` texts uses the merged sketch of its language, and that of all
 texts when the language is as small.
 
@@ -28,13 +32,14 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SKETCH_GAMMA = 1.02
 MIN_GROUP = 100
-REACH = 3
-#: Smallest spread by metric, in thousandths: a group whose texts are all alike
-#: still tolerates this much variation (the mean word length of a short text varies most).
-MIN_SPREAD = {"word_len": 500, "symbols": 15, "dup_lines": 100, "repeats": 120}
+#: Share of the texts in a tail, and how far beyond it a text may lie, by metric.
+TAIL = {"word_len": (0.1, 3), "symbols": (0.1, 3), "dup_lines": (0.01, 1), "repeats": (0.01, 1)}
+#: Thousandths; one in a hundred is no evidence.
+ROUNDING = 10
 #: Metrics where an unusually small value is a fault as well.
 TWO_SIDED = {"word_len"}
 
+METRICS = list(TAIL)
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -120,7 +125,7 @@ def thresholds(base: DataFrame, lang: str = "lang", source: str = "source", pref
         arr = merged.groupBy(*by).agg(F.sum("n").alias("total"),
                                       F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("s"))
 
-        def at(q: float) -> Column:
+        def at(q: Column) -> Column:
             need = F.ceil(F.col("total") * q)
             found = F.aggregate(
                 "s", F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("int").alias("b")),
@@ -129,15 +134,16 @@ def thresholds(base: DataFrame, lang: str = "lang", source: str = "source", pref
                 lambda a: a["b"])
             return sketch_value(found)
 
-        arr = arr.withColumns({"q25": at(0.25), "q75": at(0.75)})
-        least = F.create_map(*[F.lit(x) for kv in MIN_SPREAD.items() for x in kv])
-        spread = F.greatest(F.col("q75") - F.col("q25"), least[F.col("metric")])
-        arr = arr.select(*by, "total", (F.col("q25") - REACH * spread).alias("lo"), (F.col("q75") + REACH * spread).alias("hi"))
+        given = lambda x: F.create_map(*[F.lit(v) for k in METRICS for v in (k, x(*TAIL[k]))])[F.col("metric")]
+        arr = arr.withColumns({"low": at(given(lambda t, _: t)), "mid": at(F.lit(0.5)), "high": at(given(lambda t, _: 1 - t)),
+                               "reach": given(lambda _, r: r)})
+        wide = lambda a, b: F.col("reach") * F.greatest(F.col(a) - F.col(b), F.lit(ROUNDING), F.floor(F.col("mid") * (SKETCH_GAMMA - 1)))
+        arr = arr.select(*by, "total", (F.col("low") - wide("mid", "low")).alias("lo"), (F.col("high") + wide("high", "mid")).alias("hi"))
         return arr.groupBy(*keys).agg(
             F.max("total").alias("total"),
-            *[F.max(F.when(F.col("metric") == k, F.col(s))).alias(f"{k}_{s}") for k in MIN_SPREAD for s in ("lo", "hi")])
+            *[F.max(F.when(F.col("metric") == k, F.col(s))).alias(f"{k}_{s}") for k in METRICS for s in ("lo", "hi")])
 
-    cols = [f"{k}_{s}" for k in MIN_SPREAD for s in ("lo", "hi")]
+    cols = [f"{k}_{s}" for k in METRICS for s in ("lo", "hi")]
     by_group, by_lang, overall = fences(["lang", "source"]), fences(["lang"]), fences([])
     g = by_group.alias("g").join(by_lang.alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")), "left")
     g = g.join(F.broadcast(overall).alias("o"), F.lit(True), "left")  # one row

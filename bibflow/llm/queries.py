@@ -112,22 +112,24 @@ def op2_sql() -> str:
     metric = {"word_len": "1000 * word_chars / n_words", "symbols": "1000 * n_symbols / greatest(word_chars, 1)",
               "dup_lines": "1000 * n_dup_lines / (n_lines + 4)", "repeats": "1000 * n_repeat_words / n_words"}
     values = " UNION ALL ".join(
-        f"SELECT doc_id, lang, source, '{k}' AS metric, CAST(floor({v}) AS BIGINT) AS v, {q.MIN_SPREAD[k]} AS least, "
+        f"SELECT doc_id, lang, source, '{k}' AS metric, CAST(floor({v}) AS BIGINT) AS v, {q.TAIL[k][0]} AS tail, {q.TAIL[k][1]} AS reach, "
         f"{'true' if k in q.TWO_SIDED else 'false'} AS both_sides FROM f WHERE NOT base_failed" for k, v in metric.items())
 
     def fences(name: str, keys: str) -> str:
         by = f"{keys}, metric" if keys else "metric"
-        pick = f"SELECT {by}, max(total) AS total, max(least) AS least, "
+        pick = f"SELECT {by}, max(total) AS total, max(reach) AS reach, "
         value = "CASE WHEN {0} <= 0 THEN 0 ELSE floor(pow(" + str(q.SKETCH_GAMMA) + ", {0})) END"
-        quant = ", ".join(f"min(CASE WHEN cum >= ceil(total * {x}) THEN bucket END) AS b{n}" for n, x in (("25", 0.25), ("75", 0.75)))
-        return f"""{name}_c AS (SELECT {by}, bucket, least, sum(count(*)) OVER (PARTITION BY {by} ORDER BY bucket) AS cum,
-              sum(count(*)) OVER (PARTITION BY {by}) AS total FROM s GROUP BY {by}, bucket, least),
+        quant = ", ".join(f"min(CASE WHEN cum >= ceil(total * {x}) THEN bucket END) AS b{n}" for n, x in (("low", "tail"), ("mid", "0.5"), ("high", "(1 - tail)")))
+        return f"""{name}_c AS (SELECT {by}, bucket, tail, reach, sum(count(*)) OVER (PARTITION BY {by} ORDER BY bucket) AS cum,
+              sum(count(*)) OVER (PARTITION BY {by}) AS total FROM s GROUP BY {by}, bucket, tail, reach),
         {name}_q AS ({pick}{quant} FROM {name}_c GROUP BY {by}),
-        {name} AS (SELECT *, {value.format('b25')} AS q25, {value.format('b75')} AS q75 FROM {name}_q)"""
+        {name} AS (SELECT *, {value.format('blow')} AS low, {value.format('bmid')} AS mid,
+            {value.format('bhigh')} AS high FROM {name}_q)"""
 
-    edge = lambda a: f"{a}.q{{0}} {{1}} {q.REACH} * greatest({a}.q75 - {a}.q25, {a}.least)"
-    limit = lambda n, sign: ("CASE WHEN g.total >= {0} THEN {1} WHEN l.total >= {0} THEN {2} ELSE {3} END".format(
-        q.MIN_GROUP, *(edge(a).format(n, sign) for a in "glo")))
+    upper = lambda a: f"{a}.high + {a}.reach * greatest({a}.high - {a}.mid, {q.ROUNDING}, floor({a}.mid * {q.SKETCH_GAMMA - 1!r}))"
+    lower = lambda a: f"{a}.low - {a}.reach * greatest({a}.mid - {a}.low, {q.ROUNDING}, floor({a}.mid * {q.SKETCH_GAMMA - 1!r}))"
+    limit = lambda edge: ("CASE WHEN g.total >= {0} THEN {1} WHEN l.total >= {0} THEN {2} ELSE {3} END".format(
+        q.MIN_GROUP, *map(edge, "glo")))
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
              regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\x0c\r]+') AS w FROM documents),
@@ -151,7 +153,7 @@ out AS (SELECT DISTINCT s.doc_id FROM s
         JOIN g ON g.lang IS NOT DISTINCT FROM s.lang AND g.source IS NOT DISTINCT FROM s.source AND g.metric = s.metric
         JOIN l ON l.lang IS NOT DISTINCT FROM s.lang AND l.metric = s.metric
         JOIN o ON o.metric = s.metric
-        WHERE s.v > {limit("75", "+")} OR (s.both_sides AND s.v < {limit("25", "-")}))
+        WHERE s.v > {limit(upper)} OR (s.both_sides AND s.v < {limit(lower)}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM out) AS kept
 FROM f

@@ -97,6 +97,18 @@ def test_quality_thresholds_follow_the_group(spark):
     assert out[200] and not out[500]  # the same text is normal in one group and an outlier in the other
 
 
+def test_quality_cutoffs_come_from_the_data(spark):
+    plain = lambda i, n: " ".join(f"w{i:04}x{j}" for j in range(100)) + "#" * n
+    rows = [(i, plain(i, i % 41), "en", "code") for i in range(400)] + [(1000 + i, plain(1000 + i, 0), "en", "prose") for i in range(400)]
+    rows += [(2000, plain(2000, 40), "en", "code"), (2001, plain(2001, 40), "en", "prose"), (2002, plain(2002, 600), "en", "code")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    out = {r["doc_id"]: r["qr_kept"] for r in quality_rules.quality_rules(df).collect()}
+    assert out.pop(2000) and not out.pop(2001) and not out.pop(2002) and all(out.values())
+    base = quality_rules.with_base(df, prefix="qr_")
+    cut = {r["source"]: r["symbols_hi"] for r in quality_rules.thresholds(base, prefix="qr_").collect()}
+    assert cut["prose"] == 3 * quality_rules.ROUNDING and cut["code"] > 2 * cut["prose"]
+
+
 def test_sketch_merges_and_bounds_error(spark):
     values = [int(1.3 ** (k % 37)) + k for k in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
