@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bibflow import fixtures
 from bibflow import functions as BF
@@ -19,6 +20,7 @@ from bibflow.operators import chunks as CH
 from bibflow.operators import flatten as FL
 from bibflow.operators import reports as R
 from bibflow.operators.conform import quarantine_rows
+from bibflow.operators.drift import schema_drift
 from bibflow.operators.upsert import ORDER_COL, keyed_rows, latest_per_key, with_feed_rank
 from bibflow.plans import jobs as J
 from bibflow.plans import pipelines as P
@@ -336,6 +338,13 @@ def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.chunk_progress(chunked, 1000, flag=F.col("event_type") == "error")
 
 
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the event properties by event type, against a declared schema of which one field is gone."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    declared = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("ref", T.StringType())])
+    return schema_drift(ev, "props", declared, "event_type")
+
+
 def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Serialized record size per source and the chunk size it allows."""
     docs = fixtures.table(spark, sf_dir, "documents")
@@ -553,6 +562,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chunk_feed": q_chunk_feed,
         "ingest_metrics": q_ingest_metrics,
         "record_size_profile": q_record_size_profile,
+        "schema_drift": q_schema_drift,
         "nested_stream": q_nested_stream,
         "nested_files_pipeline": q_nested_files_pipeline,
         "nested_documents_pipeline": q_nested_documents_pipeline,
@@ -611,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
         "chunk_feed": O.chunk_feed(1000),
         "ingest_metrics": O.ingest_metrics(),
         "record_size_profile": O.record_size_profile(),
+        "schema_drift": O.schema_drift(),
         "nested_stream": O.nested_pipeline(),
         "nested_files_pipeline": O.nested_pipeline(),
         "nested_documents_pipeline": O.nested_pipeline(),

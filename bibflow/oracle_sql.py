@@ -378,6 +378,20 @@ def record_size_profile() -> str:
                     FROM documents d GROUP BY source)"""
 
 
+def schema_drift() -> str:
+    """Fields of the event properties by event type, declared: ``k`` a number, ``ref`` text."""
+    return """WITH e AS (SELECT event_type AS "group", props, unnest(json_keys(props)) AS key FROM events WHERE json_valid(props)),
+  m AS (SELECT "group", '$[' || chr(39) || key || chr(39) || ']' AS path, json_type(props, '$."' || key || '"') AS t FROM e),
+  seen AS (SELECT "group", path, CASE WHEN t IN ('VARCHAR') THEN 'string' WHEN t IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL') THEN lower(t)
+             ELSE 'number' END AS kind, count(*) AS n_records FROM m GROUP BY ALL
+           UNION ALL SELECT event_type, '$', 'malformed', count(*) FROM events WHERE NOT coalesce(json_valid(props), false) GROUP BY 1),
+  declared(path, want) AS (VALUES ('$[''k'']', 'number'), ('$[''ref'']', 'any'))
+SELECT s."group", s.path, s.kind, s.n_records, CASE WHEN want IS NULL THEN 'new' WHEN want IN ('any', kind) OR kind = 'null' THEN 'declared'
+         ELSE 'changed' END AS status FROM seen s LEFT JOIN declared d ON d.path = s.path
+UNION ALL SELECT g.event_type, d.path, NULL, 0, 'absent' FROM (SELECT DISTINCT event_type FROM events) g, declared d
+WHERE NOT EXISTS (FROM seen s WHERE s."group" IS NOT DISTINCT FROM g.event_type AND s.path = d.path)"""
+
+
 def merge_feeds_fill_nulls() -> str:
     """K04 with per-column NULL filling: each column's latest non-NULL value."""
     from bibflow.schemas import RECORD_NAMES
