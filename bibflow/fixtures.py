@@ -12,6 +12,8 @@ Rules (one record per order):
   its DOIs are shared with the nested feed and part are not.
 * subjects: the distinct parts of the order's lines (key, brand, name).
 * authors: distinct ``l_suppkey`` of the order's lines, named from supplier.
+* keywords are a plain string for every seventh order; the affiliation of
+  every ninth has a member whose value is null.
 """
 
 from __future__ import annotations
@@ -92,6 +94,16 @@ def _append_raw(obj_json: Column, key: str, value_json: Column) -> Column:
     return F.concat(body, F.lit(f',"{key}":'), value_json, F.lit("}"))
 
 
+def _plain_or(d: DataFrame, keywords: Column) -> Column:
+    """The keywords' JSON text, of every seventh order a plain string."""
+    return F.when(d.o_orderkey % 7 == 0, F.concat(F.lit('"'), d.o_orderpriority, F.lit('"'))).otherwise(keywords)
+
+
+def _with_null_city(d: DataFrame, affiliation: Column) -> Column:
+    """The affiliation's JSON text, of every ninth order with a member whose value is null."""
+    return F.when(d.o_orderkey % 9 == 0, _append_raw(affiliation, "city", F.lit("null"))).otherwise(affiliation)
+
+
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested API response per order: ``(seq, record)``.
 
@@ -137,12 +149,12 @@ def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = F.coalesce(d.authors, F.array())
     head = F.to_json(F.struct(
         coredata.alias("coredata"),
-        F.struct(keywords.alias("author-keyword")).alias("authkeywords"),
         F.struct(subjects.alias("subject-area")).alias("subject-areas"),
         F.struct(F.lit("eng").alias("@xml:lang")).alias("language"),
-        F.struct(key.alias("@id")).alias("affiliation"),
         item.alias("item"),
     ))
+    head = _append_raw(head, "authkeywords", F.concat(F.lit('{"author-keyword":'), _plain_or(d, F.to_json(keywords)), F.lit("}")))
+    head = _append_raw(head, "affiliation", _with_null_city(d, F.to_json(F.struct(key.alias("@id")))))
     # ``authors.author`` is polymorphic: one author is written as a bare
     # object, several as a list, none as an empty list.
     response = _append_raw(head, "authors", F.concat(F.lit('{"author":'), _one_or_many(authors),
@@ -173,10 +185,10 @@ def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(_text(d.o_custkey)))
     flag = (F.when(d.o_orderstatus == "O", F.lit(True))
              .when(d.o_orderstatus == "F", F.lit(False)))
-    keywords = F.when(d.o_orderkey % 5 == 0, F.lit(None)) \
-                .otherwise(F.array(F.struct(d.o_orderpriority.alias("$"))))
-    affiliation = F.when(d.o_orderstatus == "P", F.lit(None)) \
-                   .otherwise(F.struct(_text(d.o_custkey).alias("@id")))
+    keywords = F.when(d.o_orderkey % 5 == 0, F.lit("null")) \
+                .otherwise(_plain_or(d, F.to_json(F.array(F.struct(d.o_orderpriority.alias("$"))))))
+    affiliation = F.when(d.o_orderstatus == "P", F.lit("null")) \
+                   .otherwise(_with_null_city(d, F.to_json(F.struct(_text(d.o_custkey).alias("@id")))))
     head = F.to_json(F.struct(
         doi.alias("prism:doi"),
         F.concat(F.lit("scraped order "), key).alias("dc:title"),
@@ -185,11 +197,10 @@ def scraped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _src_type(d).alias("prism:aggregationType"),
         F.concat(F.lit("Journal of "), d.o_orderpriority).alias("prism:publicationName"),
         cover.alias("prism:coverDate"),
-        keywords.alias("author-keyword"),
         cited.alias("citedby-count"),
         flag.alias("openaccessFlag"),
-        affiliation.alias("affiliation"),
     ))
+    head = _append_raw(_append_raw(head, "author-keyword", keywords), "affiliation", affiliation)
     authors = F.coalesce(d.authors, F.array())
     record = _append_raw(head, "author", _one_or_many(authors))
     return d.select(d.o_orderkey.alias("seq"), record.alias("record"), F.year(d.o_orderdate).alias("year"))
@@ -278,8 +289,8 @@ def write_mistyped_tree(spark: SparkSession, sf_dir: str, base: str) -> str:
 # The scraped tree's years are the orders' years so much later (fixed value).
 SCRAPED_YEAR_SHIFT = 16
 _SCRAPED_FILE = ("`prism:doi` STRING, `dc:title` STRING, abstract STRING, subtypeDescription STRING, `prism:aggregationType` STRING, "
-                 "`prism:publicationName` STRING, `prism:coverDate` STRING, `author-keyword` ARRAY<STRUCT<`$`: STRING>>, "
-                 "`citedby-count` STRING, openaccessFlag BOOLEAN, affiliation STRUCT<`@id`: STRING>, "
+                 "`prism:publicationName` STRING, `prism:coverDate` STRING, `author-keyword` VARIANT, "
+                 "`citedby-count` STRING, openaccessFlag BOOLEAN, affiliation VARIANT, "
                  "author ARRAY<STRUCT<`preferred-name`: STRUCT<`ce:given-name`: STRING, `ce:surname`: STRING>, `author-url`: STRING, "
                  "affiliation: STRUCT<`@id`: STRING>, `@auid`: STRING>>")
 

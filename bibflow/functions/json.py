@@ -119,14 +119,51 @@ def with_elements(df: DataFrame, lists: dict[str, tuple[Column, T.StructType]],
     return df.select("*", *third).drop(*helpers)
 
 
+# JSON text in tokens: a string, a comma, white space, anything else up to the next of them.  The possessive
+# quantifiers keep long strings from deep recursion.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_NULL_MEMBER = _STRING + r"\s*+:\s*+null\s*+"
+_TOKENS = rf"(?s),\s*+{_NULL_MEMBER}(?=[,}}])|{_NULL_MEMBER},?|\s++|({_STRING}|,|[^\s\",]++)"
+
+
+def without_nulls(raw: str | Column) -> Column:
+    """Valid JSON text without the object members whose value is null, and without white space between tokens.
+
+    Tokens are taken one after another from the start, so nothing inside a string
+    is taken for a member.  Nulls in lists keep their place.
+    """
+    raw = col_of(raw)
+    return F.when(raw.contains("null"), F.regexp_replace(raw, _TOKENS, "$1")).otherwise(raw)
+
+
+def is_nested_json(raw: str | Column) -> Column:
+    """Whether text is exactly one JSON object or list.
+
+    The JSON functions ignore what follows the first value; text that is the only
+    member of an object as well as the only element of a list has nothing after it.
+    """
+    raw = col_of(raw)
+    one = (F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1) & (
+        F.size(F.json_object_keys(F.concat(F.lit('{"v":'), raw, F.lit("}")))) == 1)
+    return F.when(raw.rlike(r"^\s*[\[{]"), F.coalesce(one, F.lit(False))).otherwise(False)
+
+
+def quoted(text: str | Column) -> Column:
+    """Text as a JSON string."""
+    return F.to_json(F.array(col_of(text))).substr(F.lit(2), F.length(F.to_json(F.array(col_of(text)))) - 2)
+
+
 def render(c: str | Column, raw_text: bool = False) -> Column:
-    """A nested value as JSON text.
+    """A nested value as JSON text without NULL members.
 
-    ``raw_text=True`` marks a column that already holds JSON text (declared
-    STRING in the source schema), which is passed through untouched.
+    ``raw_text=True`` marks a column declared STRING in the source schema: it
+    holds the JSON text of an object or list, or the bare text of a plain value,
+    which becomes a JSON string.
     """
     c = col_of(c)
-    return c if raw_text else F.to_json(c)
+    if not raw_text:
+        return F.to_json(c)
+    return F.when(c.isNotNull(), F.when(is_nested_json(c), without_nulls(c)).otherwise(quoted(c)))
 
 
 def json_or_empty(c: str | Column, raw_text: bool = False) -> Column:

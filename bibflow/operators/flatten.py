@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibflow import schemas
-from bibflow.functions.json import json_or_empty, json_or_null, json_path, with_elements
+from bibflow.functions.json import json_or_empty, json_or_null, json_path, with_elements, without_nulls
 from bibflow.functions.scalars import (
     concat_date_parts,
     flag_as_int,
@@ -73,8 +73,8 @@ def flatten_nested(df: DataFrame, rec: str = "rec", keep: Sequence[str] = (), is
 
     Deep paths are resolved with ``getField`` so keys holding ``:`` ``@``
     ``$`` ``-`` need no quoting (P01); columns listed in ``keep`` ride along
-    (P03); nested values declared as raw JSON text are passed through as
-    text (P13).  List elements of another type than declared are left out;
+    (P03); nested values declared as text become JSON text without NULL
+    members, plain values JSON strings (P13).  List elements of another type than declared are left out;
     ``issues`` names a column that holds their paths and values.
     """
     df, issue_cols = _with_lists(df, rec, NESTED_LISTS, issues)
@@ -212,7 +212,7 @@ def author_fields(author: str = "author") -> dict[str, Column]:
         "author_given_name": name.getField("ce:given-name"),
         "author_surname": name.getField("ce:surname"),
         "author_url": a.getField("author-url"),
-        "author_affiliation": a.getField("affiliation"),
+        "author_affiliation": json_or_null(a.getField("affiliation"), raw_text=True),
     }
 
 
@@ -228,11 +228,11 @@ def to_table_rows(df: DataFrame, subject: str = "subject", author: str = "author
                   keep: Sequence[str] = ()) -> DataFrame:
     """Record-level columns + one subject + one author -> the 26 table columns.
 
-    Subject and author are stored as the JSON text they came as, with all their
-    fields (K03); a subject whose fields are all NULL is ``{}``.
+    Subject and author are stored as JSON text with all their fields but the NULL
+    ones (K03); a subject whose fields are all NULL is ``{}``.
     """
     by_name = {**subject_fields(subject), **author_fields(author), **sink_coerce_columns()}
-    by_name["author_details"] = F.col(author).getField(schemas.RAW)
-    by_name["subject_area"] = F.when(F.col(subject).isNotNull(), F.coalesce(F.col(subject).getField(schemas.RAW), F.lit("{}")))
+    by_name["author_details"] = without_nulls(F.col(author).getField(schemas.RAW))
+    by_name["subject_area"] = F.when(F.col(subject).isNotNull(), F.coalesce(without_nulls(F.col(subject).getField(schemas.RAW)), F.lit("{}")))
     cols = [by_name[n].alias(n) if n in by_name else F.col(n) for n in schemas.RECORD_NAMES]
     return df.select(*_keep(df, keep), *cols)

@@ -34,7 +34,8 @@ nested AS (
     CAST(o.o_orderdate AS DATE) AS publication_date,
     'Journal of ' || o.o_orderpriority AS source_title,
     'Publisher ' || o.o_orderstatus AS publisher,
-    CAST(to_json([{'$': o.o_orderpriority}, {'$': o.o_orderstatus}]) AS VARCHAR) AS author_keywords,
+    CASE WHEN o.o_orderkey % 7 = 0 THEN '"' || o.o_orderpriority || '"'
+         ELSE CAST(to_json([{'$': o.o_orderpriority}, {'$': o.o_orderstatus}]) AS VARCHAR) END AS author_keywords,
     CASE WHEN o.o_orderstatus = 'O'
          THEN CAST(to_json({'agency': 'Agency ' || CAST(o.o_custkey AS VARCHAR)}) AS VARCHAR)
     END AS funding_details,
@@ -67,6 +68,7 @@ scraped AS (
     'Journal of ' || o.o_orderpriority AS source_title,
     CAST(NULL AS VARCHAR) AS publisher,
     CASE WHEN o.o_orderkey % 5 = 0 THEN '[]'
+         WHEN o.o_orderkey % 7 = 0 THEN '"' || o.o_orderpriority || '"'
          ELSE CAST(to_json([{'$': o.o_orderpriority}]) AS VARCHAR) END AS author_keywords,
     CAST(NULL AS VARCHAR) AS funding_details,
     CAST(NULL AS INTEGER) AS ref_count,

@@ -1,6 +1,8 @@
 """Scalar functions: ANSI-safe conversions and NULL semantics."""
 
 import datetime as dt
+import json
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,3 +82,36 @@ def test_only_the_wrong_elements_go(spark):
     assert [b for _, b in got] == [
         [(1, "str"), (3, "5")], [(0, '{"author-url":"u","preferred-name":"Ann"}')], [(0, texts[2])], [(0, '[{"author-url":"u"}]')],
         [(0, '"str"')], [(0, "[1,2")], [], [], []]
+
+
+def _dropped(v):
+    if isinstance(v, dict):
+        return {k: _dropped(x) for k, x in v.items() if x is not None}
+    return [_dropped(x) for x in v] if isinstance(v, list) else v
+
+
+def test_render_keeps_everything_but_null_members(spark):
+    rnd = random.Random(3)
+    texts = [None, 1, 2.5, True, "x", 'a"b":null,', "\\", '\\"k":null', " , null ", ',"null', "é\n"]
+
+    def value(depth=0):
+        kind = rnd.random()
+        if depth > 4 or kind < 0.35:
+            return rnd.choice(texts)
+        if kind < 0.7:
+            return {rnd.choice(["a", 'n"ull', "null", ":null,", "\\"]) + str(i): value(depth + 1) for i in range(rnd.randint(0, 4))}
+        return [value(depth + 1) for _ in range(rnd.randint(0, 4))]
+
+    values = [v for v in (value() for _ in range(600)) if isinstance(v, (dict, list))]
+    values.append({"a": '\\"' * 500_000, "n": None, "z": [None]})
+    df = spark.createDataFrame([(i, json.dumps(v, indent=rnd.choice([None, 1]))) for i, v in enumerate(values)], "i int, t string")
+    got = {r[0]: json.loads(r[1]) for r in df.select("i", BF.render("t", raw_text=True)).collect()}
+    assert [got[i] for i in range(len(values))] == [_dropped(v) for v in values]
+
+
+def test_render_quotes_plain_text(spark):
+    plain = ["abc", 'say "x"', "", "[1] Smith", "[1],[2]", "{x", "null", '[1]} junk {"x":1', "[1]] j [[2]", "5", '{"a":1} x']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*plain, None])], "i int, t string")
+    got = dict(map(tuple, df.select("i", BF.render("t", raw_text=True)).collect()))
+    assert [json.loads(got[i]) for i in range(len(plain))] == plain
+    assert got[len(plain)] is None
