@@ -351,6 +351,24 @@ def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.record_size_profile(docs, "source")
 
 
+def q_record_size_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of record size per source from sketches per source and language, and whether their exact
+    ranks are within 1 % of the records."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    sizes = docs.select("source", "lang", R.serialized_size(docs).alias("bytes"))
+    parts = R.size_sketches(sizes, "bytes", ["source", "lang"])
+    wanted = (0.5, 0.95, 0.99)
+    found = R.size_quantiles(R.merge_sketches(parts, ["source"]), wanted)
+    s, n, q = F.col("s"), F.col("n_records"), F.col("quantile_bytes")
+    ranked = sizes.select(F.col("source").alias("s"), "bytes").join(found, s.eqNullSafe(F.col("source"))).groupBy(
+        "source", "n_records", "min_bytes", "max_bytes").agg(
+        *[F.count_if(F.col("bytes") < q[i]).alias(f"below{i}") for i in range(len(wanted))],
+        *[F.count_if(F.col("bytes") <= q[i]).alias(f"upto{i}") for i in range(len(wanted))])
+    near = [((F.col(f"below{i}") <= (p + 0.01) * n) & (F.col(f"upto{i}") >= (p - 0.01) * n)).alias(f"p{round(p * 100)}_near")
+            for i, p in enumerate(wanted)]
+    return ranked.select("source", "n_records", "min_bytes", "max_bytes", *near)
+
+
 def q_nested_files_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O01 from files: NDJSON year tree -> line reader -> pipeline (order: year, file, position)."""
     base = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "nested-tree"))
@@ -562,6 +580,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chunk_feed": q_chunk_feed,
         "ingest_metrics": q_ingest_metrics,
         "record_size_profile": q_record_size_profile,
+        "record_size_quantiles": q_record_size_quantiles,
         "schema_drift": q_schema_drift,
         "nested_stream": q_nested_stream,
         "nested_files_pipeline": q_nested_files_pipeline,
@@ -621,6 +640,7 @@ def oracle_sql() -> dict[str, str]:
         "chunk_feed": O.chunk_feed(1000),
         "ingest_metrics": O.ingest_metrics(),
         "record_size_profile": O.record_size_profile(),
+        "record_size_quantiles": O.record_size_quantiles(),
         "schema_drift": O.schema_drift(),
         "nested_stream": O.nested_pipeline(),
         "nested_files_pipeline": O.nested_pipeline(),

