@@ -19,7 +19,7 @@ from bibflow import oracle_sql as O
 from bibflow.operators import chunks as CH
 from bibflow.operators import flatten as FL
 from bibflow.operators import reports as R
-from bibflow.operators.conform import quarantine_rows
+from bibflow.operators.conform import QUARANTINE_SCHEMA, quarantine_rows
 from bibflow.operators.drift import schema_drift
 from bibflow.operators.upsert import ORDER_COL, keyed_rows, latest_per_key, with_feed_rank
 from bibflow.plans import jobs as J
@@ -28,6 +28,7 @@ from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import scratch_path
 from bibflow.sinks.keyed_table import KeyedTable, write_exploded
 from bibflow.sources import files as SF
+from bibflow.sources.listing import list_files
 from bibflow.sources.ranges import read_ranges
 from bibflow.streaming.ingest import start_ingest
 from bibflow.streaming.progress import CountLog
@@ -437,6 +438,24 @@ def q_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.max("running_total").alias("running_total"))
 
 
+def q_stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S05, S12 on streams: batches within a budget of bytes; hidden and empty files are reported."""
+    base = fixtures.write_nested_tree(spark, sf_dir, scratch_path(spark, "admitted-tree"))
+    parts = list_files(spark, f"{base}/*").where(~F.col("name").rlike("^[._]"))
+    sizes = parts.agg(F.max("size").alias("largest"), F.sum("size").alias("total")).first()
+    budget = max(sizes["largest"] or 1, (sizes["total"] or 0) // 3)  # no file is larger
+    fixtures.write_empty_files(spark, fixtures.write_hidden_files(spark, base))
+    table, counts, aside = _new_table(spark, "admitted-table"), CountLog(), scratch_path(spark, "admitted-quarantine")
+    start_ingest(spark, base, table, scratch_path(spark, "admitted-ckpt"), layout="lines", quarantine_path=aside, on_batch=counts,
+                 max_bytes_per_trigger=budget).awaitTermination()
+    batches = spark.createDataFrame([(c.read, c.bytes) for c in counts.batches.values()], "n_read long, bytes long")
+    totals = batches.agg(F.coalesce(F.sum("n_read"), F.lit(0)).alias("n_read"), F.count_if(F.col("bytes") > budget).alias("n_over_budget"),
+                         (F.count(F.lit(1)) > 1).alias("several_batches"))
+    found = spark.read.schema(QUARANTINE_SCHEMA).parquet(aside).agg(
+        F.count_if(F.col("error") == "hidden_name").alias("n_hidden"), F.count_if(F.col("error") == "empty_file").alias("n_empty"))
+    return totals.crossJoin(found)  # one row each
+
+
 def _status_counts(split: DataFrame) -> DataFrame:
     return split.groupBy(F.coalesce("error", F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -598,6 +617,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_files_pipeline": q_merge_files_pipeline,
         "upsert_compacted": q_upsert_compacted,
         "stream_counts": q_stream_counts,
+        "stream_admission": q_stream_admission,
     } | (llm.queries() if llm else {})
 
 
@@ -658,4 +678,5 @@ def oracle_sql() -> dict[str, str]:
         "merge_files_pipeline": O.merge_files_pipeline(),
         "upsert_compacted": O.corrected_titles(),
         "stream_counts": O.stream_counts(),
+        "stream_admission": O.stream_admission(len(fixtures.HIDDEN_FILE_YEARS), len(fixtures.EMPTY_FILE_YEARS)),
     } | (llm.oracle_sql() if llm else {})

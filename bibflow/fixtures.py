@@ -258,6 +258,15 @@ def write_hidden_files(spark: SparkSession, base: str) -> str:
     return base
 
 
+def write_empty_files(spark: SparkSession, base: str) -> str:
+    """A zero-byte ``empty.json`` in each of ``EMPTY_FILE_YEARS``."""
+    from bibflow.sources import fs
+
+    for y in EMPTY_FILE_YEARS:
+        fs.touch(spark, f"{base}/{YEAR_DIR.format(year=y)}/empty.json")
+    return base
+
+
 def corrected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third nested record again, with a corrected title."""
     recs = nested_records(spark, sf_dir).filter("seq % 3 = 0")

@@ -491,6 +491,11 @@ SELECT count(*) AS n_read, count(*) FILTER (WHERE NOT aside AND coalesce({_FILTE
   count(*) FILTER (WHERE one_off) AS n_elements, count(*) AS running_total FROM judged r""")
 
 
+def stream_admission(n_hidden: int, n_empty: int) -> str:
+    return f"""SELECT count(*) AS n_read, CAST(0 AS BIGINT) AS n_over_budget, true AS several_batches,
+                      CAST({n_hidden} AS BIGINT) AS n_hidden, CAST({n_empty} AS BIGINT) AS n_empty FROM orders"""
+
+
 # Orders whose scraped record stands in a ``*.json`` file of 2013 to 2023 (``write_scraped_tree``).
 _IN_RANGE = "SELECT o_orderkey FROM orders WHERE year(o_orderdate) + 16 BETWEEN 2013 AND 2023 AND o_orderkey % 10 <> 0"
 

@@ -134,6 +134,21 @@ def hidden_files(spark: SparkSession, base: str, years: Iterable[int] | None = N
                         F.lit(0).cast("long").alias("rec_pos"), F.lit(None).cast("string").alias("record"), F.lit("hidden_name").alias("error"))
 
 
+def passed_over(spark: SparkSession, source_dir: str) -> DataFrame:
+    """Files in a stream's folder and its subfolders that the file source never delivers, as quarantine rows.
+
+    ``hidden_name``: the name starts with ``_`` (empty marker files are left out);
+    ``empty_file``: zero bytes.  Names that start with a dot are meant to be skipped.
+    """
+    base = source_dir.rstrip("/")
+    found = list_files(spark, base).unionByName(list_files(spark, f"{base}/*")).where(~F.col("name").startswith("."))
+    error = F.when(F.col("name").startswith("_"), F.when(F.col("size") > 0, "hidden_name")).when(F.col("size") == 0, "empty_file")
+    none = F.lit(None).cast("string")
+    return found.select("file_path", year_of(F.col("file_path")).alias("year"), F.lit(0).cast("long").alias("block"),
+                        F.lit(0).cast("long").alias("rec_pos"), none.alias("record"), error.alias("error"),
+                        none.alias("path")).where("error IS NOT NULL")
+
+
 def read_file_records(spark: SparkSession, base: str, years: Iterable[int] | None = None,
                       name_glob: str = "*", dir_format: str = "{year}",
                       require_base: bool = True) -> DataFrame:

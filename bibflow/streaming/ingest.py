@@ -28,20 +28,30 @@ from bibflow.operators.upsert import keyed_rows
 from bibflow.plans.jobs import conformed, naming_first_record, records_of, write_quarantine
 from bibflow.sinks.keyed_table import KeyedTable
 from bibflow.sources import fs
-from bibflow.sources.files import line_rows, split_files, split_lines, year_of
+from bibflow.sources.files import line_rows, passed_over, split_files, split_lines, year_of
 from bibflow.streaming.progress import BatchCounts
 
+# The quarantine partition of files that the stream never reads; no batch has this number.
+PASSED_OVER_BATCH = -1
+
+
 def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
-                name_glob: str | None = None, layout: str = "whole") -> DataFrame:
+                name_glob: str | None = None, layout: str = "whole", max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming text of new files under ``source_dir``, its year folders included.
 
     ``layout="lines"``: NDJSON, one row per line with its position (splittable,
     so large files spread over tasks); ``"whole"``: one row per file for
     concatenated / pretty-printed / array files, split by the record splitter.
+    A batch admits new files up to a count or up to a number of bytes (a file
+    that is larger by itself makes a batch of its own), not both.
     """
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("limit a batch by files or by bytes, not by both")
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if layout == "lines":
@@ -51,13 +61,20 @@ def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
                      year_of(F.col("_metadata.file_path")).alias("year"), "value")
 
 
+def write_passed_over(spark: SparkSession, source_dir: str, quarantine_path: str) -> None:
+    """Replace the quarantine's list of hidden and empty files by what the folder holds now."""
+    passed_over(spark, source_dir).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={PASSED_OVER_BATCH}")
+
+
 def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, layout: str = "whole",
                  quarantine_path: str | None = None, checkpoint: str | None = None,
-                 on_batch: Callable[[BatchCounts], None] | None = None) -> Callable[[DataFrame, int], None]:
+                 on_batch: Callable[[BatchCounts], None] | None = None,
+                 source_dir: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch of files -> table.
 
     With ``quarantine_path`` the batch's set-aside records are written there
-    (by ``batch_id``) instead of being left out silently.  With ``checkpoint``
+    (by ``batch_id``) instead of being left out silently, and with ``source_dir``
+    also the files there that the stream never sees.  With ``checkpoint``
     a batch is stored once, however often it is replayed.  ``on_batch`` gets the
     batch's counts of records, observed in the job that reads them (S15).
     """
@@ -69,8 +86,11 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
         return stream_id[0] if stream_id else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        name = f"{feed}-{batch_id}-{uuid.uuid4().hex[:8]}"
+        counters, volume = Observation(name), Observation(f"{name}-bytes")
+        ends = 1 if layout == "lines" else 0  # a line's end is not part of its row
+        batch = batch.observe(volume, F.sum(F.octet_length("value").cast("long") + ends).alias("bytes"))
         split = split_lines(batch) if layout == "lines" else split_files(batch)
-        counters = Observation(f"{feed}-{batch_id}-{uuid.uuid4().hex[:8]}")
         ok = F.col("error").isNull()
         # Used by the quarantine and the records: computed once (a lost block
         # is recomputed from the replayable file source), counted as it passes.
@@ -82,12 +102,14 @@ def upsert_batch(table: KeyedTable, feed: str = "nested", feed_rank: int = 1, la
                 if quarantine_path:
                     # One folder per batch, so a replayed batch replaces its own rows.
                     write_quarantine(rows, f"{quarantine_path}/batch_id={batch_id}")
+                    if source_dir:
+                        write_passed_over(batch.sparkSession, source_dir, quarantine_path)
                 order = [F.lit(feed_rank), *[F.col(c) for c in ("file_path", "block", "rec_pos")]]
                 table.upsert(keyed_rows(filter_records(records_of(rows)), order), unique=True,
                              writer=writer(batch.sparkSession), batch=batch_id)
             if on_batch is not None:
                 n = counters.get
-                on_batch(BatchCounts(batch_id, n["ok"] + n["bad"], n["ok"], n["kept"], n["bad"], n["elements"] or 0))
+                on_batch(BatchCounts(batch_id, n["ok"] + n["bad"], n["ok"], n["kept"], n["bad"], n["elements"] or 0, volume.get["bytes"] or 0))
         finally:
             rows.unpersist()
 
@@ -98,16 +120,21 @@ def start_ingest(spark: SparkSession, source_dir: str, table: KeyedTable, checkp
                  feed: str = "nested", feed_rank: int = 1, max_files_per_trigger: int | None = None,
                  available_now: bool = True, layout: str = "whole",
                  query_name: str | None = None, quarantine_path: str | None = None,
-                 on_batch: Callable[[BatchCounts], None] | None = None) -> StreamingQuery:
+                 on_batch: Callable[[BatchCounts], None] | None = None,
+                 max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops when the
     directory's current files are all processed.  ``query_name`` labels the
-    progress events (see :mod:`bibflow.streaming.progress`)."""
-    stream = file_stream(spark, source_dir, max_files_per_trigger, layout=layout)
+    progress events (see :mod:`bibflow.streaming.progress`).  With
+    ``quarantine_path``, files that the source passes over (names beginning with
+    ``_``, empty files) are listed there at the start and after every batch."""
+    stream = file_stream(spark, source_dir, max_files_per_trigger, layout=layout, max_bytes_per_trigger=max_bytes_per_trigger)
+    if quarantine_path:
+        write_passed_over(spark, source_dir, quarantine_path)
     writer = stream.writeStream
     if query_name:
         writer = writer.queryName(query_name)
     writer = (writer
-                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path, checkpoint, on_batch))
+                    .foreachBatch(upsert_batch(table, feed, feed_rank, layout, quarantine_path, checkpoint, on_batch, source_dir))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -64,3 +64,37 @@ def test_stream_quarantines_bad_lines(spark, sf_dir):
     q = spark.read.parquet(qpath)
     assert sorted(r.record for r in q.collect()) == sorted(['["an", "array"]', "{not json"])
     assert table.read().count() == P.nested_pipeline(recs).count()
+
+
+def test_stream_admits_by_bytes_and_reports_what_it_passes_over(spark):
+    import json
+
+    import pytest
+
+    from bibflow.sources import fs
+    from bibflow.streaming.ingest import PASSED_OVER_BATCH
+    from bibflow.streaming.progress import CountLog
+
+    src = scratch_path(spark, "t-admit-src")
+    line = json.dumps({"abstracts-retrieval-response": {"coredata": {"prism:doi": "10.1/x"}}})
+    for n in range(6):
+        fs.write_text(spark, f"{src}/2001/part{n}.json", line + "\n")
+    fs.write_text(spark, f"{src}/2001/large.json", (line + "\n") * 9)  # larger than the budget by itself
+    fs.write_text(spark, f"{src}/2002/_late.json", line)
+    fs.write_text(spark, f"{src}/2002/.hidden", line)
+    fs.touch(spark, f"{src}/2002/_MARK")
+    fs.touch(spark, f"{src}/2002/empty.json")
+    fs.touch(spark, f"{src}/empty.json")
+    table = KeyedTable(spark, scratch_path(spark, "t-admit-table"), RECORD_SCHEMA, n_buckets=4)
+    log, aside, size = CountLog(), scratch_path(spark, "t-admit-quarantine"), len(line) + 1
+    start_ingest(spark, src, table, scratch_path(spark, "t-admit-ckpt"), layout="lines", quarantine_path=aside, on_batch=log,
+                 max_bytes_per_trigger=2 * size).awaitTermination()
+    read = [c.read for c in log.batches.values()]
+    assert sum(read) == 15 and 9 in read
+    assert all(c.bytes == c.read * size for c in log.batches.values())
+    assert all(n <= 2 or n == 9 for n in read)
+    rows = spark.read.parquet(aside).where(f"batch_id = {PASSED_OVER_BATCH}").select("file_path", "year", "error").collect()
+    assert sorted((r.file_path.removeprefix("file:").removeprefix(src.removeprefix("file:")), r.year, r.error) for r in rows) == [
+        ("/2002/_late.json", 2002, "hidden_name"), ("/2002/empty.json", 2002, "empty_file"), ("/empty.json", None, "empty_file")]
+    with pytest.raises(ValueError, match="not by both"):
+        start_ingest(spark, src, table, scratch_path(spark, "t-admit-no"), max_files_per_trigger=1, max_bytes_per_trigger=1)
