@@ -95,3 +95,26 @@ def test_ingest_tree_document_layout_counters(spark, sf_dir):
     res = ingest_tree(spark, base, table, "nested", layout="document")
     assert (res.records_read, res.records_kept, res.quarantined) == (3, 2, 1)
     assert sorted(r.doi for r in table.read().collect()) == ["d", "f"]
+
+
+def test_write_exploded_shuffles_the_records_not_their_fan_out(spark):
+    """Only what stands before the fan-out is shuffled, and no task sorts its rows; the rows are those of the plain fan-out."""
+    author = '{"preferred-name":{"ce:given-name":"g%d"},"affiliation":{"@id":"%d","city":null}}'
+    text = ('{"abstracts-retrieval-response":{"coredata":{"prism:doi":"d%d","subtypeDescription":"Article","prism:aggregationType":'
+            '"Journal","prism:coverDate":"%d-01-02"},"subject-areas":{"subject-area":[{"@code":"1","x":null},null]},"authors":{"author":[%s]}}}')
+    records = [(text % (n, 1990 + n % 3, ",".join(author % (k, k) for k in range(n))),) for n in range(6)]
+    kept = P.nested_relation(spark.createDataFrame(records, "record STRING"))
+    seen = []
+
+    def fan_out(df, keep):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return P.exploded_rows(df, keep=keep)
+
+    path = scratch_path(spark, "t-k05-records")
+    write_exploded(kept, path, fan_out=fan_out)
+    assert "RepartitionByExpression" in seen[0] and "explode" not in seen[0]
+    back = spark.read.parquet(path).select(*[f.name for f in RECORD_SCHEMA.fields])
+    want = P.exploded_rows(kept)
+    assert back.count() == want.count() == 2 * (1 + 1 + 2 + 3 + 4 + 5)
+    assert back.exceptAll(want).count() == 0
+    assert {r.author_affiliation for r in back.collect()} == {None, *('{"@id":"%d"}' % k for k in range(5))}
