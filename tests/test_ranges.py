@@ -133,3 +133,34 @@ def test_split_range_cuts_at_records():
     assert R._split_range(b'x"} {"a":1} {"b":', 1, 0, 1) == (b'x"}', b' {"a":1}', b' {"b":')
     assert R._split_range(b"abc", 1, 0, 2) == (b"abc", b"", b"")
     assert np.array_equal(R._outside(np.frombuffer(b'a"b\\"c"d', np.uint8), 0, 0)[0], [1, 1, 0, 0, 0, 0, 0, 1])
+
+
+def test_whole_trees_and_streams_never_hold_a_large_file(spark, monkeypatch):
+    """Trees and streams of unknown layout are read in ranges, whatever the size and the name of a file."""
+    import json
+
+    from bibflow.plans import jobs
+    from bibflow.schemas import RECORD_SCHEMA
+    from bibflow.session import scratch_path
+    from bibflow.sinks.keyed_table import KeyedTable
+    from bibflow.sources import files, fs
+    from bibflow.streaming.ingest import start_ingest
+    from bibflow.streaming.progress import CountLog
+
+    monkeypatch.setattr(R, "RANGE_BYTES", 1 << 12)
+    monkeypatch.setattr(files, "_split_partition", None)  # the splitter of whole texts
+    record = lambda n: json.dumps({"abstracts-retrieval-response": {"coredata": {
+        "prism:doi": f"10.1/{n}", "dc:title": 't{"' * 20, "subtypeDescription": "Article", "prism:aggregationType": "Journal"}}}, indent=n % 2 or None)
+    base, text = scratch_path(spark, "t-large-files"), "\n".join(record(n) for n in range(400))
+    fs.write_text(spark, f"{base}/2015/a [1]{{b}} c.json", text)
+    fs.write_text(spark, f"{base}/2015/a 1b c.json", "[" + record(400) + "]")
+    largest = files.read_tree_records(spark, base).groupBy("file_path", "block").count().agg({"count": "max"}).first()[0]
+    assert largest < 100  # so the large file was read in several ranges
+    table = KeyedTable(spark, scratch_path(spark, "t-large-table"), RECORD_SCHEMA, n_buckets=2)
+    got = jobs.ingest_tree(spark, base, table)
+    assert (got.records_read, got.records_kept, got.quarantined) == (401, 401, 0)
+    streamed, log = KeyedTable(spark, scratch_path(spark, "t-large-stream"), RECORD_SCHEMA, n_buckets=2), CountLog()
+    start_ingest(spark, base, streamed, scratch_path(spark, "t-large-ckpt"), max_files_per_trigger=1, on_batch=log).awaitTermination()
+    assert sorted(c.read for c in log.batches.values()) == [1, 400]
+    assert sum(c.bytes for c in log.batches.values()) == len(text) + len(record(400)) + 2
+    assert table.read().exceptAll(streamed.read()).count() == 0 and streamed.read().count() == 401
