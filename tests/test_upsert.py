@@ -74,3 +74,18 @@ def test_hot_doi_holding_a_third_of_records(spark, sf_dir):
     assert n_hot > rel.count() / 4
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_fill_nulls_shuffles_rows_once_without_the_order_per_column(spark):
+    """Before the shuffle nothing is aggregated per column (each buffer would carry the whole order); results follow the order."""
+    from bibflow.operators.upsert import latest_per_key
+
+    rows = [("a", 1, "x" * 50, "old", None, 1), ("a", 2, "y", None, "b2", None), ("a", 2, "z", "new", None, None),
+            (None, 1, "n", None, None, 5), (None, 3, "m", "null key", None, None), ("b", 7, "q", None, None, None)]
+    df = spark.createDataFrame(rows, "k STRING, seq INT, text STRING, c STRING, d STRING, e INT")
+    got = latest_per_key(df, "k", ["seq", "text"], columns=["c", "d", "e", "text"], fill_nulls=["c", "d", "e"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("a", "new", "b2", 1, "z"), (None, "null key", None, 5, "m"), ("b", None, None, None, "q")], key=str)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    shuffled = got._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "max_by" in plan and "max_by" not in shuffled.split("== Initial Plan ==")[0]
