@@ -98,3 +98,21 @@ def test_stream_admits_by_bytes_and_reports_what_it_passes_over(spark):
         ("/2002/_late.json", 2002, "hidden_name"), ("/2002/empty.json", 2002, "empty_file"), ("/empty.json", None, "empty_file")]
     with pytest.raises(ValueError, match="not by both"):
         start_ingest(spark, src, table, scratch_path(spark, "t-admit-no"), max_files_per_trigger=1, max_bytes_per_trigger=1)
+
+
+def test_stream_keeps_a_batch_only_for_a_quarantine(spark, sf_dir, monkeypatch):
+    """A batch that goes to the table alone passes once, uncached, with the same counts."""
+    from bibflow.streaming.progress import CountLog
+
+    kept = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: (kept.append(1), self)[1])
+    src = scratch_path(spark, "t-uncached-src")
+    records = fixtures.nested_records(spark, sf_dir)
+    records.select("record").repartition(2).write.text(src)
+    for layout in ("lines", "whole"):
+        table, log = KeyedTable(spark, scratch_path(spark, "t-uncached-table"), RECORD_SCHEMA, n_buckets=4), CountLog()
+        start_ingest(spark, src, table, scratch_path(spark, "t-uncached-ckpt"), layout=layout, on_batch=log).awaitTermination()
+        assert not kept
+        n = records.count()
+        assert [(c.read, c.fitting) for c in log.batches.values()] == [(n, n)]
+        assert table.read().count() == P.nested_pipeline(records).count()
