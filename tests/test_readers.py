@@ -4,6 +4,7 @@ import os
 import tempfile
 
 from bibflow.operators import reports as R
+from bibflow.session import scratch_path
 from bibflow.sources import files as SF
 
 
@@ -131,3 +132,19 @@ def test_json_documents_empty_array_and_positions(spark):
     rows = sorted((os.path.basename(r.file_path), r.rec_pos, r.id, r.error) for r in docs.collect())
     assert rows == [("a.json", 0, 1, None), ("a.json", 1, 2, None), ("a.json", 2, 3, None),
                     ("c.json", None, None, "malformed_file")]
+
+
+def test_feed_trees_hold_a_bounded_number_of_files(spark):
+    """The number of a year's files, so of a stream's batches, does not grow with the tasks that make the feed."""
+    from pyspark.sql import functions as F
+
+    from bibflow import fixtures
+
+    records = spark.range(0, 20000, 1, 40).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("record"), (1990 + F.col("id") % 3).cast("int").alias("year"))
+    base = scratch_path(spark, "t-bounded")
+    fixtures._by_year(records).select("record", "year").write.partitionBy("year").text(base)
+    files = spark.read.text(base).select("_metadata.file_path", "value", "year")
+    per_year = {r.year: (r.n, r.rows) for r in files.groupBy("year").agg(
+        F.countDistinct("file_path").alias("n"), F.count("value").alias("rows")).collect()}
+    assert set(per_year) == {1990, 1991, 1992} and sum(rows for _, rows in per_year.values()) == 20000
+    assert all(1 <= n <= fixtures.FILES_PER_YEAR for n, _ in per_year.values())
