@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from bibflow import functions as BF
 from bibflow import schemas
+from bibflow.functions import json as BJ
 
 
 def one(spark, col, values, schema="v STRING"):
@@ -115,3 +116,12 @@ def test_render_quotes_plain_text(spark):
     got = dict(map(tuple, df.select("i", BF.render("t", raw_text=True)).collect()))
     assert [json.loads(got[i]) for i in range(len(plain))] == plain
     assert got[len(plain)] is None
+
+
+def test_one_json_value_is_told_in_one_pass(spark):
+    one_value = {'{"a":1}': True, " [1, 2] ": True, '"x"': True, "1": True, '{"a":"\\u0041"}': True, '{"a":"__end_of_value"}': True,
+                 "[]": True, "null": True, '{"a":[{"b":"]}"}]}': True,
+                 '{"a":1}{"b":2}': False, '{"a":1},{"b":2}': False, '{"a":1}],[{"b":2}': False, '{"a":1}],[': False, "1],0]": False, '1},{"w":2': False,
+                 '1,"w":2': False, '1,"__end_of_value":0} x': False, '1,"__end_of_value":0},{"v":1': False, '1,"__end_of_\\u0076alue":0}': False,
+                 '{"a":1} x': False, '{"a":': False, "": False, " ": False, "x": False}
+    assert one(spark, BJ.is_one_value("v"), [*one_value, None]) == [*one_value.values(), False]
