@@ -32,3 +32,16 @@ def test_table_reads_the_columns_asked_for(spark):
         assert "author_details" not in _plan(some) and some.exceptAll(table.read().select("title", "doi")).count() == 0
         table.compact()
         table.upsert(keyed_rows(_records(spark, [(1, "a", "a2", [])]), ["seq"]), unique=True)
+def test_reduction_takes_subject_and_author_from_the_order(spark):
+    records = _records(spark, [(1, "a", "old", ["z"]), (2, "a", "new", ["x", "y"]), (3, "b", "only", []), (None, "b", "no place", ["q"])])
+    out = keyed_rows(records, ["seq"])
+    assert out.columns == [ORDER_COL, *RECORD_NAMES]
+    assert {r.doi: (r.title, r.author_url, r[ORDER_COL].seq) for r in out.collect()} == {"a": ("new", "y", 2), "b": ("only", None, 3)}
+    shuffled = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [doi" in x)
+    assert "max_by(" in shuffled and "subject, subject" not in shuffled, shuffled
+
+
+def test_reduction_orders_by_columns_and_expressions(spark):
+    records = _records(spark, [(1, "a", "first", ["u"]), (2, "a", "second", ["u"]), (2, "a", "second", ["v"])])
+    assert [(r.title, r.author_url) for r in keyed_rows(records, ["seq"]).collect()] == [("second", "v")]
+    assert [r.title for r in keyed_rows(records, [F.lit(1), -F.col("seq")]).collect()] == ["first"]
