@@ -45,3 +45,11 @@ def test_reduction_orders_by_columns_and_expressions(spark):
     records = _records(spark, [(1, "a", "first", ["u"]), (2, "a", "second", ["u"]), (2, "a", "second", ["v"])])
     assert [(r.title, r.author_url) for r in keyed_rows(records, ["seq"]).collect()] == [("second", "v")]
     assert [r.title for r in keyed_rows(records, [F.lit(1), -F.col("seq")]).collect()] == ["first"]
+
+
+def test_raw_members_are_appended_by_bytes(spark):
+    df = spark.createDataFrame([('{"a":"é\U0001f600}"}',), ("{}",), (None,)], "o STRING")
+    out = df.select(fixtures._append_raw(F.col("o"), k=F.lit("[1]")).alias("t"))
+    assert [r.t for r in out.collect()] == ['{"a":"é\U0001f600}","k":[1]}', '{,"k":[1]}', None]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and " length(" not in plan, plan
