@@ -53,3 +53,25 @@ def test_raw_members_are_appended_by_bytes(spark):
     assert [r.t for r in out.collect()] == ['{"a":"é\U0001f600}","k":[1]}', '{,"k":[1]}', None]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "octet_length" in plan and " length(" not in plan, plan
+
+
+def _tables(spark):
+    """Repeated lines, an order without lines, keys that are null, that no part or supplier has, or that two have."""
+    d = scratch_path(spark, "growth")
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    put("lineitem", [(1, 10, 7), (1, 10, 7), (1, 11, 8), (2, 12, None), (2, None, 9), (None, 10, 7)], "l_orderkey LONG, l_partkey LONG, l_suppkey LONG")
+    put("part", [(10, "B", "n10"), (11, "B", "n11"), (11, "C", "n11"), (None, "D", "none")], "p_partkey LONG, p_brand STRING, p_name STRING")
+    put("supplier", [(7, "s7", 1), (8, "s8", None), (8, "s8", 2)], "s_suppkey LONG, s_name STRING, s_nationkey INT")
+    return d
+
+
+def test_authors_alone_need_no_parts(spark):
+    d = _tables(spark)
+    authors = fixtures.order_authors(spark, d)
+    assert authors.exceptAll(fixtures.order_lines(spark, d).select("l_orderkey", "authors")).count() == 0 and authors.count() == 3
+    spark.createDataFrame([(1, 5, "O", "2001-02-03", "1-URGENT"), (3, 5, "P", "2001-02-03", "5-LOW")],
+                          "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_orderdate STRING, o_orderpriority STRING").select(
+        "*", F.lit(1.0).alias("o_totalprice")).withColumn("o_orderdate", F.to_timestamp("o_orderdate")).write.parquet(f"{d}/orders.parquet")
+    records = fixtures.scraped_records(spark, d)
+    assert "p_partkey" not in _plan(records)
+    assert sorted((r.seq, r.record.count('"@auid"')) for r in records.collect()) == [(1, 3), (3, 0)]
