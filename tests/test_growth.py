@@ -20,18 +20,6 @@ def _records(spark, rows):
     return P.nested_relation(spark.createDataFrame(data, "seq LONG, record STRING"), keep=["seq"])
 
 
-def test_table_reads_the_columns_asked_for(spark):
-    table = KeyedTable(spark, scratch_path(spark, "t-columns"), RECORD_SCHEMA, n_buckets=2)
-    assert table.read(["title"]).columns == ["title"] and table.read(["title"]).count() == 0
-    table.upsert(keyed_rows(_records(spark, [(1, "a", "a1", ["u"]), (2, "b", "b1", [])]), ["seq"]), unique=True)
-    table.upsert(keyed_rows(_records(spark, [(1, "a", "a2", [])]), ["seq"]), unique=True)
-    for _ in range(2):
-        some = table.read(["title", "doi"])
-        assert some.columns == ["title", "doi"] and sorted(map(tuple, some.collect())) == [("a2", "a"), ("b1", "b")]
-        assert [r.title for r in table.read(["title"]).orderBy("title").collect()] == ["a2", "b1"]
-        assert "author_details" not in _plan(some) and some.exceptAll(table.read().select("title", "doi")).count() == 0
-        table.compact()
-        table.upsert(keyed_rows(_records(spark, [(1, "a", "a2", [])]), ["seq"]), unique=True)
 def test_reduction_takes_subject_and_author_from_the_order(spark):
     records = _records(spark, [(1, "a", "old", ["z"]), (2, "a", "new", ["x", "y"]), (3, "b", "only", []), (None, "b", "no place", ["q"])])
     out = keyed_rows(records, ["seq"])
@@ -65,6 +53,15 @@ def _tables(spark):
     return d
 
 
+def test_lines_are_grouped_after_their_shuffle(spark):
+    lines = fixtures.order_lines(spark, _tables(spark))
+    shuffled = _plan(lines).split("REPARTITION_BY_COL")
+    got = {r.l_orderkey: r for r in lines.collect()}
+    assert [(s["@code"], s["@abbrev"]) for s in got[1].subjects] == [("10", "B"), ("11", "B"), ("11", "C")]
+    assert {k: r.n_lines for k, r in got.items()} == {1: 6, 2: 2, None: 1}
+    assert len(shuffled) == 2 and "partial_collect_set" in shuffled[0] and "Aggregate" not in shuffled[1], shuffled
+
+
 def test_authors_alone_need_no_parts(spark):
     d = _tables(spark)
     authors = fixtures.order_authors(spark, d)
@@ -75,3 +72,17 @@ def test_authors_alone_need_no_parts(spark):
     records = fixtures.scraped_records(spark, d)
     assert "p_partkey" not in _plan(records)
     assert sorted((r.seq, r.record.count('"@auid"')) for r in records.collect()) == [(1, 3), (3, 0)]
+
+
+def test_table_reads_the_columns_asked_for(spark):
+    table = KeyedTable(spark, scratch_path(spark, "t-columns"), RECORD_SCHEMA, n_buckets=2)
+    assert table.read(["title"]).columns == ["title"] and table.read(["title"]).count() == 0
+    table.upsert(keyed_rows(_records(spark, [(1, "a", "a1", ["u"]), (2, "b", "b1", [])]), ["seq"]), unique=True)
+    table.upsert(keyed_rows(_records(spark, [(1, "a", "a2", [])]), ["seq"]), unique=True)
+    for _ in range(2):
+        some = table.read(["title", "doi"])
+        assert some.columns == ["title", "doi"] and sorted(map(tuple, some.collect())) == [("a2", "a"), ("b1", "b")]
+        assert [r.title for r in table.read(["title"]).orderBy("title").collect()] == ["a2", "b1"]
+        assert "author_details" not in _plan(some) and some.exceptAll(table.read().select("title", "doi")).count() == 0
+        table.compact()
+        table.upsert(keyed_rows(_records(spark, [(1, "a", "a2", [])]), ["seq"]), unique=True)
