@@ -9,6 +9,7 @@ from bibflow.plans import jobs as J
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import freed_shuffles, scratch_path, shared_dir
 from bibflow.sinks.keyed_table import KeyedTable
+from bibflow.sources.files import line_rows, split_lines
 
 RECORD = '{"abstracts-retrieval-response":{"coredata":{"prism:doi":"%s","subtypeDescription":"Article","prism:aggregationType":"%s"},"authors":{"author":%s}}}'
 
@@ -61,3 +62,15 @@ def test_orders_are_dealt_before_they_are_rendered(spark, sf_dir):
     plan = dealt._jdf.queryExecution().optimizedPlan().toString()
     assert dealt.columns == ["seq", "record", "year", "third"] and plan.index("Abstract of order") < plan.index("RepartitionByExpression")
     assert dealt.drop("third").exceptAll(fixtures.nested_records(spark, sf_dir)).count() == 0
+
+
+def test_stream_files_are_compressed_and_dealt_out(spark, sf_dir):
+    src = fixtures.write_nested_files(spark, sf_dir, scratch_path(spark, "t-disk-src"), 4)
+    files = glob.glob(f"{src.removeprefix('file:')}/part-*")
+    assert len(files) == 4 and all(f.endswith(".gz") for f in files)
+    lines = line_rows(spark.read.text(src))
+    whole, dealt = split_lines(lines), split_lines(lines, 6)
+    assert dealt.rdd.getNumPartitions() == 6 and "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt.select("file_path", "record", "error").exceptAll(whole.select("file_path", "record", "error")).count() == 0
+    want = fixtures.nested_records(spark, sf_dir).select("record")
+    assert dealt.where("error IS NULL").select("record").exceptAll(want).count() == 0 and dealt.count() == want.count()
