@@ -8,7 +8,7 @@ from bibflow import fixtures
 from bibflow.plans import jobs as J
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import freed_shuffles, scratch_path, shared_dir
-from bibflow.sinks.keyed_table import KeyedTable
+from bibflow.sinks.keyed_table import KeyedTable, write_exploded
 from bibflow.sources.files import line_rows, split_lines
 
 RECORD = '{"abstracts-retrieval-response":{"coredata":{"prism:doi":"%s","subtypeDescription":"Article","prism:aggregationType":"%s"},"authors":{"author":%s}}}'
@@ -74,3 +74,19 @@ def test_stream_files_are_compressed_and_dealt_out(spark, sf_dir):
     assert dealt.select("file_path", "record", "error").exceptAll(whole.select("file_path", "record", "error")).count() == 0
     want = fixtures.nested_records(spark, sf_dir).select("record")
     assert dealt.where("error IS NULL").select("record").exceptAll(want).count() == 0 and dealt.count() == want.count()
+
+
+def test_fan_out_begins_from_written_rows(spark):
+    path, left = scratch_path(spark, "t-disk-exploded"), f"{shared_dir(spark).removeprefix('file:')}/bibflow-scratch/to-fan-out-*"
+    seen = []
+
+    def fan_out(rows, keep):
+        seen.extend(glob.glob(left))
+        return rows.select(*keep, F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+
+    df = spark.createDataFrame([("2001-05-01", 2), (None, 3), ("x", 1)], "publication_date STRING, n INT")
+    for _ in range(2):  # the years that it holds are replaced
+        write_exploded(df, path, fan_out=fan_out)
+    assert len(seen) == 2 and not glob.glob(left)
+    assert sorted((r.year or 0, r.i) for r in spark.read.parquet(path).collect()) == [(0, 1), (0, 1), (0, 2), (0, 3), (2001, 1), (2001, 2)]
+    assert all(".zstd." in f for f in glob.glob(f"{path.removeprefix('file:')}/year=*/part-*"))
