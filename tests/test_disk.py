@@ -9,7 +9,10 @@ from bibflow.plans import jobs as J
 from bibflow.schemas import RECORD_SCHEMA
 from bibflow.session import freed_shuffles, scratch_path, shared_dir
 from bibflow.sinks.keyed_table import KeyedTable, write_exploded
+from bibflow.sources import fs
 from bibflow.sources.files import line_rows, split_lines
+from bibflow.streaming.ingest import start_ingest
+from bibflow.streaming.progress import CountLog
 
 RECORD = '{"abstracts-retrieval-response":{"coredata":{"prism:doi":"%s","subtypeDescription":"Article","prism:aggregationType":"%s"},"authors":{"author":%s}}}'
 
@@ -90,3 +93,14 @@ def test_fan_out_begins_from_written_rows(spark):
     assert len(seen) == 2 and not glob.glob(left)
     assert sorted((r.year or 0, r.i) for r in spark.read.parquet(path).collect()) == [(0, 1), (0, 1), (0, 2), (0, 3), (2001, 1), (2001, 2)]
     assert all(".zstd." in f for f in glob.glob(f"{path.removeprefix('file:')}/year=*/part-*"))
+
+
+def test_batches_without_rows_or_survivors_are_counted(spark):
+    src, log = scratch_path(spark, "t-disk-empty-src"), CountLog()
+    for name, text in (("a", RECORD % ("a", "Journal", "[]")), ("b", "{broken"), ("c", "\n\n")):
+        fs.write_text(spark, f"{src}/{name}.json", text)
+    table = KeyedTable(spark, scratch_path(spark, "t-disk-empty-table"), RECORD_SCHEMA, n_buckets=2)
+    start_ingest(spark, src, table, scratch_path(spark, "t-disk-empty-ckpt"), max_files_per_trigger=1, layout="lines",
+                 on_batch=log).awaitTermination()
+    assert sorted((c.read, c.kept, c.quarantined) for c in log.batches.values()) == [(0, 0, 0), (1, 0, 1), (1, 1, 0)]
+    assert [r.doi for r in table.read().collect()] == ["a"]
